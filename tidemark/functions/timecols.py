@@ -70,6 +70,17 @@ def bucket_start(ts: Column | str, width: str | int, dtype: T.DataType = T.Times
     return F.timestamp_micros(us - F.pmod(us, F.lit(w * 1_000_000)))
 
 
+def epoch_micros(ts: Column | str, dtype: T.DataType = T.TimestampNTZType()) -> Column:
+    """Microseconds since 1970-01-01 00:00; zone-less input read as wall clock."""
+    t = _c(ts)
+    if isinstance(dtype, T.TimestampNTZType):
+        days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+        secs = days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+        frac = (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
+        return secs * 1_000_000 + frac
+    return F.unix_micros(t.cast("timestamp"))
+
+
 def parse_date(c: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
     """ISO date string to date; unparseable input gives NULL, not an error."""
     return F.try_to_date(_c(c), F.lit(fmt))
