@@ -83,7 +83,7 @@ def epoch_micros(ts: Column | str, dtype: T.DataType = T.TimestampNTZType()) ->
 
 def parse_date(c: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
     """ISO date string to date; unparseable input gives NULL, not an error."""
-    return F.try_to_date(_c(c), F.lit(fmt))
+    return F.try_to_date(_c(c), fmt)
 
 
 def parse_timestamp(c: Column | str, dtype: T.DataType) -> Column:

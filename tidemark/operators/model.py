@@ -64,14 +64,13 @@ def build_pipeline(feature_cols: list[str], target: str, params: GBTParams = GBT
     if cats:
         stages.append(category_indexer(cats))
     stages.append(VectorAssembler(inputCols=assembled, outputCol="features", handleInvalid="keep"))
+    stopping = {"validationIndicatorCol": SPLIT_COL, "validationTol": params.validation_tol} if params.early_stopping else {}
     gbt = GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction",
         maxIter=params.max_iter, maxDepth=params.max_depth, stepSize=params.step_size,
         subsamplingRate=params.subsampling_rate, featureSubsetStrategy=params.feature_subset,
-        seed=params.seed, maxBins=params.max_bins, **params.extra,
+        seed=params.seed, maxBins=params.max_bins, **stopping, **params.extra,
     )
-    if params.early_stopping:
-        gbt.setValidationIndicatorCol(SPLIT_COL).setValidationTol(params.validation_tol)
     stages.append(gbt)
     return Pipeline(stages=stages)
 
