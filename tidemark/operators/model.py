@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import timecols as tc
-from .features import CATEGORICAL, TIME_COL
+from ..session import fs_exists, fs_list
+from .features import CATEGORICAL, TIME_COL, prepare_features_for_ml, select_available, demand_features
 from .evaluate import prediction_table
 
 MODEL_PREFIX = "demand_gbt_model"
@@ -116,10 +117,11 @@ def train_model(ml: DataFrame, feature_cols: list[str], target: str, test_size:
                 params: GBTParams = GBTParams()):
     """Fit on the time-ordered first part, measure on both parts.
 
-    Returns ``(model, metrics_df, test_predictions_df)``.  The marked table
-    is persisted once: fitting makes several passes over it.
+    Returns ``(model, metrics_df, test_predictions_df)``.  The feature table
+    is persisted once (memory, spilling to disk; rebuilt from lineage if an
+    executor is lost): the cutoff pass, the fit and the metrics all read it.
     """
-    marked = with_split(ml, TIME_COL, test_size).persist()
+    marked = with_split(ml.persist(), TIME_COL, test_size)
     train = marked if params.early_stopping else marked.filter(~F.col(SPLIT_COL))
     model = build_pipeline(feature_cols, target, params).fit(train)
     pred = model.transform(marked)
@@ -143,17 +145,17 @@ def save_model(model: PipelineModel, metrics: DataFrame | None, root: str, name:
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame | None]:
     """Load a pipeline; its metrics table if present."""
-    if "://" not in path and not os.path.exists(path):
+    if not fs_exists(spark, path):
         raise FileNotFoundError(f"Model not found: {path}")
     model = PipelineModel.load(path)
     mpath = path + "_metrics"
-    metrics = spark.read.parquet(mpath) if ("://" in path or os.path.exists(mpath)) else None
+    metrics = spark.read.parquet(mpath) if fs_exists(spark, mpath) else None
     return model, metrics
 
 
 def model_registry(spark: SparkSession, root: str, prefix: str = MODEL_PREFIX) -> DataFrame:
-    """Saved models under ``root`` (names only; the listing is a directory read)."""
-    names = sorted(n for n in os.listdir(root) if n.startswith(prefix) and not n.endswith("_metrics"))
+    """Saved models under ``root`` (one directory listing; names only)."""
+    names = sorted(n for n in fs_list(spark, root) if n.startswith(prefix) and not n.endswith("_metrics"))
     return spark.createDataFrame([(n, os.path.join(root, n)) for n in names], "model_name string, path string")
 
 
@@ -164,8 +166,30 @@ def latest_model(spark: SparkSession, root: str, prefix: str = MODEL_PREFIX) ->
     return reg[0]["path"]
 
 
+def assembled_inputs(model: PipelineModel) -> list[str]:
+    """Input columns the fitted pipeline reads from the table (not made by an earlier stage)."""
+    produced, wanted = set(), []
+    for stage in model.stages:
+        if stage.hasParam("inputCols") and stage.isDefined("inputCols"):
+            wanted += [c for c in stage.getOrDefault("inputCols") if c not in produced]
+        if stage.hasParam("outputCols") and stage.isDefined("outputCols"):
+            produced |= set(stage.getOrDefault("outputCols"))
+    return list(dict.fromkeys(wanted))
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Apply the fitted pipeline (runs on the executors)."""
+    """Apply the fitted pipeline (runs on the executors).
+
+    Feature columns absent from ``df`` enter as 0 (the fill value of every
+    feature); with none of them present this is an error.
+    """
+    wanted = assembled_inputs(model)
+    have = select_available(df, wanted)
+    missing = [c for c in wanted if c not in have]
+    if missing:
+        df = df.withColumns(
+            {c: F.lit(None).cast("string") if c in CATEGORICAL else F.lit(0.0) for c in missing}
+        )
     return model.transform(df)
 
 
@@ -183,3 +207,15 @@ def feature_importance(model: PipelineModel, feature_cols: list[str], k: int | N
     rows = [(n, float(v)) for n, v in zip(assembled, imp)]
     df = spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
     return df.limit(k) if k else df
+
+
+def run_training(demand: DataFrame, model_root: str, params: GBTParams = GBTParams(), test_size: float = 0.2,
+                 name: str | None = None) -> tuple[str, DataFrame]:
+    """Intraday demand rows -> features -> ML table -> fit, measure -> save.
+
+    Returns the saved model path and its one-row metrics table.
+    """
+    ml, feats, target = prepare_features_for_ml(demand_features(demand))
+    fitted, metrics, _ = train_model(ml, feats, target, test_size, params)
+    path = save_model(fitted, metrics, model_root, name)
+    return path, metrics

@@ -12,7 +12,10 @@ partitions by (keys, time chunk) and repairs only the rows near chunk edges:
    collected; in series order they contain the full neighbourhood of each
    edge row, so recomputing the features over the halo rows alone is exact
    for the edge rows.  The halo is a small fraction of the data and is
-   solved the same way with coarser chunks, down to ``levels`` deep.
+   solved the same way with coarser chunks, down to ``levels`` deep; the
+   last level is one window per series over its halo rows only, at most
+   ``2 * (behind + ahead)`` rows per chunk (about 13k rows for ten years of
+   a series with the default 28-day chunk and 49-row reach).
 3. Interior rows and repaired edge rows are unioned.  Both branches read
    the same shuffle (Spark reuses the exchange), so the data moves once.
 
@@ -113,7 +116,7 @@ def over_series(
     exprs: list[SeriesExpr],
     strategy: str = "chunked",
     chunk: int = 28,
-    levels: int = 2,
+    levels: int = 1,
     fanout: int = 16,
 ) -> DataFrame:
     """Add every expression in ``exprs`` as a column, computed per series.

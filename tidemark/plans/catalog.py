@@ -175,6 +175,7 @@ def _cal(spark, d):
 
 
 PROFILE_QUERIES = {
+    "table_shape": profile.shape,
     "date_span": profile.date_span,
     "missing_dates": profile.missing_dates,
     "duplicate_dates": profile.duplicate_dates,
@@ -323,7 +324,7 @@ def q_score_batch(spark, d):
 @query("feature_importance")
 def q_feature_importance(spark, d):
     fitted, _, _, feats, _ = _trained(spark, d)
-    return model.feature_importance(fitted, feats)
+    return model.feature_importance(fitted, feats, k=10)
 
 
 NO_ORACLE = {"stream_progress", "train_metrics", "score_batch", "feature_importance"}

@@ -315,6 +315,7 @@ def _snap_by(col: str) -> str:
 HOLIDAYS = ["Christmas", "Thanksgiving", "NewYear", "Independence", "LaborDay"]
 
 PROFILE_SQL = {
+    "table_shape": CAL + f"\nSELECT count(*) AS rows, {len(CAL_COLS)} AS columns FROM calendar",
     "date_span": CALD + "SELECT min(date) AS min_date, max(date) AS max_date, "
     "CAST(datediff('day', min(date), max(date)) AS INTEGER) AS total_days FROM cald",
     "missing_dates": CALD + ", span AS (SELECT min(date) AS lo, max(date) AS hi FROM cald WHERE date IS NOT NULL)\n"

@@ -98,3 +98,23 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def fs_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check on any Hadoop file system (local, HDFS, object stores)."""
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def fs_list(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under ``path`` on any Hadoop file system."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
