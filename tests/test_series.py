@@ -69,7 +69,7 @@ series_rows = st.lists(
 
 
 @settings(max_examples=12, deadline=None)
-@given(rows=series_rows, chunk=st.integers(min_value=1, max_value=4), levels=st.integers(min_value=1, max_value=3))
+@given(rows=series_rows, chunk=st.sampled_from([0.05, 0.5, 1, 3]), levels=st.integers(min_value=1, max_value=3))
 def test_chunked_matches_loop(spark, rows, chunk, levels):
     lags, windows, leads = [1, 3], [2, 5], [1, 2]
     data = [(k, BASE + dt.timedelta(minutes=m), None if v is None else float(v)) for k, m, v in rows]

@@ -166,14 +166,16 @@ def month_wday_crosstab(df: DataFrame) -> DataFrame:
 def holiday_impact(df: DataFrame, holidays: list[str] = MAJOR_HOLIDAYS) -> DataFrame:
     """Per holiday pattern: matching days, distinct months, distinct years.
 
-    The pattern list is applied per row (array filter + explode), so no
-    join with the list is needed; holidays without a match are absent.
+    A pattern is a regular expression searched in either event name (a NULL
+    name never matches).  The pattern list is applied per row (array filter
+    + explode), so no join with the list is needed; holidays without a match
+    are absent.
     """
     pats = F.array(*[F.lit(h) for h in holidays])
 
     def hit(h):
-        return F.coalesce(F.col("event_name_1").contains(h), F.lit(False)) | F.coalesce(
-            F.col("event_name_2").contains(h), F.lit(False)
+        return F.coalesce(F.regexp_like(F.col("event_name_1"), h), F.lit(False)) | F.coalesce(
+            F.regexp_like(F.col("event_name_2"), h), F.lit(False)
         )
 
     matched = df.select("month", "year", F.explode(F.filter(pats, hit)).alias("holiday"))
@@ -181,13 +183,18 @@ def holiday_impact(df: DataFrame, holidays: list[str] = MAJOR_HOLIDAYS) -> DataF
         matched.groupBy("holiday")
         .agg(
             F.count(F.lit(1)).alias("count"),
-            F.array_join(F.sort_array(F.collect_set(F.col("month").cast("string"))), ",").alias("months"),
-            F.array_join(F.sort_array(F.collect_set(F.col("year").cast("string"))), ",").alias("years"),
+            _joined_sorted("month").alias("months"),
+            _joined_sorted("year").alias("years"),
         )
         .orderBy("holiday")
     )
 
 
+def _joined_sorted(c: str):
+    """Distinct values in numeric order, as one comma-separated string."""
+    return F.array_join(F.transform(F.sort_array(F.collect_set(c)), lambda x: x.cast("string")), ",")
+
+
 def enhanced(df: DataFrame) -> DataFrame:
     """Calendar plus quarter, day/week of year, weekend, exact month edges."""
     d = with_date(df)

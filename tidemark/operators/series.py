@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import timecols as tc
+
 _FAR_PAST_CHUNK = -(1 << 62)
 
 
@@ -63,14 +65,18 @@ def rolling_expr(fn: Callable[[Column], Column], value: str, n: int, name: str,
     return SeriesExpr(name, build, behind=n - 1)
 
 
-def _chunk_of(df: DataFrame, order: str, width: int) -> Column:
+def _chunk_of(df: DataFrame, order: str, width: float) -> Column:
+    """Chunk number of each row: ``width`` days for a date/timestamp order
+    column (fractions allowed: 0.25 = 6 hours), ``width`` units for a numeric one.
+    Monotone in the order column, independent of the session time zone."""
     dtype = df.schema[order].dataType
     c = F.col(order)
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
-        chunk = F.floor(days / width)
+    if isinstance(dtype, T.DateType):
+        chunk = F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / F.lit(float(width)))
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        chunk = F.floor(tc.epoch_micros(c, dtype) / F.lit(float(width) * 86_400_000_000))
     elif isinstance(dtype, T.NumericType):
-        chunk = F.floor(c / width)
+        chunk = F.floor(c / F.lit(float(width)))
     else:
         raise TypeError(f"order column {order} must be temporal or numeric, not {dtype}")
     return F.coalesce(chunk.cast("long"), F.lit(_FAR_PAST_CHUNK))
@@ -115,14 +121,16 @@ def over_series(
     order: str,
     exprs: list[SeriesExpr],
     strategy: str = "chunked",
-    chunk: int = 28,
+    chunk: float = 28,
     levels: int = 1,
     fanout: int = 16,
 ) -> DataFrame:
     """Add every expression in ``exprs`` as a column, computed per series.
 
-    ``chunk`` is the first-level chunk width: days for a date/timestamp
-    ``order`` column, units for a numeric one.  The (keys, order) pair
+    ``chunk`` is the first-level chunk width: days (fractions allowed) for a
+    date/timestamp ``order`` column, units for a numeric one.  Pick it so a
+    (series, chunk) holds a few thousand rows: 28 days of 15-minute buckets
+    is at most 2,688 rows; raw event rows need a fraction of a day.  The (keys, order) pair
     should identify a row; otherwise lags among tied rows are arbitrary,
     as with any row window.
     """

@@ -351,8 +351,8 @@ PROFILE_SQL = {
     "holiday_impact": CAL + ", hol(holiday) AS (VALUES " + ", ".join(f"('{h}')" for h in HOLIDAYS) + ")\n"
     "SELECT holiday, count(*) AS count, array_to_string(list_sort(list_distinct(list(month))), ',') AS months, "
     "array_to_string(list_sort(list_distinct(list(year))), ',') AS years "
-    "FROM calendar JOIN hol ON coalesce(contains(event_name_1, holiday), false) "
-    "OR coalesce(contains(event_name_2, holiday), false) GROUP BY holiday",
+    "FROM calendar JOIN hol ON coalesce(regexp_matches(event_name_1, holiday), false) "
+    "OR coalesce(regexp_matches(event_name_2, holiday), false) GROUP BY holiday",
     "feature_correlations": _corr(),
     "exact_month_edges": ENH + "SELECT date, quarter, day_of_year, week_of_year, is_weekend, is_month_start, "
     "is_month_end FROM enh",
