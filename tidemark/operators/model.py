@@ -82,14 +82,15 @@ def split_cutoff(df: DataFrame, ts: str = TIME_COL, test_size: float = 0.2) -> D
     return df.agg(F.percentile(us, 1 - test_size).alias("cutoff_us"))
 
 
-def with_split(df: DataFrame, ts: str = TIME_COL, test_size: float = 0.2) -> DataFrame:
+def with_split(df: DataFrame, ts: str = TIME_COL, test_size: float = 0.2, cutoff: float | None = None) -> DataFrame:
     """Mark rows after the cutoff as test (time-ordered hold-out).
 
     The cutoff is one scalar from a distributed exact-percentile aggregate
     (its buffer holds one count per distinct bucket time); it comes back as
     a literal, so marking the rows is a plain projection.
     """
-    cutoff = split_cutoff(df, ts, test_size).first()["cutoff_us"]
+    if cutoff is None:
+        cutoff = split_cutoff(df, ts, test_size).first()["cutoff_us"]
     us = tc.epoch_micros(ts, df.schema[ts].dataType)
     return df.withColumn(SPLIT_COL, us > F.lit(cutoff))
 
@@ -118,14 +119,23 @@ def train_model(ml: DataFrame, feature_cols: list[str], target: str, test_size:
     """Fit on the time-ordered first part, measure on both parts.
 
     Returns ``(model, metrics_df, test_predictions_df)``.  The feature table
-    is persisted once (memory, spilling to disk; rebuilt from lineage if an
-    executor is lost): the cutoff pass, the fit and the metrics all read it.
+    is persisted (memory, spilling to disk; rebuilt from lineage if an
+    executor is lost) while the cutoff pass, the fit and the metrics read
+    it, and released afterwards.  The metrics are one row of four numbers;
+    the test predictions stay lazy.
     """
-    marked = with_split(ml.persist(), TIME_COL, test_size)
-    train = marked if params.early_stopping else marked.filter(~F.col(SPLIT_COL))
-    model = build_pipeline(feature_cols, target, params).fit(train)
-    pred = model.transform(marked)
-    metrics = metrics_of(pred, target)
+    cached = ml.persist()
+    try:
+        cutoff = split_cutoff(cached, TIME_COL, test_size).first()["cutoff_us"]
+        marked = with_split(cached, TIME_COL, test_size, cutoff)
+        train = marked if params.early_stopping else marked.filter(~F.col(SPLIT_COL))
+        model = build_pipeline(feature_cols, target, params).fit(train)
+        row = metrics_of(model.transform(marked), target).first()
+    finally:
+        cached.unpersist()
+    spark = ml.sparkSession
+    metrics = spark.createDataFrame([tuple(row)], "train_mae double, train_rmse double, test_mae double, test_rmse double")
+    pred = model.transform(with_split(ml, TIME_COL, test_size, cutoff))
     return model, metrics, pred.filter(F.col(SPLIT_COL))
 
 
