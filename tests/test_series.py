@@ -113,3 +113,26 @@ def test_shuffle_reuse_in_plan(spark, sf_small):
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in plan
     assert plan.count("FileScan parquet") == 1
+
+
+def test_one_hot_series_spreads_over_tasks(spark):
+    """A single series over 200 days is windowed by many tasks, not one."""
+    base = dt.datetime(2024, 1, 1)
+    df = (
+        spark.range(0, 200 * 96)
+        .select(F.lit("hot").alias("k"),
+                F.timestamp_add("MINUTE", F.col("id") * 15, F.lit(base).cast("timestamp_ntz")).alias("t"),
+                (F.col("id") % 7).cast("double").alias("v"))
+    )
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = S.over_series(df, ["k"], "t", [S.lag_expr("v", 1, "lag"), S.rolling_expr(F.avg, "v", 48, "avg48")])
+        per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in per_task) == 200 * 96
+        assert max(r["count"] for r in per_task) < 200 * 96 / 2
+        direct = S.over_series(df, ["k"], "t", [S.lag_expr("v", 1, "lag"), S.rolling_expr(F.avg, "v", 48, "avg48")],
+                               strategy="direct")
+        assert out.exceptAll(direct).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import timecols as tc
-from ..session import fs_exists, fs_list
+from ..session import fs_exists, fs_list, shared_root
 from .features import CATEGORICAL, TIME_COL, prepare_features_for_ml, select_available, demand_features
 from .evaluate import prediction_table
 
@@ -41,6 +41,7 @@ class GBTParams:
     early_stopping: bool = True
     validation_tol: float = 0.01
     max_bins: int = 32
+    checkpoint_interval: int = 10
     extra: dict = field(default_factory=dict)
 
 
@@ -70,7 +71,8 @@ def build_pipeline(feature_cols: list[str], target: str, params: GBTParams = GBT
         featuresCol="features", labelCol=target, predictionCol="prediction",
         maxIter=params.max_iter, maxDepth=params.max_depth, stepSize=params.step_size,
         subsamplingRate=params.subsampling_rate, featureSubsetStrategy=params.feature_subset,
-        seed=params.seed, maxBins=params.max_bins, **stopping, **params.extra,
+        seed=params.seed, maxBins=params.max_bins, checkpointInterval=params.checkpoint_interval,
+        **stopping, **params.extra,
     )
     stages.append(gbt)
     return Pipeline(stages=stages)
@@ -124,6 +126,7 @@ def train_model(ml: DataFrame, feature_cols: list[str], target: str, test_size:
     it, and released afterwards.  The metrics are one row of four numbers;
     the test predictions stay lazy.
     """
+    shared_root(ml.sparkSession)  # GBT checkpoints its lineage there every 10 rounds
     cached = ml.persist()
     try:
         cutoff = split_cutoff(cached, TIME_COL, test_size).first()["cutoff_us"]
