@@ -226,7 +226,11 @@ def q_forecast_errors(spark, d):
 
 @query("forecast_metrics")
 def q_forecast_metrics(spark, d):
-    return rounded(ev.forecast_metrics(ev.persistence_forecast(_agg15(spark, d))))
+    # MAPE reaches ~1e7 once zero actuals hit the 1e-6 floor: two decimals
+    # there keep 10 significant digits, within what a float sum over all rows
+    # preserves in any summation order.
+    m = ev.forecast_metrics(ev.persistence_forecast(_agg15(spark, d)))
+    return rounded(m.withColumn("mape", F.round("mape", 2)))
 
 
 # ---------------------------------------------------------------- streams

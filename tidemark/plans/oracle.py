@@ -439,7 +439,7 @@ FROM demand_5min GROUP BY ALL""",
     "round(prediction_error, 6) AS prediction_error, round(absolute_error, 6) AS absolute_error FROM results",
     "forecast_metrics": PERSIST + "SELECT round(avg(abs(prediction_error)), 6) AS mae, "
     "round(sqrt(avg(prediction_error * prediction_error)), 6) AS rmse, "
-    "round(avg(abs(actual_demand - predicted_demand) / greatest(actual_demand, 1e-6)) * 100, 6) AS mape, "
+    "round(avg(abs(actual_demand - predicted_demand) / greatest(actual_demand, 1e-6)) * 100, 2) AS mape, "
     "round(avg(actual_demand), 6) AS mean_actual, round(avg(predicted_demand), 6) AS mean_predicted FROM results",
 }
 
