@@ -37,7 +37,7 @@ def main(argv=None) -> None:
     r.add_argument("--format", default="csv")
     r.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
-    spark = build_session("tidemark")
+    spark = build_session("tidemark", profile=getattr(a, "env", None))
     if a.cmd == "train":
         path, metrics = model.run_training(tables.demand_5min(spark, a.sf), a.models,
                                            model.GBTParams(max_iter=a.max_iter), a.test_size)

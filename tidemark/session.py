@@ -30,11 +30,18 @@ class Profile:
     spark_conf: dict = field(default_factory=dict)
 
 
+# File-source log settings shared by every profile.
+STREAM_LOG_CONF = {
+    "spark.sql.streaming.fileSource.log.deletion": "true",
+    "spark.sql.streaming.fileSource.log.compactInterval": "10",
+    "spark.sql.streaming.fileSource.log.cleanupDelay": "2000",
+}
+
 # Trigger interval and files per trigger of each profile.
 PROFILES: dict[str, Profile] = {
-    "development": Profile("development", "5 seconds", 5, True, 30),
-    "production": Profile("production", "30 seconds", 50, True, 60),
-    "testing": Profile("testing", "1 second", 1, False, 30),
+    "development": Profile("development", "5 seconds", 5, True, 30, spark_conf=STREAM_LOG_CONF),
+    "production": Profile("production", "30 seconds", 50, True, 60, spark_conf=STREAM_LOG_CONF),
+    "testing": Profile("testing", "1 second", 1, False, 30, spark_conf=STREAM_LOG_CONF),
 }
 
 
@@ -57,15 +64,19 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict | None = None,
+    profile: Profile | str | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the engine's defaults.
 
     ``master`` is only set when given; on a cluster the launcher decides.
+    A profile adds its own Spark settings (stream file-source log handling).
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
+    if profile is not None:
+        conf.update((profile if isinstance(profile, Profile) else get_profile(profile)).spark_conf)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
