@@ -148,9 +148,7 @@ def target_column(columns: list[str]) -> str:
 
 
 def numeric_columns(df: DataFrame, columns: list[str]) -> list[str]:
-    types = dict(df.dtypes)
-    return [c for c in columns if types[c] not in ("string", "boolean") and not types[c].startswith("timestamp")
-            and types[c] != "date"]
+    return [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
 
 
 def prepare_features_for_ml(df: DataFrame) -> tuple[DataFrame, list[str], str]:
