@@ -75,3 +75,21 @@ def test_window_sum_width(spark):
     out = rollup.window_sum(demand_rows(spark, rows), "30 minutes").orderBy("window_start").collect()
     assert [r["demand_30min"] for r in out] == [4, 2]
     assert out[0]["window_end"] == dt.datetime(2024, 1, 1, 0, 30)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(
+    secs=st.lists(st.integers(min_value=-2_000_000_000, max_value=4_000_000_000), min_size=1, max_size=40),
+    width=st.sampled_from([60, 300, 420, 900, 1800, 3600, 5400, 86400]),
+)
+def test_bucket_start_is_epoch_floor(spark, secs, width):
+    epoch = dt.datetime(1970, 1, 1)
+    rows = [(epoch + dt.timedelta(seconds=s, microseconds=123),) for s in secs]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    got = [r["b"] for r in df.select(tc.bucket_start("ts", width).alias("b")).collect()]
+    want = [epoch + dt.timedelta(seconds=s - s % width) for s in secs]
+    assert got == want

@@ -8,7 +8,7 @@ the NULL group, as frequency tables do.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,14 +82,15 @@ def date_span(df: DataFrame) -> DataFrame:
 def missing_dates(df: DataFrame) -> DataFrame:
     """Days between the first and last date that have no calendar row.
 
-    The day range is generated from the one-row (min, max) aggregate; its
-    size is the span in days, independent of the table size.  The present
-    days are a distinct (partial aggregate) and the gap is an anti join.
+    One scan: the present days are a distinct (partial aggregate); each
+    day is compared with the previous present day and every gap is
+    expanded into its missing days.  The ordered pass runs over distinct
+    days only, so its size is the span in days, not the table size.
     """
-    d = with_date(df).select("date").filter(F.col("date").isNotNull())
-    span = d.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    every = span.select(F.explode(F.sequence("lo", "hi")).alias("date"))
-    return every.join(d.distinct(), "date", "left_anti")
+    days = with_date(df).select("date").filter(F.col("date").isNotNull()).distinct()
+    prev = days.withColumn("prev", F.lag("date").over(Window.orderBy("date")))
+    gaps = prev.filter(F.datediff("date", "prev") > 1)
+    return gaps.select(F.explode(F.sequence(F.date_add("prev", 1), F.date_sub("date", 1))).alias("date"))
 
 
 def duplicate_dates(df: DataFrame) -> DataFrame:
