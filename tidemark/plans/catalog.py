@@ -9,7 +9,6 @@ the oracle SQL alike.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -333,6 +332,3 @@ def q_feature_importance(spark, d):
 
 NO_ORACLE = {"stream_progress", "train_metrics", "score_batch", "feature_importance"}
 
-
-def sf_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
