@@ -19,8 +19,12 @@ partitions by (keys, time chunk) and repairs only the rows near chunk edges:
 3. Interior rows and repaired edge rows are unioned.  Both branches read
    the same shuffle (Spark reuses the exchange), so the data moves once.
 
-The result equals the single-window result row for row; ``strategy =
-"direct"`` gives that plain plan for comparison and for short series.
+The result equals the single-window result row for row.  ``strategy =
+"auto"`` (the default) checks the size of the DataFrame's input files: when
+the whole input is below ``tidemark.series.directMaxBytes`` (default 128 MB
+of files) no series can be large and the plain single-window plan is used;
+a larger input, or one of unknown size (no input files), takes the chunked
+plan.  ``"direct"`` and ``"chunked"`` force either plan.
 """
 
 from __future__ import annotations
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timecols as tc
+from ..session import input_bytes
 
 _FAR_PAST_CHUNK = -(1 << 62)
 
@@ -115,12 +120,27 @@ def _chunked(df, keys, order, exprs, chunk, levels, fanout) -> DataFrame:
     return good.unionByName(fixed)
 
 
+DIRECT_MAX_BYTES_KEY = "tidemark.series.directMaxBytes"
+DIRECT_MAX_BYTES = 128 * 1024 * 1024
+
+
+def choose_strategy(df: DataFrame) -> str:
+    """``direct`` when the input files of ``df`` are provably small, else ``chunked``."""
+    spark = df.sparkSession
+    limit = int(spark.conf.get(DIRECT_MAX_BYTES_KEY, str(DIRECT_MAX_BYTES)))
+    files = df.inputFiles()
+    if not files:
+        return "chunked"
+    size = input_bytes(spark, files)
+    return "direct" if size is not None and size <= limit else "chunked"
+
+
 def over_series(
     df: DataFrame,
     keys: list[str],
     order: str,
     exprs: list[SeriesExpr],
-    strategy: str = "chunked",
+    strategy: str = "auto",
     chunk: float = 28,
     levels: int = 1,
     fanout: int = 16,
@@ -136,6 +156,8 @@ def over_series(
     """
     if not exprs:
         return df
+    if strategy == "auto":
+        strategy = choose_strategy(df)
     if strategy == "direct":
         return _direct(df, keys, order, exprs)
     if strategy != "chunked":

@@ -119,6 +119,12 @@ def q_demand_features(spark, d):
     return rounded(ft.demand_features(tables.demand_5min(spark, d)))
 
 
+@query("demand_features_chunked")
+def q_demand_features_chunked(spark, d):
+    """The same chain with the hot-series (chunked) window plan forced, as it runs on large inputs."""
+    return rounded(ft.demand_features(tables.demand_5min(spark, d), strategy="chunked"))
+
+
 def ml_table(spark, d):
     ml, feats, target = ft.prepare_features_for_ml(ft.demand_features(tables.demand_5min(spark, d)))
     return ml, feats, target

@@ -425,6 +425,7 @@ FROM demand_5min GROUP BY ALL""",
     "AS is_business_hours FROM agg15",
     "demand_features": f"{BASE},{FEATS}\nSELECT {_select_rounded(FEATURE_TABLE_COLS, FEATURE_DOUBLES)} FROM feats",
     "ml_features": f"{BASE},{FEATS},{ML}\nSELECT * FROM ml",
+    "demand_features_chunked": f"{BASE},{FEATS}\nSELECT {_select_rounded(FEATURE_TABLE_COLS, FEATURE_DOUBLES)} FROM feats",
     "state_one_hot": f"{BASE}\nSELECT {KEYS}, "
     + ", ".join(f"CASE WHEN split_part(store_id, '_', 1) = '{s}' THEN 1 ELSE 0 END AS state_id_{s}"
                 for s in ("CA", "TX", "WI")) + " FROM agg15",
