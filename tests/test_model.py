@@ -43,6 +43,11 @@ def test_train_save_load_score(spark, sf_small):
     assert res.columns == ["item_id", "store_id", "timestamp", "actual_demand", "predicted_demand",
                            "prediction_error", "absolute_error"]
     assert res.filter(F.col("predicted_demand").isNull()).count() == 0
+    raw = spark.createDataFrame(
+        [(str(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=15 * i)), "view", "CA_1", float(i % 9)) for i in range(40)],
+        "timestamp string, item_id string, store_id string, demand double")
+    scored = model.predict_batch(loaded, raw)
+    assert scored.count() == 40 and scored.filter(F.col("predicted_demand").isNull()).count() == 0
     imp = model.feature_importance(fitted, feats, k=5)
     assert imp.count() == 5
     with pytest.raises(FileNotFoundError):

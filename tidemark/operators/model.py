@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions import timecols as tc
 from ..session import fs_exists, fs_list, shared_root
-from .features import CATEGORICAL, TIME_COL, prepare_features_for_ml, select_available, demand_features
+from .features import (CATEGORICAL, TIME_COL, demand_features, feature_columns, prepare_features_for_ml,
+                       scoring_demand_rows, select_available)
 from .evaluate import prediction_table
 
 MODEL_PREFIX = "demand_gbt_model"
@@ -211,6 +212,21 @@ def score_batch(model: PipelineModel, features: DataFrame, actual: str) -> DataF
     return prediction_table(predict(model, features), actual, "prediction")
 
 
+def predict_batch(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Raw scoring rows (timestamp, item_id, store_id, [state_id], demand) ->
+    the 7-column result, one row per input bucket.
+
+    The rows go through the same rollup and feature chain as training, so
+    train and score features cannot differ.  ``actual_demand`` is the row's
+    own bucket total, as in a batch scoring report; every row is scored,
+    including the last of each series (which has no next-bucket target).
+    """
+    feats = demand_features(scoring_demand_rows(rows), value="demand_5min")
+    numeric = [c for c in feature_columns(feats.columns) if c not in CATEGORICAL]
+    feats = feats.fillna(0, subset=[c for c in numeric if c in feats.columns])
+    return prediction_table(predict(model, feats), "demand_15min_total", "prediction")
+
+
 def feature_importance(model: PipelineModel, feature_cols: list[str], k: int | None = None) -> DataFrame:
     """Importance per input feature of the fitted trees, largest first."""
     spark = SparkSession.getActiveSession()
