@@ -81,12 +81,16 @@ def sales_schema(columns: list[str]) -> T.StructType:
 
 
 def sales_schema_from_header(spark: SparkSession, path: str, fmt: str = "csv") -> T.StructType:
-    """Read only the header (CSV) or footer schema (JSON/Parquet) of a sales drop."""
+    """Column names of a sales drop without reading its data: the CSV header
+    line, the Parquet footers, or (JSON has neither) one file's records."""
     reader = spark.read
     if fmt == "csv":
         cols = reader.option("header", True).option("inferSchema", False).csv(path).columns
     elif fmt == "json":
-        cols = reader.json(path).columns
+        from ..session import fs_list
+
+        names = sorted(n for n in fs_list(spark, path) if not n.startswith((".", "_")))
+        cols = reader.json(f"{path.rstrip('/')}/{names[0]}" if names else path).columns
     elif fmt == "parquet":
         cols = reader.parquet(path).columns
     else:
