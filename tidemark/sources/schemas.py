@@ -63,12 +63,14 @@ def day_columns(columns: list[str]) -> list[str]:
     return [c for c in columns if c.startswith(DAY_PREFIX)]
 
 
-def sales_schema(columns: list[str]) -> T.StructType:
+def sales_schema(columns: list[str], day_types: dict[str, T.DataType] | None = None) -> T.StructType:
     """Sales schema: the five keys plus every ``d_*`` column of a header.
 
-    Day cells are declared as strings and cast with ``try_cast`` later so a
+    Day cells are declared as strings (text formats) or with the file's own
+    type (Parquet, via ``day_types``) and cast with ``try_cast`` later, so a
     dirty cell becomes NULL rather than failing the batch.
     """
+    day_types = day_types or {}
     days = day_columns(columns)
     if not days:
         raise ValueError("sales input has no d_* day columns")
@@ -76,7 +78,7 @@ def sales_schema(columns: list[str]) -> T.StructType:
     if missing:
         raise ValueError(f"sales input lacks key columns: {missing}")
     return T.StructType(
-        list(SALES_KEY_SCHEMA.fields) + [T.StructField(c, T.StringType()) for c in days]
+        list(SALES_KEY_SCHEMA.fields) + [T.StructField(c, day_types.get(c, T.StringType())) for c in days]
     )
 
 
@@ -92,7 +94,8 @@ def sales_schema_from_header(spark: SparkSession, path: str, fmt: str = "csv") -
         names = sorted(n for n in fs_list(spark, path) if not n.startswith((".", "_")))
         cols = reader.json(f"{path.rstrip('/')}/{names[0]}" if names else path).columns
     elif fmt == "parquet":
-        cols = reader.parquet(path).columns
+        footer = reader.parquet(path).schema
+        return sales_schema(footer.names, {f.name: f.dataType for f in footer.fields})
     else:
         raise ValueError(f"Unsupported data type: {fmt}")
     return sales_schema(cols)
