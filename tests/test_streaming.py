@@ -74,3 +74,15 @@ def test_console_and_table_writers_build(spark, sf_small):
     q.awaitTermination()
     assert spark.read.parquet(os.path.join(root, "tbl")).count() == tables.prices(spark, sf_small).count()
     assert sinks.table_format(spark) in ("delta", "parquet")
+
+
+def test_parquet_and_json_sales_streams_equal_batch(spark, sf_small):
+    sw = tables.sales_wide(spark, sf_small)
+    batch = feeds.transform_sales(sw, with_time=False)
+    for fmt in ("parquet", "json"):
+        root = scratch_dir(spark, f"t-sales-{fmt}")
+        _drop(sw, runner.feed_paths(root, "sales").input, fmt)
+        q = runner.start_feed(spark, "sales", root, "testing", fmt, sink_format="parquet", available_now=True)
+        q.awaitTermination()
+        out = spark.read.parquet(runner.feed_paths(root, "sales").output).drop("processed_timestamp")
+        assert out.count() == batch.count() and out.exceptAll(batch).count() == 0
