@@ -7,14 +7,17 @@ from pyspark.sql.streaming import DataStreamWriter
 
 
 def table_format(spark: SparkSession, preferred: str = "delta") -> str:
-    """``delta`` when its data source is on the classpath, else ``parquet``."""
+    """``delta`` when its data source is on the classpath, else ``parquet``.
+
+    Resolving a reader for a path that does not exist fails with
+    DATA_SOURCE_NOT_FOUND only when the format itself is missing.
+    """
     try:
-        spark._jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource(
-            preferred, spark._jsparkSession.sessionState().conf()
-        )
-        return preferred
-    except Exception:
-        return "parquet"
+        spark.read.format(preferred).load("/__tidemark_probe_missing__")
+    except Exception as e:  # noqa: BLE001
+        if "DATA_SOURCE_NOT_FOUND" in str(e) or "Failed to find data source" in str(e):
+            return "parquet"
+    return preferred
 
 
 def append_to_table(
