@@ -20,7 +20,7 @@ from tidemark.session import build_session  # noqa: E402
 
 HEADLINE = [
     "agg_5min", "agg_15min", "agg_30min", "lag_features", "rolling_avg", "rolling_std", "target_lead",
-    "demand_features", "ml_features", "calendar_features", "forecast_errors", "forecast_metrics",
+    "demand_features", "demand_features_chunked", "ml_features", "calendar_features", "forecast_errors", "forecast_metrics",
     "category_index", "time_split_counts", "calendar_feed", "sales_feed", "prices_feed", "source_monitor",
     "missing_dates", "quality_report", "describe_numeric", "feature_correlations", "holiday_impact",
     "stream_sales", "stream_prices", "train_metrics",
