@@ -86,3 +86,28 @@ def test_parquet_and_json_sales_streams_equal_batch(spark, sf_small):
         q.awaitTermination()
         out = spark.read.parquet(runner.feed_paths(root, "sales").output).drop("processed_timestamp")
         assert out.count() == batch.count() and out.exceptAll(batch).count() == 0
+
+
+def test_restart_processes_only_new_files(spark, sf_small):
+    root = scratch_dir(spark, "t-incr")
+    p = runner.feed_paths(root, "prices")
+    prices = tables.prices(spark, sf_small)
+    first = prices.filter(F.col("wm_yr_wk") < 199501)
+    second = prices.filter(F.col("wm_yr_wk") >= 199501)
+    first.write.option("header", True).csv(p.input)
+    q = runner.start_feed(spark, "prices", root, "testing", sink_format="parquet", available_now=True)
+    q.awaitTermination()
+    n1 = spark.read.parquet(p.output).count()
+    second.write.mode("append").option("header", True).csv(p.input)
+    q = runner.start_feed(spark, "prices", root, "testing", sink_format="parquet", available_now=True)
+    q.awaitTermination()
+    assert n1 == first.count()
+    assert spark.read.parquet(p.output).count() == prices.count()
+
+
+def test_processing_time_trigger_bounded_run(spark, sf_small):
+    root = scratch_dir(spark, "t-trigger")
+    _drop(tables.calendar(spark, sf_small), runner.feed_paths(root, "calendar").input)
+    qs = runner.run_streams(spark, root, "testing", feeds=("calendar",), timeout_s=8)
+    assert not qs[0].isActive
+    assert spark.read.parquet(runner.feed_paths(root, "calendar").output).count() == tables.calendar(spark, sf_small).count()
