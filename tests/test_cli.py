@@ -27,3 +27,11 @@ def test_profile_conf_applied(spark):
     s = build_session(profile="production")
     assert s.conf.get("spark.sql.streaming.fileSource.log.compactInterval") == "10"
     assert get_profile("testing").trigger_interval == "1 second"
+
+
+def test_features_command_writes_partitioned(spark, sf_small):
+    root = scratch_dir(spark, "t-cli-feat")
+    out = os.path.join(root, "features")
+    cli.main(["features", "--sf", sf_small, "--out", out])
+    assert any(n.startswith("date=") for n in os.listdir(out))
+    assert spark.read.parquet(out).count() > 0

@@ -3,6 +3,7 @@
     python -m tidemark.cli train --sf /root/testdata/sf0.01 --models /shared/models --max-iter 50
     python -m tidemark.cli score --sf /root/testdata/sf0.01 --models /shared/models --out /shared/scores
     python -m tidemark.cli stream --env production --root /shared/feeds --feeds calendar sales prices
+    python -m tidemark.cli features --sf /root/testdata/sf0.01 --out /shared/features
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from .operators import features as ft
 from .operators import model
 from .session import build_session, get_profile
-from .sources import tables
+from .sources import store, tables
 from .streaming import runner
 
 
@@ -36,6 +37,9 @@ def main(argv=None) -> None:
     r.add_argument("--feeds", nargs="+", default=list(runner.FEEDS))
     r.add_argument("--format", default="csv")
     r.add_argument("--available-now", action="store_true")
+    f = sub.add_parser("features", help="write the 15-minute feature table partitioned by date")
+    f.add_argument("--sf", required=True)
+    f.add_argument("--out", required=True)
     a = ap.parse_args(argv)
     spark = build_session("tidemark", profile=getattr(a, "env", None))
     if a.cmd == "train":
@@ -50,6 +54,8 @@ def main(argv=None) -> None:
         res.write.mode("overwrite").parquet(a.out)
         model_metrics = spark.read.parquet(a.out).agg(F.count(F.lit(1)).alias("rows"))
         model_metrics.show()
+    elif a.cmd == "features":
+        store.write_partitioned(ft.demand_features(tables.demand_5min(spark, a.sf)), a.out)
     else:
         prof = get_profile(a.env)
         runner.run_streams(spark, a.root, prof, a.feeds, a.format, available_now=a.available_now)
