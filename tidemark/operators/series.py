@@ -20,15 +20,17 @@ partitions by (keys, time chunk) and repairs only the rows near chunk edges:
    the same shuffle (Spark reuses the exchange), so the data moves once.
 
 The result equals the single-window result row for row.  ``strategy =
-"auto"`` (the default) checks the size of the DataFrame's input files: when
-the whole input is below ``tidemark.series.directMaxBytes`` (default 128 MB
-of files) no series can be large and the plain single-window plan is used;
-a larger input, or one of unknown size (no input files), takes the chunked
-plan.  ``"direct"`` and ``"chunked"`` force either plan.
+"auto"`` (the default) checks Spark's own size estimate of the input (the
+statistic behind broadcast decisions): below ``tidemark.series.directMaxBytes``
+(default 128 MB) no series can be large and the plain single-window plan is
+used; a larger input, or one whose size is unknown, takes the chunked plan.
+``"direct"`` and ``"chunked"`` force either plan.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
 from typing import Callable
 
@@ -37,7 +39,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timecols as tc
-from ..session import input_bytes
 
 _FAR_PAST_CHUNK = -(1 << 62)
 
@@ -124,14 +125,27 @@ DIRECT_MAX_BYTES_KEY = "tidemark.series.directMaxBytes"
 DIRECT_MAX_BYTES = 128 * 1024 * 1024
 
 
-def choose_strategy(df: DataFrame) -> str:
-    """``direct`` when the input files of ``df`` are provably small, else ``chunked``."""
+_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (the statistic behind broadcast
+    decisions), read through ``EXPLAIN COST``; None when it cannot be read."""
     spark = df.sparkSession
-    limit = int(spark.conf.get(DIRECT_MAX_BYTES_KEY, str(DIRECT_MAX_BYTES)))
-    files = df.inputFiles()
-    if not files:
-        return "chunked"
-    size = input_bytes(spark, files)
+    view = f"__tm_size_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    try:
+        text = spark.sql(f"EXPLAIN COST SELECT * FROM {view}").first()[0]
+    finally:
+        spark.catalog.dropTempView(view)
+    m = re.search(r"sizeInBytes=([0-9.]+)\s*(EiB|PiB|TiB|GiB|MiB|KiB|B)", text)
+    return int(float(m.group(1)) * _UNITS[m.group(2)]) if m else None
+
+
+def choose_strategy(df: DataFrame) -> str:
+    """``direct`` when Spark's size estimate of ``df`` is below the limit, else ``chunked``."""
+    limit = int(df.sparkSession.conf.get(DIRECT_MAX_BYTES_KEY, str(DIRECT_MAX_BYTES)))
+    size = estimated_bytes(df)
     return "direct" if size is not None and size <= limit else "chunked"
 
 

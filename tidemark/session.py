@@ -130,14 +130,3 @@ def fs_list(spark: SparkSession, path: str) -> list[str]:
         return []
     return [st.getPath().getName() for st in fs.listStatus(p)]
 
-
-def input_bytes(spark: SparkSession, files: list[str], max_files: int = 256) -> int | None:
-    """Total size of the given input files, or None when there are more than
-    ``max_files`` of them (then the input is treated as large without listing)."""
-    if len(files) > max_files:
-        return None
-    total = 0
-    for f in files:
-        p, fs = _fs(spark, f)
-        total += int(fs.getFileStatus(p).getLen())
-    return total
