@@ -20,7 +20,8 @@ from ..operators import features as ft
 from ..operators import feeds, model, profile
 from ..operators.rollup import rollup_5min, rollup_15min, window_sum
 from ..session import scratch_dir
-from ..sources import tables
+from ..sources import files, tables
+from ..sources.schemas import CALENDAR_SCHEMA
 from ..streaming import runner
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +69,11 @@ def q_agg_30min(spark, d):
     return window_sum(tables.demand_5min(spark, d), "30 minutes")
 
 
+@query("agg_60min")
+def q_agg_60min(spark, d):
+    return window_sum(tables.demand_5min(spark, d), "60 minutes")
+
+
 # ---------------------------------------------------------------- series features
 @query("lag_features")
 def q_lag_features(spark, d):
@@ -84,6 +90,28 @@ for _stat in ft.ROLLING_STATS:
     query(f"rolling_{_stat}")(lambda spark, d, _s=_stat: _rolling(spark, d, _s))
 
 
+T5 = "demand_5min_total"
+LAGS_5MIN = [1, 2, 3]
+WINDOWS_5MIN = [3, 12]
+
+
+@query("lag_features_5min")
+def q_lag_features_5min(spark, d):
+    """Lags with a custom time column, target and periods (the 5-minute rollup)."""
+    agg5 = rollup_5min(tables.demand_5min(spark, d))
+    out = ft.create_lag_features(agg5, time_col="timestamp_5min", target_col=T5, lag_periods=LAGS_5MIN)
+    return out.select("item_id", "store_id", "timestamp_5min", T5, *[ft.lag_name(T5, k) for k in LAGS_5MIN])
+
+
+@query("rolling_features_5min")
+def q_rolling_features_5min(spark, d):
+    """Rolling statistics with custom frames on the 5-minute rollup."""
+    agg5 = rollup_5min(tables.demand_5min(spark, d))
+    out = ft.create_rolling_features(agg5, time_col="timestamp_5min", target_col=T5, windows=WINDOWS_5MIN)
+    names = [ft.rolling_name(T5, s_, n) for n in WINDOWS_5MIN for s_ in ft.ROLLING_STATS]
+    return rounded(out.select("item_id", "store_id", "timestamp_5min", T5, *names))
+
+
 @query("target_lead")
 def q_target_lead(spark, d):
     out = ft.create_target_variable(_agg15(spark, d), horizon=1)
@@ -163,6 +191,14 @@ def q_prices_feed(spark, d):
     return feeds.transform_prices(tables.prices(spark, d), with_time=False)
 
 
+@query("calendar_csv_feed")
+def q_calendar_csv_feed(spark, d):
+    """Calendar dropped as CSV, read back as a batch with the declared schema, then transformed."""
+    path = scratch_dir(spark, "calendar-csv")
+    tables.calendar(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    return feeds.transform_calendar(files.read_feed(spark, path, CALENDAR_SCHEMA, "csv"), with_time=False)
+
+
 @query("source_monitor")
 def q_source_monitor(spark, d):
     outs = {

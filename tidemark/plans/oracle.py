@@ -368,6 +368,18 @@ AGG5_COLS = [
 ]
 
 
+SER5 = "PARTITION BY item_id, store_id ORDER BY timestamp_5min ASC NULLS FIRST"
+T5 = "demand_5min_total"
+
+
+def _roll5(stat: str, n: int) -> str:
+    frame = f"({SER5} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    fn = {"avg": f"avg(CAST({T5} AS DOUBLE))", "std": f"stddev_samp(CAST({T5} AS DOUBLE))",
+          "min": f"min({T5})", "max": f"max({T5})"}[stat]
+    expr = f"{fn} OVER {frame}"
+    return r6(expr, f"{T5}_rolling_{stat}_{n}") if stat in ("avg", "std") else f"{expr} AS {T5}_rolling_{stat}_{n}"
+
+
 def _rolling_query(stat: str) -> str:
     cols = [rolling_sql(stat, n) for n in WINDOWS]
     names = [f"{T}_rolling_{stat}_{n}" for n in WINDOWS]
@@ -413,6 +425,15 @@ SELECT item_id, store_id, time_bucket(INTERVAL 30 MINUTE, "timestamp") AS window
        CAST(sum(demand_5min) AS BIGINT) AS demand_30min
 FROM demand_5min GROUP BY ALL""",
     "lag_features": f"{BASE}\nSELECT {KEYS}, {T}, {', '.join(lag_sql(k) for k in LAGS)} FROM agg15",
+    "agg_60min": with_(DEMAND_5MIN) + """
+SELECT item_id, store_id, time_bucket(INTERVAL 60 MINUTE, "timestamp") AS window_start,
+       time_bucket(INTERVAL 60 MINUTE, "timestamp") + INTERVAL 60 MINUTE AS window_end,
+       CAST(sum(demand_5min) AS BIGINT) AS demand_60min
+FROM demand_5min GROUP BY ALL""",
+    "lag_features_5min": with_(DEMAND_5MIN, AGG5) + f"\nSELECT item_id, store_id, timestamp_5min, {T5}, "
+    + ", ".join(f"lag({T5}, {k}) OVER ({SER5}) AS {T5}_lag_{k}" for k in (1, 2, 3)) + " FROM agg5",
+    "rolling_features_5min": with_(DEMAND_5MIN, AGG5) + f"\nSELECT item_id, store_id, timestamp_5min, {T5}, "
+    + ", ".join(_roll5(s_, n) for n in (3, 12) for s_ in STATS) + " FROM agg5",
     "rolling_avg": _rolling_query("avg"),
     "rolling_std": _rolling_query("std"),
     "rolling_min": _rolling_query("min"),
@@ -446,6 +467,7 @@ FROM demand_5min GROUP BY ALL""",
 
 FEED_SQL = {
     "calendar_feed": CALENDAR_FEED,
+    "calendar_csv_feed": CALENDAR_FEED,
     "sales_feed": SALES_FEED,
     "prices_feed": PRICES_FEED,
     "source_monitor": SOURCE_MONITOR,
