@@ -18,6 +18,6 @@ def test_plan_shape(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, (name, bad)
-    read = {c.strip().split("#")[0] for s in re.findall(r"FileScan parquet [^\[]*\[([^\]]*)\]", plan)
+    read = {c.strip().split("#")[0] for s in re.findall(r"FileScan (?:parquet|csv|json) [^\[]*\[([^\]]*)\]", plan)
             for c in s.split(",")}
     assert read and not (read & NEVER_READ), (name, read & NEVER_READ)
