@@ -325,6 +325,16 @@ def q_stream_parquet(spark, d):
     return run_feed_stream(spark, tables.prices(spark, d), "prices", "parquet")
 
 
+@query("stream_sales_json")
+def q_stream_sales_json(spark, d):
+    return run_feed_stream(spark, tables.sales_wide(spark, d), "sales", "json")
+
+
+@query("stream_sales_parquet")
+def q_stream_sales_parquet(spark, d):
+    return run_feed_stream(spark, tables.sales_wide(spark, d), "sales", "parquet")
+
+
 @query("stream_progress")
 def q_stream_progress(spark, d):
     root = scratch_dir(spark, "stream-progress")

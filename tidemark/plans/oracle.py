@@ -476,6 +476,8 @@ FEED_SQL = {
     "stream_prices": PRICES_FEED,
     "stream_json": CALENDAR_FEED,
     "stream_parquet": PRICES_FEED,
+    "stream_sales_json": SALES_FEED,
+    "stream_sales_parquet": SALES_FEED,
 }
 
 ORACLE_SQL: dict[str, str] = {**DEMAND_SQL, **FEED_SQL, **PROFILE_SQL}
