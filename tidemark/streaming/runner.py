@@ -8,6 +8,7 @@ resumes after the last committed file and never duplicates rows.
 from __future__ import annotations
 
 import os
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,9 +81,13 @@ def run_streams(spark: SparkSession, root: str, profile: Profile | str = "develo
     Returns the list of queries (stopped when the wait is over).
     """
     queries = [start_feed(spark, f, root, profile, fmt, available_now=available_now) for f in feeds]
+    deadline = time.monotonic() + timeout_s if timeout_s else None
     try:
         for q in queries:
-            q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+            if deadline is None:
+                q.awaitTermination()
+            else:
+                q.awaitTermination(max(0.0, deadline - time.monotonic()))
     finally:
         stop_all(queries)
     return queries
