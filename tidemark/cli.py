@@ -12,6 +12,7 @@ import argparse
 
 from pyspark.sql import functions as F
 
+from .operators import evaluate
 from .operators import features as ft
 from .operators import model
 from .session import build_session, get_profile
@@ -50,10 +51,9 @@ def main(argv=None) -> None:
     elif a.cmd == "score":
         fitted, _ = model.load_model(spark, model.latest_model(spark, a.models))
         ml, _, target = ft.prepare_features_for_ml(ft.demand_features(tables.demand_5min(spark, a.sf)))
-        res = model.score_batch(fitted, ml, target)
-        res.write.mode("overwrite").parquet(a.out)
-        model_metrics = spark.read.parquet(a.out).agg(F.count(F.lit(1)).alias("rows"))
-        model_metrics.show()
+        model.score_batch(fitted, ml, target).write.mode("overwrite").parquet(a.out)
+        scored = spark.read.parquet(a.out)
+        evaluate.forecast_metrics(scored).withColumn("rows", F.lit(scored.count())).show(truncate=False)
     elif a.cmd == "features":
         store.write_partitioned(ft.demand_features(tables.demand_5min(spark, a.sf)), a.out)
     else:
