@@ -71,3 +71,20 @@ def test_missing_required_column_raises(spark):
     df = spark.createDataFrame([("a",)], "item_id string")
     with pytest.raises(ValueError, match="Required column missing"):
         ft.scoring_demand_rows(df)
+
+
+def test_step_by_step_chain_equals_one_pass(spark, sf_small):
+    from tidemark.operators.rollup import time_window_aggregations
+
+    dem = tables.demand_5min(spark, sf_small)
+    _agg5, agg15 = time_window_aggregations(dem)
+    step = ft.create_lag_features(agg15)
+    step = ft.create_rolling_features(step)
+    step = ft.create_calendar_features(step)
+    step = ft.create_target_variable(step)
+    one = ft.demand_features(dem)
+    assert sorted(step.columns) == sorted(one.columns)
+    assert step.select(one.columns).exceptAll(one).count() == 0
+    ml_a, feats_a, target_a = ft.prepare_features_for_ml(step)
+    ml_b, feats_b, target_b = ft.prepare_features_for_ml(one)
+    assert sorted(feats_a) == sorted(feats_b) and len(feats_a) == 49 and target_a == target_b
