@@ -131,3 +131,37 @@ def test_series_features_like_pandas(spark):
             want = fn.reset_index(level=[0, 1], drop=True).sort_index()
             got = out[ft.rolling_name(ft.TARGET_COL, stat, n)].astype("float64")
             assert np.allclose(got.fillna(-1), want.fillna(-1)), (stat, n)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from tidemark.operators.rollup import rollup_15min  # noqa: E402
+
+from .test_rollup import demand_rows  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=st.lists(
+    st.tuples(st.sampled_from(["view", "click"]), st.sampled_from(["CA_1", "WI_1"]),
+              st.integers(min_value=0, max_value=3 * 24 * 3600), st.one_of(st.none(), st.integers(0, 99))),
+    min_size=1, max_size=80))
+def test_rollup_15min_like_pandas(spark, rows):
+    base = dt.datetime(2024, 3, 9)
+    data = [(i, s, base + dt.timedelta(seconds=sec), d) for i, s, sec, d in rows]
+    got = rollup_15min(demand_rows(spark, data)).toPandas()
+    pdf = pd.DataFrame(data, columns=["item_id", "store_id", "ts", "d"])
+    pdf["d"] = pdf["d"].astype("float64")
+    pdf["bucket"] = pdf["ts"].dt.floor("15min")
+    g = pdf.groupby(["item_id", "store_id", "bucket"])["d"]
+    want = pd.DataFrame({"sum": g.sum(min_count=1), "mean": g.mean(), "count": g.count(), "std": g.std(),
+                         "min": g.min(), "max": g.max()}).reset_index()
+    assert len(got) == len(want)
+    m = want.merge(got, left_on=["item_id", "store_id", "bucket"],
+                   right_on=["item_id", "store_id", "timestamp_15min"], how="left")
+    assert m["demand_15min_count"].notna().all()
+    for ours, theirs in [("demand_15min_total", "sum"), ("demand_15min_avg", "mean"), ("demand_15min_count", "count"),
+                         ("demand_15min_std", "std"), ("demand_15min_min", "min"), ("demand_15min_max", "max")]:
+        a = m[ours].astype("float64").fillna(-1).to_numpy()
+        b = m[theirs].astype("float64").fillna(-1).to_numpy()
+        assert np.allclose(a, b), ours
