@@ -22,7 +22,7 @@ SKIP = {"train_metrics", "score_batch", "feature_importance", "stream_progress"}
 
 def summary(plan: str) -> dict:
     final = plan.split("== Initial Plan ==")[0]
-    scans = re.findall(r"FileScan parquet [^\[]*\[([^\]]*)\]", final)
+    scans = re.findall(r"FileScan (?:parquet|csv|json) [^\[]*\[([^\]]*)\]", final)
     return {
         "scans": len(scans),
         "columns": sorted({c.strip().split("#")[0] for s in scans for c in s.split(",")}),
