@@ -27,6 +27,15 @@ HEADLINE = [
 ]
 
 
+def driver_memory() -> str:
+    """60 % of physical memory, between 2 and 8 GB (local mode: the driver is the executor)."""
+    try:
+        phys = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(2, min(8, int(phys * 0.6 / 2**30)))}g"
+
+
 def run(spark, name: str, sf: str) -> float:
     t0 = time.perf_counter()
     QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
@@ -38,7 +47,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = build_session("tidemark-bench", master=f"local[{cpus}]", shuffle_partitions=max(2 * cpus, 8),
-                          extra={"spark.driver.memory": "8g"})
+                          extra={"spark.driver.memory": driver_memory()})
     run(spark, "agg_15min", sf)  # warm-up: JVM, codegen caches, file listing
     times = {n: round(run(spark, n, sf), 3) for n in names}
     sf_name = os.path.basename(os.path.normpath(sf)).replace("sf", "")
