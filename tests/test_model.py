@@ -52,3 +52,14 @@ def test_train_save_load_score(spark, sf_small):
     assert imp.count() == 5
     with pytest.raises(FileNotFoundError):
         model.load_model(spark, root + "/missing")
+
+
+def test_predict_fills_absent_features_and_rejects_none(spark, sf_small):
+    ml, feats, target = ft.prepare_features_for_ml(ft.demand_features(tables.demand_5min(spark, sf_small)))
+    fitted = model.build_pipeline(feats, target, model.GBTParams(max_iter=2, early_stopping=False)).fit(ml)
+    wanted = model.assembled_inputs(fitted)
+    assert set(wanted) == set(feats)
+    partial = ml.drop("demand_15min_total_lag_24", "cat_id")
+    assert model.predict(fitted, partial).filter(F.col("prediction").isNull()).count() == 0
+    with pytest.raises(ValueError, match="No valid feature columns"):
+        model.predict(fitted, ml.select("item_id", "store_id"))
