@@ -67,7 +67,9 @@ def build_pipeline(feature_cols: list[str], target: str, params: GBTParams = GBT
     if cats:
         stages.append(category_indexer(cats))
     stages.append(VectorAssembler(inputCols=assembled, outputCol="features", handleInvalid="keep"))
-    stopping = {"validationIndicatorCol": SPLIT_COL, "validationTol": params.validation_tol} if params.early_stopping else {}
+    stopping = (
+        {"validationIndicatorCol": SPLIT_COL, "validationTol": params.validation_tol} if params.early_stopping else {}
+    )
     gbt = GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction",
         maxIter=params.max_iter, maxDepth=params.max_depth, stepSize=params.step_size,
@@ -138,7 +140,9 @@ def train_model(ml: DataFrame, feature_cols: list[str], target: str, test_size:
     finally:
         cached.unpersist()
     spark = ml.sparkSession
-    metrics = spark.createDataFrame([tuple(row)], "train_mae double, train_rmse double, test_mae double, test_rmse double")
+    metrics = spark.createDataFrame(
+        [tuple(row)], "train_mae double, train_rmse double, test_mae double, test_rmse double"
+    )
     pred = model.transform(with_split(ml, TIME_COL, test_size, cutoff))
     return model, metrics, pred.filter(F.col(SPLIT_COL))
 

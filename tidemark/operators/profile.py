@@ -35,7 +35,8 @@ def shape(df: DataFrame) -> DataFrame:
 
 def column_types(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
-    return spark.createDataFrame([(i, c, t) for i, (c, t) in enumerate(df.dtypes)], "position int, column string, type string")
+    rows = [(i, c, t) for i, (c, t) in enumerate(df.dtypes)]
+    return spark.createDataFrame(rows, "position int, column string, type string")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
