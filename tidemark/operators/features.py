@@ -105,9 +105,15 @@ def create_target_variable(df, target_col=TARGET_COL, horizon=1, time_col=TIME_C
     return add_series_features(df, time_col, target_col, lags=(), windows=(), horizons=horizons, **kw)
 
 
+def _calendar_columns(time_col: str) -> dict:
+    """``timestamp_dt`` (the bucket time the flags are read from; never a
+    feature, by its name) and the ten calendar features."""
+    return {"timestamp_dt": F.col(time_col)} | tc.calendar_feature_columns(time_col, "day_of_week", "month")
+
+
 def create_calendar_features(df: DataFrame, time_col: str = TIME_COL) -> DataFrame:
     """Ten calendar features of the bucket start (row-local, no shuffle)."""
-    return df.withColumns(tc.calendar_feature_columns(time_col, "day_of_week", "month"))
+    return df.withColumns(_calendar_columns(time_col))
 
 
 def add_business_hours(df: DataFrame, hour_col: str = "hour") -> DataFrame:
@@ -129,7 +135,7 @@ def demand_features(
     """
     agg = rollup_15min(demand, value)
     feats = add_series_features(agg, TIME_COL, TARGET_COL, lags=lags, windows=windows, horizons=horizons, **series_kw)
-    cal = tc.calendar_feature_columns(TIME_COL, "day_of_week", "month")
+    cal = _calendar_columns(TIME_COL)
     targets = [target_name(TARGET_COL, h) for h in horizons]
     head = [c for c in feats.columns if c not in targets]
     return feats.select(*head, *[v.alias(k) for k, v in cal.items()], *targets)

@@ -116,12 +116,13 @@ feats AS (
   SELECT *,
          {", ".join(lag_sql(k) for k in LAGS)},
          {", ".join(rolling_sql(s, n) for n in WINDOWS for s in STATS)},
+         timestamp_15min AS timestamp_dt,
          {", ".join(f"{v} AS {k}" for k, v in CAL_SQL.items())},
          {lead_sql(1)}
   FROM agg15
 )"""
 
-FEATURE_TABLE_COLS = AGG15_COLS + LAG_NAMES + ROLL_NAMES + list(CAL_SQL) + [f"target_{T}_next_1"]
+FEATURE_TABLE_COLS = AGG15_COLS + LAG_NAMES + ROLL_NAMES + ["timestamp_dt"] + list(CAL_SQL) + [f"target_{T}_next_1"]
 FEATURE_DOUBLES = AGG15_DOUBLES | ROLL_DOUBLES
 EXCLUDED = ["timestamp", "date", "target_", "item_id", "store_id"]
 ML_FEATURES = [c for c in FEATURE_TABLE_COLS if not any(x in c.lower() for x in EXCLUDED)]
