@@ -88,3 +88,11 @@ def test_step_by_step_chain_equals_one_pass(spark, sf_small):
     ml_a, feats_a, target_a = ft.prepare_features_for_ml(step)
     ml_b, feats_b, target_b = ft.prepare_features_for_ml(one)
     assert sorted(feats_a) == sorted(feats_b) and len(feats_a) == 49 and target_a == target_b
+
+
+def test_recomputing_a_step_replaces_columns(spark, sf_small):
+    agg = ft.rollup_15min(tables.demand_5min(spark, sf_small))
+    once = ft.create_lag_features(agg)
+    twice = ft.create_lag_features(once)
+    assert twice.columns == once.columns
+    assert twice.exceptAll(once).count() == 0

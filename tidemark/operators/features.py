@@ -87,7 +87,8 @@ def add_series_features(
              + lead_exprs(target_col, horizons))
     base = _with_clean_value(df, target_col) if windows else df
     out = S.over_series(base, list(keys), time_col, exprs, **series_kw)
-    ordered = df.columns + [e.name for e in exprs]
+    names = [e.name for e in exprs]
+    ordered = [c for c in df.columns if c not in names] + names
     return out.select(*ordered)
 
 
