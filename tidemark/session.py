@@ -59,6 +59,17 @@ BASE_CONF = {
 }
 
 
+# Defaults for cluster sessions (not local ones), each applied only where
+# neither the caller nor the launcher set it: many shuffle partitions that
+# adaptive execution coalesces to ~256 MB each, and 256 MB scan splits, so
+# neither a 100 TB scan nor its shuffles overfill a task.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def build_session(
     app_name: str = "tidemark",
     master: str | None = None,
@@ -84,6 +95,11 @@ def build_session(
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.master.startswith("local"):
+        launcher = spark.sparkContext.getConf()
+        for k, v in CLUSTER_CONF.items():
+            if k not in conf and not launcher.contains(k):
+                spark.conf.set(k, v)
     return spark
 
 
