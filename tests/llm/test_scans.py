@@ -1,0 +1,145 @@
+"""PII, secret scan, quality rules and BPE against brute force."""
+
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from tidemark.llm import bpe, pii, quality_rules, secret_scan
+from tests.llm.helpers import all_texts, pii_base, secret_base, words
+
+SCHEMA = "doc_id long, text string, source string, n_words string, spans string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, ["a", "b", None][i % 3], "clash", "clash") for i, t in enumerate(all_texts())]
+    rows += [(7, rows[7][1], "a", None, None), (None, "ten 10.0.0.1", None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(4).cache()
+
+
+def texts_of(docs):
+    return Counter((r.doc_id, r.text) for r in docs.collect())
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def base_only(spans, kinds):
+    return ",".join(x for x in spans.split(",") if x.split(":")[0] in kinds)
+
+
+def test_pii_base_spans(docs):
+    want = Counter((i, sha(pii_base(t or ""))) for (i, t), n in texts_of(docs).items() for _ in range(n))
+    rows = pii.find(docs).collect()
+    assert Counter((r.doc_id, r.base_sha256) for r in rows) == want
+    for r in rows:
+        base = base_only(r.spans, pii.BASE_KINDS)
+        assert sha(base) == r.base_sha256
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x.startswith(k + ":") for x in base.split(",")) for k in pii.BASE_KINDS]
+
+
+def test_pii_added_spans():
+    a = pii.automaton()
+    found = lambda t: {(k, t[s:e]) for s, _, e, k in pii.scan(t, a)}
+    assert ("url", "ftp://bob:pw1@host.example.com/x") in found("see ftp://bob:pw1@host.example.com/x now")
+    assert ("iban", "DE89 3704 0044 0532 0130 00") in found("IBAN: DE89 3704 0044 0532 0130 00 thanks")
+    assert not any(k == "iban" for k, _ in found("IBAN: DE88 3704 0044 0532 0130 00"))
+    assert ("account", "12345678") in found("Account number: 12345678.")
+    assert ("ssn", "123-45-6789") in found("SSN 123-45-6789")
+    assert ("address", "221B Baker Street") in found("lives at 221B Baker Street, London")
+
+
+def test_pii_long_text_is_whole(spark):
+    t = "word " * 50_000 + "end@example.com"
+    r = pii.find(spark.createDataFrame([(1, t)], "doc_id long, text string")).first()
+    assert (r.n_email, r.spans) == (1, f"email:250000:{len(t)}")
+
+
+def test_secrets_base_spans(docs):
+    want = Counter((i, sha(secret_base(t or ""))) for (i, t), n in texts_of(docs).items() for _ in range(n))
+    rows = secret_scan.secret_scan(docs, repo=F.col("source")).collect()
+    assert Counter((r.doc_id, r.base_sha256) for r in rows) == want
+    for r in rows:
+        base = base_only(r.spans, secret_scan.BASE_KINDS)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(x.startswith(k + ":") for x in base.split(",")) for k in secret_scan.BASE_KINDS]
+
+
+def test_ownership_separates_examples(spark):
+    copied, live = "token = Zx81kQpLm20aBvC", "token = q8Rk2LmZ0pXcVbN"
+    rows = [(i, copied, f"r{i}", f"o{i % 4}") for i in range(40)] + [(100, live, "r1", "o1"), (101, live, "r1", "o1"), (102, "token = aaaaaaaa", "r2", None), (103, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, repo string, owner string")
+    own = {(r.n_seen, r.n_repos, r.n_owners) for r in secret_scan.ownership(secret_scan.candidates(df, repo=F.col("repo"), owner=F.col("owner"))).collect()}
+    assert own == {(40, 40, 4), (2, 1, 1), (1, 1, 1)}
+    out = {r.doc_id: (r.n_example, r.n_live, r.n_weak) for r in secret_scan.secret_scan(df, repo=F.col("repo"), owner=F.col("owner")).collect()}
+    assert all(out[i] == (1, 0, 0) for i in range(40))
+    assert out[100] == out[101] == (0, 1, 0)
+    assert out[102] == (0, 0, 1)
+    assert out[103] == (0, 0, 0)
+
+
+def brute_quality(t):
+    w = words(t)
+    lines = [x for x in (t or "").split("\n") if words(x)]
+    tri = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    n = Counter(tri)
+    rep = {j for i, x in enumerate(tri) if n[x] > 1 for j in (i, i + 1, i + 2)}
+    return len(w), sum(map(len, w)), sum((t or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(rep), len(w) < 50 or 100 * len(rep) > 50 * len(w)
+
+
+def test_quality_counts(docs):
+    want = Counter((i, *brute_quality(t)) for (i, t), n in texts_of(docs).items() for _ in range(n))
+    rows = quality_rules.judge(docs).collect()
+    assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in rows) == want
+    assert not any(r.kept for r in rows if r.base_failed)
+
+
+def test_quality_threshold_table(spark):
+    text = " ".join(f"word{i} of the" for i in range(40))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert quality_rules.judge(df).first().kept
+    assert not quality_rules.judge(df, rules=(("short", "mean_word", 9.0, None),)).first().kept
+    plan = quality_rules.judge(df)._jdf.queryExecution().toString()
+    assert "Python" not in plan.split("== Physical Plan ==")[1].split("Scan")[0]
+
+
+@pytest.fixture(scope="module")
+def reference_bpe():
+    import base64
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe_equals_library(docs, reference_bpe):
+    want = Counter()
+    for (i, t), n in texts_of(docs).items():
+        ids = reference_bpe.encode_ordinary(t or "")
+        want[i, len(ids), sha(",".join(map(str, ids))), sha(t or "")] += n
+    rows = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows) == want
+
+
+def test_bpe_long_pre_tokens(reference_bpe):
+    import random
+
+    rng = random.Random(3)
+    enc = bpe.encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    for n in (1, 2, 3, 17, 300, 20_000):
+        for alphabet in ("a", "ab", "abcdefghijklmnopqrstuvwxyzé", "thing", "<|endoftext|>"):
+            t = "".join(rng.choice(alphabet) for _ in range(n))
+            if n < 20_000 or len(alphabet) > 2:
+                assert enc.encode(t) == reference_bpe.encode_ordinary(t), (n, alphabet)
+            assert enc.decode(enc.encode(t)) == t.encode()
+
+
+def test_empty_tables(spark):
+    e = spark.createDataFrame([], SCHEMA)
+    assert pii.find(e).count() == 0
+    assert secret_scan.secret_scan(e, repo=F.col("source")).count() == 0
+    assert quality_rules.judge(e).count() == 0
+    assert bpe.round_trip(e, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
