@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, pii, quality_rules, secret_scan
+from . import bpe, html_text, pii, quality_rules, secret_scan, warc
 from .common import table
 
 
@@ -18,6 +18,14 @@ def op3_secret_scan(spark, sf_dir):
     return secret_scan.secret_scan(docs, repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
 
 
+def op4_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -27,5 +35,23 @@ def op8_bpe(spark, sf_dir):
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_secret_scan, op7_quality_rules, op8_bpe)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_pii, op3_secret_scan, op4_html_text, op5_warc, op7_quality_rules, op8_bpe)}
+
+#: Base 32 of a hexadecimal digest: 5 bits a digit, from 20 bytes exactly 32 digits.
+_BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+    CASE (i * 5) % 4 WHEN 0 THEN (nib(d, i * 5 // 4) * 2 + nib(d, i * 5 // 4 + 1) // 8)
+    WHEN 1 THEN (nib(d, i * 5 // 4) % 8 * 4 + nib(d, i * 5 // 4 + 1) // 4)
+    WHEN 2 THEN (nib(d, i * 5 // 4) % 4 * 8 + nib(d, i * 5 // 4 + 1) // 2)
+    ELSE (nib(d, i * 5 // 4) % 2 * 16 + nib(d, i * 5 // 4 + 1)) END)::INTEGER, 1) FOR i IN range(32)], '')"""
+for _at in ("i * 5 // 4 + 1", "i * 5 // 4"):
+    _BASE32 = _BASE32.replace(f"nib(d, {_at})", f"(strpos('0123456789abcdef', substr(d, ({_at} + 1)::INTEGER, 1)) - 1)")
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": f"""
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS d FROM pages),
+        g AS (SELECT d, max(page_id) AS best FROM p GROUP BY d)
+        SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+            CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> best THEN best END AS refers_to
+        FROM p JOIN g USING (d)""",
+}
