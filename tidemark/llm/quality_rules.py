@@ -27,25 +27,16 @@ SPACE = r"[ \t-\r]+"  # \x20 and \x09 to \x0D
 
 #: The threshold table: (rule, metric, lowest, highest), bounds inclusive; None is open.
 RULES = (
-    ("word_length", "mean_word", 2.0, 12.0),
-    ("symbols", "symbol_ratio", None, 0.3),
+    ("word_length", "mean_word", 3.0, 10.0),
+    ("symbols", "symbol_ratio", None, 0.05),
     ("stop_words", "n_stop", 2.0, None),
-    ("duplicate_lines", "dup_line_ratio", None, 0.3),
-    ("short_lines", "mean_line_words", 2.0, None),
-    ("alphabetic", "alpha_ratio", 0.5, None),
+    ("stop_share", "stop_ratio", 0.05, None),
+    ("duplicate_lines", "dup_line_ratio", None, 0.5),
+    ("short_lines", "mean_line_words", 3.0, None),
+    ("alphabetic", "alpha_ratio", 0.7, None),
 )
 
 
-def _repeated_words(words: str) -> str:
-    """SQL: words inside 3-word windows that occur twice or more.
-
-    Windows are sorted by (hash, position); those equal to a neighbour are
-    repeated.  Their positions, sorted, cover ``min(3, gap to the next)`` words each.
-    """
-    windows = f"transform(slice({words}, 1, size({words}) - 2), (w, i) -> named_struct('h', xxhash64(w, {words}[i + 1], {words}[i + 2]), 'i', i))"
-    return windows
-
-
 def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the counts and ratios as columns ``n_words word_chars n_symbols n_dup_lines n_repeat_words ...``."""
     t = F.coalesce(F.col(text), F.lit(""))
@@ -60,7 +51,8 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
             "(x, y) -> struct(xxhash64(x.a, x.b, y.c) AS h, y.i AS i))) END"
         ),
     )
-    # positions of the repeated windows, in order; each holds its gap to the next one
+    # windows sorted by (hash, position): one that equals a neighbour is repeated;
+    # positions of the repeated windows, in order
     step = step.withColumn(
         "_rep",
         F.expr(
@@ -88,6 +80,7 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     return (
         out.withColumn("mean_word", ratio("word_chars", "n_words"))
         .withColumn("symbol_ratio", ratio("n_symbols", "word_chars"))
+        .withColumn("stop_ratio", ratio("n_stop", "n_words"))
         .withColumn("dup_line_ratio", ratio("n_dup_lines", "n_lines"))
         .withColumn("mean_line_words", ratio("n_words", "n_lines"))
         .withColumn("alpha_ratio", ratio("_letters", "word_chars"))

@@ -46,7 +46,33 @@ _BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
 for _at in ("i * 5 // 4 + 1", "i * 5 // 4"):
     _BASE32 = _BASE32.replace(f"nib(d, {_at})", f"(strpos('0123456789abcdef', substr(d, ({_at} + 1)::INTEGER, 1)) - 1)")
 
+_QUALITY_WORDS = r"[w FOR w IN regexp_split_to_array(t, '[ \t-\r]+') IF w <> '']"
+_RULES_SQL = " AND ".join(
+    f"{metric} {op} {bound}" for _, metric, low, high in quality_rules.RULES for op, bound in ((">=", low), ("<=", high)) if bound is not None
+)
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_quality_rules": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT r, doc_id, t, {_QUALITY_WORDS} AS w, [l FOR l IN string_split(t, chr(10)) IF regexp_matches(l, '[^ \t-\r]')] AS lines FROM d),
+        tri AS (SELECT r, i, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c FROM w, unnest(range(len(w) - 2)) AS u(i)),
+        rep AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM tri),
+        cov AS (SELECT r, count(DISTINCT i + k) AS n FROM rep, unnest(range(3)) AS u(k) WHERE n > 1 GROUP BY r),
+        m AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars,
+            (length(t) - length(translate(t, '{quality_rules.SYMBOLS}', '')))::BIGINT AS n_symbols, len(lines) AS n_lines,
+            len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
+            len([x FOR x IN w IF lower(x) IN ({", ".join(f"'{x}'" for x in quality_rules.STOP_WORDS)})]) AS n_stop,
+            length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS letters
+            FROM w LEFT JOIN cov USING (r)),
+        x AS (SELECT *, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word,
+            CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END AS symbol_ratio,
+            CASE WHEN n_words > 0 THEN n_stop / n_words ELSE 0 END AS stop_ratio,
+            CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_ratio,
+            CASE WHEN n_lines > 0 THEN n_words / n_lines ELSE 0 END AS mean_line_words,
+            CASE WHEN word_chars > 0 THEN letters / word_chars ELSE 0 END AS alpha_ratio,
+            n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND {_RULES_SQL} AS kept FROM x""",
     "op5_warc": f"""
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS d FROM pages),
         g AS (SELECT d, max(page_id) AS best FROM p GROUP BY d)
