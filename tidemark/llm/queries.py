@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, pii, quality_rules, secret_scan, warc
+from . import bpe, html_text, jaccard, pii, quality_rules, secret_scan, warc
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op1_pii(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
 
 
+def op2_jaccard(spark, sf_dir):
+    return jaccard.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return secret_scan.secret_scan(docs, repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
@@ -35,7 +39,7 @@ def op8_bpe(spark, sf_dir):
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_secret_scan, op4_html_text, op5_warc, op7_quality_rules, op8_bpe)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_jaccard, op3_secret_scan, op4_html_text, op5_warc, op7_quality_rules, op8_bpe)}
 
 #: Base 32 of a hexadecimal digest: 5 bits a digit, from 20 bytes exactly 32 digits.
 _BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
