@@ -20,6 +20,7 @@ import hashlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -27,13 +28,14 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow
 
+WIDE = 512  # longer pre-tokens keep a bucket's positions in a heap
 LEAF = 8  # bits of a leaf word's index within the summary: 256 ranks a leaf
 
 
 class Encoder:
     """Ranks, the split pattern and a bounded cache of encoded pre-tokens."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_entries: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_entries: int = 1_200_000):
         self.ranks = ranks
         self.findall = regex.compile(pattern).findall
         self.by_id = {i: t for t, i in ranks.items()}
@@ -42,7 +44,7 @@ class Encoder:
         self.cache_entries = cache_entries
 
     @classmethod
-    def from_file(cls, path: str, pattern: str, cache_entries: int = 400_000) -> Encoder:
+    def from_file(cls, path: str, pattern: str, cache_entries: int = 1_200_000) -> Encoder:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         return cls(ranks, pattern, cache_entries)
@@ -52,6 +54,81 @@ class Encoder:
         ranks = self.ranks
         if (whole := ranks.get(piece)) is not None:
             return [whole]
+        if len(piece) > WIDE:
+            return self._merge_wide(piece)
+        n = len(piece)
+        get = ranks.get
+        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
+        pair = [get(piece[i : i + 2], -1) for i in range(n)]  # rank of the pair that begins here
+        pair[-1] = -1
+        buckets: dict[int, int] = {}  # rank -> bitmap of positions
+        leaves: dict[int, int] = {}
+        summary = 0
+        for i, r in enumerate(pair):
+            if r >= 0:
+                if r in buckets:
+                    buckets[r] |= 1 << i
+                else:
+                    buckets[r] = 1 << i
+                    q = r >> LEAF
+                    leaves[q] = leaves.get(q, 0) | 1 << (r & 255)
+                    summary |= 1 << q
+        while summary:
+            top = summary & -summary
+            q = top.bit_length() - 1
+            leaf = leaves[q]
+            low = leaf & -leaf
+            r = q << LEAF | low.bit_length() - 1
+            bucket = buckets.pop(r)
+            leaves[q] = leaf ^ low
+            if leaf == low:
+                summary ^= top
+            while bucket:
+                first = bucket & -bucket
+                bucket ^= first
+                i = first.bit_length() - 1
+                if pair[i] != r:
+                    continue  # stale
+                j = nxt[i]
+                k = nxt[j]
+                nxt[i] = k
+                pair[j] = -1
+                lowest = r
+                if k < n:
+                    prv[k] = i
+                    pair[i] = new = get(piece[i : nxt[k]], -1)
+                    if new >= 0:
+                        lowest = new
+                        buckets[new] = buckets.get(new, 0) | 1 << i
+                        x = new >> LEAF
+                        leaves[x] = leaves.get(x, 0) | 1 << (new & 255)
+                        summary |= 1 << x
+                else:
+                    pair[i] = -1
+                p = prv[i]
+                if p >= 0:
+                    pair[p] = new = get(piece[p:k], -1)
+                    if new >= 0:
+                        if new < lowest:
+                            lowest = new
+                        buckets[new] = buckets.get(new, 0) | 1 << p
+                        x = new >> LEAF
+                        leaves[x] = leaves.get(x, 0) | 1 << (new & 255)
+                        summary |= 1 << x
+                if lowest < r and bucket:  # a lower rank has come up: it goes first
+                    buckets[r] = buckets.get(r, 0) | bucket
+                    leaves[q] |= low
+                    summary |= top
+                    break
+        out, i = [], 0
+        while i < n:
+            out.append(ranks[piece[i : nxt[i]]])
+            i = nxt[i]
+        return out
+
+    def _merge_wide(self, piece: bytes) -> list[int]:
+        """The same queue for very long pre-tokens, with a bucket's positions in a heap instead of one wide bitmap."""
+        ranks = self.ranks
         n = len(piece)
         get = ranks.get
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -172,7 +249,7 @@ def round_trip(df: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id"
                 ids_sha.append(sha(joined.encode()))
                 back_sha.append(sha(enc.decode_joined(joined)))
                 if keep_ids:
-                    ids.append(list(map(int, joined.split(","))) if joined else [])
+                    ids.append(np.array(joined.split(","), np.int32) if joined else np.empty(0, np.int32))
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(back_sha, pa.string())]
             names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, jaccard, pii, quality_rules, secret_scan, warc
+from . import bpe, decontam, html_text, jaccard, pii, quality_rules, secret_scan, toxicity, warc
 from .common import table
 
 
@@ -39,7 +39,17 @@ def op8_bpe(spark, sf_dir):
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_jaccard, op3_secret_scan, op4_html_text, op5_warc, op7_quality_rules, op8_bpe)}
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), where=toxicity.held_in())
+    return toxicity.score(docs, model)
+
+
+def op10_decontam(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_jaccard, op3_secret_scan, op4_html_text, op5_warc, op7_quality_rules, op8_bpe, op9_toxicity, op10_decontam)}
 
 #: Base 32 of a hexadecimal digest: 5 bits a digit, from 20 bytes exactly 32 digits.
 _BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (

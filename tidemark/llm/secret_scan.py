@@ -159,3 +159,39 @@ def secret_scan(
     zero = F.lit(0).cast("long")
     none = found.where(F.size("found") == 0).select(key, "n_assign", "n_access", "n_hex", "base_sha256", "spans", zero.alias("n_example"), zero.alias("n_live"), zero.alias("n_weak"))
     return none.unionByName(per_row)
+
+
+def redact(df: DataFrame, key: str = "doc_id", text: str = "text", repo: Column | None = None, owner: Column | None = None, min_owners: int = 2, min_entropy: float = 3.0, tag: str = "redact") -> DataFrame:
+    """``df`` with every live credential in ``text`` replaced by ``[kind]``; examples and all other text stay.
+
+    Rows are matched to their verdicts by key (a null key matches null).
+    """
+    found = written(candidates(df, key, text, repo, owner).where(F.size("found") > 0), tag)
+    live = verdict(ownership(found), min_owners, min_entropy).where("verdict = 'live'").select("hash")
+    hits = found.select(F.col(key).alias("_key"), F.explode("found.hash").alias("hash")).distinct().join(live, "hash")
+    per_key = hits.groupBy("_key").agg(F.collect_set("hash").alias("_live"))  # a row's own distinct candidates
+    both = df.join(per_key, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    at, columns = df.columns.index(text), df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            marks = b.column(len(columns))
+            if marks.null_count < b.num_rows:
+                texts = [_masked(t.as_py(), m.as_py()) if m.is_valid and t.is_valid else t.as_py() for t, m in zip(b.column(at), marks, strict=True)]
+                cols = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(columns))]
+            else:
+                cols = [b.column(i) for i in range(len(columns))]
+            yield pa.RecordBatch.from_arrays(cols, columns)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return map_arrow(both, run, schema)
+
+
+def _masked(text: str, live: list[str]) -> str:
+    out, at = [], 0
+    for start, _, end, kind, value in sorted(scan(text)):
+        if hashlib.sha256(value.encode()).hexdigest() in live:
+            if start >= at:
+                out += [text[at:start], f"[{kind}]"]
+            at = max(at, end)
+    return "".join([*out, text[at:]])
