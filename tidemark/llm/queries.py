@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_text, jaccard, pii, quality_rules, secret_scan, toxicity, warc
+from . import bpe, decontam, html_text, jaccard, language_model, pii, quality_rules, secret_scan, toxicity, warc
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op5_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op6_language_model(spark, sf_dir):
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_decontam(spark, sf_dir):
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_jaccard, op3_secret_scan, op4_html_text, op5_warc, op7_quality_rules, op8_bpe, op9_toxicity, op10_decontam)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_jaccard, op3_secret_scan, op4_html_text, op5_warc, op6_language_model, op7_quality_rules, op8_bpe, op9_toxicity, op10_decontam)}
 
 #: Base 32 of a hexadecimal digest: 5 bits a digit, from 20 bytes exactly 32 digits.
 _BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
