@@ -35,3 +35,14 @@ def test_features_command_writes_partitioned(spark, sf_small):
     cli.main(["features", "--sf", sf_small, "--out", out])
     assert any(n.startswith("date=") for n in os.listdir(out))
     assert spark.read.parquet(out).count() > 0
+
+
+def test_own_demand_table_and_stored_features(spark, sf_small):
+    root = scratch_dir(spark, "t-cli-own")
+    demand, feats, models = (os.path.join(root, n) for n in ("demand", "features", "models"))
+    tables.demand_5min(spark, sf_small).where("item_id <> 'error'").write.parquet(demand)
+    cli.main(["features", "--demand", demand, "--out", feats])
+    cli.main(["train", "--features", feats, "--models", models, "--max-iter", "2"])
+    cli.main(["score", "--demand", demand, "--models", models, "--out", os.path.join(root, "scores")])
+    scores = spark.read.parquet(os.path.join(root, "scores"))
+    assert scores.count() > 0 and scores.where("item_id = 'error'").count() == 0

@@ -69,7 +69,7 @@ def test_missing_required_column_raises(spark):
     import pytest
 
     df = spark.createDataFrame([("a",)], "item_id string")
-    with pytest.raises(ValueError, match="Required column missing"):
+    with pytest.raises(ValueError, match="no column .timestamp"):
         ft.scoring_demand_rows(df)
 
 

@@ -117,7 +117,7 @@ def test_series_features_like_pandas(spark):
                 rows.append((item, store, base + dt.timedelta(minutes=15 * int(s)), int(rng.integers(0, 30))))
     pdf = pd.DataFrame(rows, columns=["item_id", "store_id", "timestamp_15min", "demand_15min_total"])
     sdf = spark.createDataFrame(pdf).withColumn("timestamp_15min", F.col("timestamp_15min").cast("timestamp_ntz"))
-    out = ft.add_series_features(sdf, strategy="chunked", chunk=1).toPandas()
+    out = ft.add_series_features(sdf, chunk=1).toPandas()
     out = out.sort_values(["item_id", "store_id", "timestamp_15min"]).reset_index(drop=True)
     p = pdf.sort_values(["item_id", "store_id", "timestamp_15min"]).reset_index(drop=True)
     g = p.groupby(["item_id", "store_id"])["demand_15min_total"]

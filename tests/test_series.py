@@ -74,7 +74,7 @@ def test_chunked_matches_loop(spark, rows, chunk, levels):
     lags, windows, leads = [1, 3], [2, 5], [1, 2]
     data = [(k, BASE + dt.timedelta(minutes=m), None if v is None else float(v)) for k, m, v in rows]
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, v double")
-    got = S.over_series(df, ["k"], "t", exprs(lags, windows, leads), strategy="chunked", chunk=chunk,
+    got = S.over_series(df, ["k"], "t", exprs(lags, windows, leads), chunk=chunk,
                         levels=levels, fanout=2)
     names = [e.name for e in exprs(lags, windows, leads)]
     res = {(r["k"], r["t"]): tuple(r[n] for n in names) for r in got.collect()}
@@ -90,8 +90,8 @@ def test_direct_and_chunked_agree_on_fixture(spark, sf_small):
     from tidemark.sources import tables
 
     dem = tables.demand_5min(spark, sf_small)
-    a = ft.demand_features(dem, strategy="chunked")
-    b = ft.demand_features(dem, strategy="direct")
+    a = ft.demand_features(dem)
+    b = ft.demand_features(dem, plain=True)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -99,7 +99,7 @@ def test_direct_and_chunked_agree_on_fixture(spark, sf_small):
 def test_numeric_order_and_null_order(spark):
     df = spark.createDataFrame([("a", None, 1.0), ("a", 1, 2.0), ("a", 2, 3.0), ("a", 30, 4.0)],
                                "k string, t int, v double")
-    got = S.over_series(df, ["k"], "t", [S.lag_expr("v", 1, "lag")], strategy="chunked", chunk=5)
+    got = S.over_series(df, ["k"], "t", [S.lag_expr("v", 1, "lag")], chunk=5)
     rows = sorted(got.collect(), key=lambda r: (r["t"] is not None, r["t"] or 0))
     assert [r["lag"] for r in rows] == [None, 1.0, 2.0, 3.0]
 
@@ -109,7 +109,7 @@ def test_shuffle_reuse_in_plan(spark, sf_small):
     from tidemark.operators import features as ft
     from tidemark.sources import tables
 
-    df = ft.demand_features(tables.demand_5min(spark, sf_small), strategy="chunked")
+    df = ft.demand_features(tables.demand_5min(spark, sf_small))
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in plan
@@ -128,28 +128,41 @@ def test_one_hot_series_spreads_over_tasks(spark):
     old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        out = S.over_series(df, ["k"], "t", [S.lag_expr("v", 1, "lag"), S.rolling_expr(F.avg, "v", 48, "avg48")],
-                            strategy="chunked")
+        out = S.over_series(df, ["k"], "t", [S.lag_expr("v", 1, "lag"), S.rolling_expr(F.avg, "v", 48, "avg48")])
         per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert sum(r["count"] for r in per_task) == 200 * 96
         assert max(r["count"] for r in per_task) < 200 * 96 / 2
         direct = S.over_series(df, ["k"], "t", [S.lag_expr("v", 1, "lag"), S.rolling_expr(F.avg, "v", 48, "avg48")],
-                               strategy="direct")
+                               plain=True)
         assert out.exceptAll(direct).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
 
 
-def test_auto_strategy_checks_input_size(spark, sf_small):
-    from tidemark.sources import tables
+def test_one_plan_at_every_size(spark, sf_small):
+    from tidemark.operators import features as ft
 
-    dem = tables.demand_5min(spark, sf_small)
-    assert S.choose_strategy(dem) == "direct"
-    assert S.estimated_bytes(dem) > 0
-    assert S.choose_strategy(spark.range(10)) == "direct"
-    old = spark.conf.get(S.DIRECT_MAX_BYTES_KEY, None)
-    spark.conf.set(S.DIRECT_MAX_BYTES_KEY, "1000")
-    try:
-        assert S.choose_strategy(dem) == "chunked"
-    finally:
-        spark.conf.unset(S.DIRECT_MAX_BYTES_KEY) if old is None else spark.conf.set(S.DIRECT_MAX_BYTES_KEY, old)
+    tiny = spark.createDataFrame([("a", "b", BASE, 1)], "item_id string, store_id string, timestamp_15min timestamp_ntz, demand_15min_total long")
+    plan = ft.create_lag_features(tiny)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__tm_chunk" in plan and "Union" in plan
+
+
+def test_ties_are_numbered_alike(spark):
+    """Rows with equal order keys follow their other columns, in chunks as in one window."""
+    rows = [("a", BASE + dt.timedelta(hours=i // 3), float(i * 37 % 11), i * 7 % 5) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double, w int").repartition(5)
+    e = [S.lag_expr("v", 2, "lag"), S.lead_expr("v", 1, "lead"), S.rolling_expr(F.avg, "v", 4, "avg")]
+    plain = S.over_series(df, ["k"], "t", e, plain=True)
+    for chunk, levels in ((0.1, 1), (0.25, 2), (1, 1)):
+        got = S.over_series(df, ["k"], "t", e, chunk=chunk, levels=levels, fanout=2)
+        assert got.exceptAll(plain).count() == 0 and got.count() == 200
+
+
+def test_min_max_are_exact_beyond_doubles(spark):
+    from tidemark.operators import features as ft
+
+    big = 2**53 + 1
+    rows = [("i", "s", BASE + dt.timedelta(minutes=15 * i), big - (i % 3)) for i in range(9)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, timestamp_15min timestamp_ntz, demand_15min_total long")
+    out = ft.create_rolling_features(df, windows=[3], stats=("min", "max")).orderBy("timestamp_15min").collect()
+    assert out[-1]["demand_15min_total_rolling_max_3"] == big and out[-1]["demand_15min_total_rolling_min_3"] == big - 2

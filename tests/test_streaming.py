@@ -32,6 +32,38 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, sf_small):
     assert spark.read.parquet(p.output).count() == batch.count()
 
 
+def test_first_failure_is_raised_and_all_streams_stop(spark, sf_small):
+    import pytest
+
+    root = scratch_dir(spark, "t-fail")
+    _drop(tables.prices(spark, sf_small), runner.feed_paths(root, "prices").input)
+    with pytest.raises(Exception):  # no sales drop: the second feed can't start
+        runner.run_streams(spark, root, "testing", feeds=("prices", "sales"))
+    assert not spark.streams.active
+    bad = runner.feed_paths(root, "calendar").input
+    os.makedirs(bad)
+    with open(os.path.join(bad, "a.csv"), "w") as f:
+        f.write("not,the,header\n1,2,3\n")
+    with pytest.raises(Exception, match="a.csv"):  # fails while it runs, beside one that never ends
+        runner.run_streams(spark, root, "testing", feeds=("prices", "calendar"), timeout_s=120)
+    assert not spark.streams.active
+
+
+def test_named_tables_and_progress(spark, sf_small):
+    from dataclasses import replace
+
+    from tidemark.session import get_profile
+
+    root = scratch_dir(spark, "t-named")
+    _drop(tables.prices(spark, sf_small), runner.feed_paths(root, "prices").input)
+    seen = []
+    prof = replace(get_profile("testing"), monitoring=True, monitoring_interval_s=1)
+    runner.run_streams(spark, root, prof, feeds=("prices",), tables={"prices": "tm_named_prices"}, timeout_s=10, on_progress=seen.append)
+    assert spark.table("tm_named_prices").count() == tables.prices(spark, sf_small).count()
+    assert seen and seen[0].first()["name"] == "prices_feed"
+    spark.sql("DROP TABLE tm_named_prices")
+
+
 def test_sales_stream_header_schema_and_memory_sink(spark, sf_small):
     root = scratch_dir(spark, "t-sales")
     p = runner.feed_paths(root, "sales")

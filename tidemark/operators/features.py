@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import timecols as tc
+from ..functions.stats import nan_to_null
 from . import series as S
-from .rollup import SERIES_KEYS, rollup_15min
+from .rollup import CATEGORY_KEYS, SERIES_KEYS, rollup_15min
 
 TIME_COL = "timestamp_15min"
 TARGET_COL = "demand_15min_total"
@@ -22,7 +23,7 @@ ROLLING_WINDOWS = [3, 6, 12, 24, 48]
 ROLLING_STATS = {"avg": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 # Name fragments that keep a column out of the feature list.
 NON_FEATURE_FRAGMENTS = ["timestamp", "date", "target_", "item_id", "store_id"]
-CATEGORICAL = ["state_id", "cat_id", "dept_id"]
+CATEGORICAL = CATEGORY_KEYS
 
 
 def lag_name(target: str, k: int) -> str:
@@ -42,16 +43,18 @@ def lag_exprs(target: str, lags) -> list[S.SeriesExpr]:
 
 
 def rolling_exprs(target: str, windows, stats=tuple(ROLLING_STATS), dtype: T.DataType | None = None):
-    """Rolling statistics over the cleaned double copy of ``target``.
+    """Rolling statistics of ``target``; NaN counts as missing.
 
-    Min and max are cast back to the target's own type.
+    Mean and deviation read the cleaned double copy; minimum and maximum the
+    target itself, so a long beyond 2^53 comes back exactly.
     """
-    value = f"__tm_v_{target}"
+    floating = isinstance(dtype, (T.FloatType, T.DoubleType))
     out = []
     for n in windows:
         for s in stats:
-            cast_to = dtype if s in ("min", "max") else None
-            out.append(S.rolling_expr(ROLLING_STATS[s], value, n, rolling_name(target, s, n), cast_to))
+            exact = s in ("min", "max") and not floating
+            cast_to = dtype if s in ("min", "max") and floating else None
+            out.append(S.rolling_expr(ROLLING_STATS[s], target if exact else f"__tm_v_{target}", n, rolling_name(target, s, n), cast_to))
     return out
 
 
@@ -66,8 +69,7 @@ def _with_clean_value(df: DataFrame, target: str) -> DataFrame:
     input identical across the two branches of ``over_series``, so Spark
     reuses that exchange instead of recomputing it.
     """
-    v = F.col(target).cast("double")
-    return df.withColumn(f"__tm_v_{target}", F.nanvl(v, F.lit(None).cast("double")))
+    return df.withColumn(f"__tm_v_{target}", nan_to_null(F.col(target).cast("double")))
 
 
 def add_series_features(
@@ -167,12 +169,14 @@ def prepare_features_for_ml(df: DataFrame) -> tuple[DataFrame, list[str], str]:
     return ml, feats, target
 
 
-def select_available(df: DataFrame, wanted: list[str]) -> list[str]:
-    """The wanted feature columns that exist; an error when none does."""
+def select_available(df: DataFrame, wanted: list[str], allow_missing: bool = False) -> list[str]:
+    """The wanted feature columns; an absent one is an error unless ``allow_missing``, and so are none at all."""
     have = set(df.columns)
     cols = [c for c in wanted if c in have]
     if not cols:
-        raise ValueError("No valid feature columns found for prediction")
+        raise ValueError("none of the model's feature columns is in the table")
+    if len(cols) < len(wanted) and not allow_missing:
+        raise ValueError(f"the table lacks feature columns: {sorted(set(wanted) - have)}")
     return cols
 
 
@@ -215,6 +219,6 @@ def scoring_demand_rows(df: DataFrame) -> DataFrame:
         "item_id", "store_id", state.alias("state_id"), cat.alias("cat_id"), dept.alias("dept_id"),
         t.alias("timestamp"), t.cast("date").alias("date"), F.hour(t).alias("hour"),
         F.weekday(t).alias("day_of_week"), F.month(t).alias("month"), F.year(t).alias("year"),
-        F.nanvl(F.col("demand").cast("double"), F.lit(None).cast("double")).alias("demand_5min"),
+        nan_to_null(F.col("demand").cast("double")).alias("demand_5min"),
         tc.interval_5min(t).alias("interval_5min"),
     )

@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timecols as tc
+from ..sources.files import CELLS
 from ..sources.schemas import SALES_KEYS, day_columns
 
+# The output columns of the three transforms are fixed values (the feeds' contract).
+
 # Calendar ``wday`` codes of the weekend (Sat=1, Sun=2).
 WEEKEND_WDAY = [1, 2]
 
@@ -49,6 +52,8 @@ def unpivot_sales(df: DataFrame) -> DataFrame:
     Every cell becomes a row, NULL cells included.  Map-side only: the
     row expansion happens inside the scan's task, nothing is shuffled.
     """
+    if CELLS in df.columns:  # JSON records: a map of day cells
+        return df.select(*SALES_KEYS, F.explode(CELLS).alias("day", "sales_quantity"))
     days = day_columns(df.columns)
     if not days:
         raise ValueError("sales input has no d_* day columns")

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -23,6 +25,7 @@ from ..session import fs_exists, fs_list, shared_root
 from .features import (CATEGORICAL, TIME_COL, demand_features, feature_columns, prepare_features_for_ml,
                        scoring_demand_rows, select_available)
 from .evaluate import prediction_table
+from .rollup import SERIES_KEYS
 
 MODEL_PREFIX = "demand_gbt_model"
 SPLIT_COL = "__tm_is_test"
@@ -30,17 +33,21 @@ SPLIT_COL = "__tm_is_test"
 
 @dataclass
 class GBTParams:
-    """Boosting parameters.  ``max_iter`` caps the rounds; with
-    ``early_stopping`` the hold-out rows serve as the validation set."""
+    """Boosting parameters.
+
+    ``max_iter`` caps the rounds.  With ``early_stopping`` the rounds are
+    chosen on the hold-out rows: the round with the lowest squared error that
+    no later one of the next ``patience`` rounds beats.
+    """
 
     max_iter: int = 1000
+    patience: int = 100
     max_depth: int = 5  # about 31 leaves
     step_size: float = 0.1
     subsampling_rate: float = 0.8
     feature_subset: str = "0.8"
     seed: int = 42
     early_stopping: bool = True
-    validation_tol: float = 0.01
     max_bins: int = 32
     checkpoint_interval: int = 10
     extra: dict = field(default_factory=dict)
@@ -67,24 +74,29 @@ def build_pipeline(feature_cols: list[str], target: str, params: GBTParams = GBT
     if cats:
         stages.append(category_indexer(cats))
     stages.append(VectorAssembler(inputCols=assembled, outputCol="features", handleInvalid="keep"))
-    stopping = (
-        {"validationIndicatorCol": SPLIT_COL, "validationTol": params.validation_tol} if params.early_stopping else {}
-    )
     gbt = GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction",
         maxIter=params.max_iter, maxDepth=params.max_depth, stepSize=params.step_size,
         subsamplingRate=params.subsampling_rate, featureSubsetStrategy=params.feature_subset,
         seed=params.seed, maxBins=params.max_bins, checkpointInterval=params.checkpoint_interval,
-        **stopping, **params.extra,
+        **params.extra,
     )
     stages.append(gbt)
     return Pipeline(stages=stages)
 
 
-def split_cutoff(df: DataFrame, ts: str = TIME_COL, test_size: float = 0.2) -> DataFrame:
-    """One-row frame with the time cutoff: the (1 - test_size) quantile, exact."""
+def time_counts(df: DataFrame, ts: str = TIME_COL) -> DataFrame:
+    """Rows per bucket time, ``(us, rows)``: one pass, bounded by the number of distinct bucket times."""
     us = tc.epoch_micros(ts, df.schema[ts].dataType)
-    return df.agg(F.percentile(us, 1 - test_size).alias("cutoff_us"))
+    return df.groupBy(us.alias("us")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def split_cutoff(df: DataFrame, ts: str = TIME_COL, test_size: float = 0.2) -> DataFrame:
+    """One-row frame with the time cutoff: the (1 - test_size) quantile, exact (interpolated).
+
+    Its buffer holds one count per distinct time, so ``ts`` should be a bucket time.
+    """
+    return time_counts(df, ts).agg(F.percentile("us", F.lit(1 - test_size), F.col("rows")).alias("cutoff_us"))
 
 
 def with_split(df: DataFrame, ts: str = TIME_COL, test_size: float = 0.2, cutoff: float | None = None) -> DataFrame:
@@ -101,9 +113,13 @@ def with_split(df: DataFrame, ts: str = TIME_COL, test_size: float = 0.2, cutoff
 
 
 def split_counts(df: DataFrame, ts: str = TIME_COL, test_size: float = 0.2) -> DataFrame:
-    marked = with_split(df, ts, test_size)
-    return marked.groupBy(F.when(F.col(SPLIT_COL), "test").otherwise("train").alias("split")).agg(
-        F.count(F.lit(1)).alias("rows")
+    """Train and test rows; the table is read once, as rows per bucket time."""
+    per = time_counts(df, ts)
+    cut = F.percentile("us", F.lit(1 - test_size), F.col("rows")).alias("cut")
+    both = per.agg(cut, F.collect_list(F.struct("us", "rows")).alias("each"))  # bounded by the bucket times
+    one = both.select("cut", F.explode("each").alias("e"))
+    return one.groupBy(F.when(F.col("e.us") > F.col("cut"), "test").otherwise("train").alias("split")).agg(
+        F.sum("e.rows").alias("rows")
     )
 
 
@@ -119,6 +135,37 @@ def metrics_of(pred: DataFrame, target: str) -> DataFrame:
     )
 
 
+def best_rounds(errors: list[float], patience: int) -> tuple[int, bool]:
+    """``(rounds, decided)``: the best prefix, and whether ``patience`` rounds after it are known to be no better."""
+    best = min(range(len(errors)), key=lambda i: (errors[i], i))
+    return best + 1, len(errors) - (best + 1) >= patience
+
+
+def fit_boosting(train: DataFrame, holdout: DataFrame, feature_cols: list[str], target: str, params: GBTParams) -> PipelineModel:
+    """Fit on ``train``; with early stopping, keep the rounds that are best on ``holdout``.
+
+    The boosting runs a little longer than the patience, each round's error is read off the
+    hold-out in one pass, and the rounds are doubled until the best one is
+    followed by ``patience`` rounds without a better one or ``max_iter`` is
+    reached.  The chosen prefix is fitted again with the same seed, which gives
+    the same trees.  The category indexer sees training rows only; a label
+    that is new in the hold-out gets the extra index.
+    """
+    if not params.early_stopping or not holdout.limit(1).count():
+        return build_pipeline(feature_cols, target, params).fit(train)
+    rounds = min(params.max_iter, params.patience + max(20, params.patience // 4))
+    while True:
+        model = build_pipeline(feature_cols, target, replace(params, max_iter=rounds)).fit(train)
+        ready = holdout
+        for stage in model.stages[:-1]:
+            ready = stage.transform(ready)
+        best, decided = best_rounds(model.stages[-1].evaluateEachIteration(ready, "squared"), params.patience)
+        if decided or rounds >= params.max_iter:
+            break
+        rounds = min(params.max_iter, 2 * rounds)
+    return model if best == rounds else build_pipeline(feature_cols, target, replace(params, max_iter=best)).fit(train)
+
+
 def train_model(ml: DataFrame, feature_cols: list[str], target: str, test_size: float = 0.2,
                 params: GBTParams = GBTParams()):
     """Fit on the time-ordered first part, measure on both parts.
@@ -134,8 +181,8 @@ def train_model(ml: DataFrame, feature_cols: list[str], target: str, test_size:
     try:
         cutoff = split_cutoff(cached, TIME_COL, test_size).first()["cutoff_us"]
         marked = with_split(cached, TIME_COL, test_size, cutoff)
-        train = marked if params.early_stopping else marked.filter(~F.col(SPLIT_COL))
-        model = build_pipeline(feature_cols, target, params).fit(train)
+        test = F.col(SPLIT_COL)
+        model = fit_boosting(marked.filter(~test), marked.filter(test), feature_cols, target, params)
         row = metrics_of(model.transform(marked), target).first()
     finally:
         cached.unpersist()
@@ -195,14 +242,14 @@ def assembled_inputs(model: PipelineModel) -> list[str]:
     return list(dict.fromkeys(wanted))
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel, df: DataFrame, allow_missing: bool = False) -> DataFrame:
     """Apply the fitted pipeline (runs on the executors).
 
-    Feature columns absent from ``df`` enter as 0 (the fill value of every
-    feature); with none of them present this is an error.
+    A feature column that the model needs and ``df`` lacks is an error; with
+    ``allow_missing`` it enters as the fill value (0, or an unseen category).
     """
     wanted = assembled_inputs(model)
-    have = select_available(df, wanted)
+    have = select_available(df, wanted, allow_missing)
     missing = [c for c in wanted if c not in have]
     if missing:
         df = df.withColumns(
@@ -217,18 +264,23 @@ def score_batch(model: PipelineModel, features: DataFrame, actual: str) -> DataF
 
 
 def predict_batch(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Raw scoring rows (timestamp, item_id, store_id, [state_id], demand) ->
-    the 7-column result, one row per input bucket.
+    """Raw scoring rows (timestamp, item_id, store_id, [state_id, cat_id, dept_id], demand) ->
+    the 7-column result, one row per input row.
 
-    The rows go through the same rollup and feature chain as training, so
-    train and score features cannot differ.  ``actual_demand`` is the row's
-    own bucket total, as in a batch scoring report; every row is scored,
-    including the last of each series (which has no next-bucket target).
+    Predictions come from the same rollup and feature chain as training, per
+    bucket; each is joined back to every row of its bucket, which keeps its own
+    time and its own demand as ``actual_demand``.
     """
-    feats = demand_features(scoring_demand_rows(rows), value="demand_5min")
+    observed = scoring_demand_rows(rows)
+    feats = demand_features(observed, value="demand_5min")
     numeric = [c for c in feature_columns(feats.columns) if c not in CATEGORICAL]
     feats = feats.fillna(0, subset=[c for c in numeric if c in feats.columns])
-    return prediction_table(predict(model, feats), "demand_15min_total", "prediction")
+    keys = [*SERIES_KEYS, *CATEGORICAL, TIME_COL]
+    by_bucket = predict(model, feats).select(*[F.col(k).alias(f"__tm_{k}") for k in keys], "prediction")
+    own = observed.withColumn(TIME_COL, tc.bucket_start("timestamp", "15 minutes", observed.schema["timestamp"].dataType))
+    same = [F.col(k).eqNullSafe(F.col(f"__tm_{k}")) for k in keys]
+    joined = own.join(by_bucket, reduce(and_, same), "left")
+    return prediction_table(joined, "demand_5min", "prediction", "timestamp")
 
 
 def feature_importance(model: PipelineModel, feature_cols: list[str], k: int | None = None) -> DataFrame:
@@ -242,13 +294,18 @@ def feature_importance(model: PipelineModel, feature_cols: list[str], k: int | N
     return df.limit(k) if k else df
 
 
+def train_and_save(features: DataFrame, model_root: str, params: GBTParams = GBTParams(), test_size: float = 0.2,
+                   name: str | None = None) -> tuple[str, DataFrame]:
+    """A feature table (also a stored one) -> ML table -> fit, measure -> save."""
+    ml, feats, target = prepare_features_for_ml(features)
+    fitted, metrics, _ = train_model(ml, feats, target, test_size, params)
+    return save_model(fitted, metrics, model_root, name), metrics
+
+
 def run_training(demand: DataFrame, model_root: str, params: GBTParams = GBTParams(), test_size: float = 0.2,
                  name: str | None = None) -> tuple[str, DataFrame]:
-    """Intraday demand rows -> features -> ML table -> fit, measure -> save.
+    """Intraday demand rows -> features -> fit, measure -> save.
 
     Returns the saved model path and its one-row metrics table.
     """
-    ml, feats, target = prepare_features_for_ml(demand_features(demand))
-    fitted, metrics, _ = train_model(ml, feats, target, test_size, params)
-    path = save_model(fitted, metrics, model_root, name)
-    return path, metrics
+    return train_and_save(demand_features(demand), model_root, params, test_size, name)

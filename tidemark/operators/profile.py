@@ -34,9 +34,11 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    rows = [(i, c, t) for i, (c, t) in enumerate(df.dtypes)]
-    return spark.createDataFrame(rows, "position int, column string, type string")
+    """Position, name and Spark type of every column, long form."""
+    wide = df.agg(*[F.max(F.typeof(c)).alias(c) for c in df.columns])
+    long = wide.unpivot([], df.columns, "column", "type")
+    place = F.array_position(F.array(*[F.lit(c) for c in df.columns]), F.col("column"))
+    return long.select((place - 1).cast("int").alias("position"), "column", "type")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -46,7 +48,11 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles (interpolated), max per numeric column."""
+    """count, mean, std, min, quartiles (interpolated), max per numeric column.
+
+    One exact percentile buffer per column holds a count per distinct value:
+    meant for columns of few distinct values such as the calendar's.
+    """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     stats = []
@@ -57,12 +63,13 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFra
             F.avg(x).alias(f"{c}|mean"),
             F.stddev_samp(x).alias(f"{c}|std"),
             F.min(x).alias(f"{c}|min"),
-            F.percentile(x, 0.25).alias(f"{c}|q25"),
-            F.percentile(x, 0.5).alias(f"{c}|q50"),
-            F.percentile(x, 0.75).alias(f"{c}|q75"),
+            F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}|q"),
             F.max(x).alias(f"{c}|max"),
         ]
     wide = df.agg(*stats)
+    for i, q in enumerate(("q25", "q50", "q75")):
+        wide = wide.withColumns({f"{c}|{q}": F.col(f"{c}|q")[i] for c in columns})
+    wide = wide.drop(*[f"{c}|q" for c in columns])
     long = wide.unpivot([], wide.columns, "key", "value")
     parts = F.split("key", r"\|")
     return (
@@ -215,20 +222,24 @@ def enhanced(df: DataFrame) -> DataFrame:
 def feature_correlations(df: DataFrame, columns: list[str] = CORRELATION_COLUMNS) -> DataFrame:
     """Pearson correlation of every column pair, long form ``(a, b, r)``."""
     e = enhanced(df)
-    pairs = [(a, b) for a in columns for b in columns]
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     wide = e.agg(*[safe_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    long = wide.unpivot([], wide.columns, "pair", "r")
-    parts = F.split("pair", r"\|")
-    return long.select(parts[0].alias("a"), parts[1].alias("b"), "r")
+    long = wide.unpivot([], wide.columns, "pair", "r").select(F.split("pair", r"\|").alias("p"), "r")
+    # each pair once, mirrored afterwards; a column with itself stays one row
+    both = F.when(F.col("p")[0] == F.col("p")[1], F.array("p")).otherwise(F.array("p", F.reverse("p")))
+    return long.select(F.explode(both).alias("p"), "r").select(F.col("p")[0].alias("a"), F.col("p")[1].alias("b"), "r")
 
 
 def quality_report(df: DataFrame) -> DataFrame:
-    """Rows, duplicates, weekend/weekday days, event coverage, nulls per column."""
+    """Rows, first and last date (days since 1970), duplicates, weekend/weekday days, event coverage, nulls per column."""
     d = with_date(df)
+    epoch = F.lit("1970-01-01").cast("date")
     n = F.count(F.lit(1))
     weekend = F.col("wday").isin(WEEKEND_WDAY)
     metrics = {
         "total_rows": n,
+        "first_date": F.datediff(F.min("date"), epoch),
+        "last_date": F.datediff(F.max("date"), epoch),
         "duplicate_dates": n - F.count_distinct("date") - F.when(n > F.count("date"), 1).otherwise(0),
         "weekend_days": F.count_if(weekend),
         "weekday_days": F.count_if(~weekend),

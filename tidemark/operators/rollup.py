@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timecols as tc
 
+# The keys of every rollup, by role.
 SERIES_KEYS = ["item_id", "store_id"]
 CATEGORY_KEYS = ["state_id", "cat_id", "dept_id"]
 TIME_PARTS = ["hour", "day_of_week", "month", "year"]

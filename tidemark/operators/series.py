@@ -19,18 +19,14 @@ partitions by (keys, time chunk) and repairs only the rows near chunk edges:
 3. Interior rows and repaired edge rows are unioned.  Both branches read
    the same shuffle (Spark reuses the exchange), so the data moves once.
 
-The result equals the single-window result row for row.  ``strategy =
-"auto"`` (the default) checks Spark's own size estimate of the input (the
-statistic behind broadcast decisions): below ``tidemark.series.directMaxBytes``
-(default 128 MB) no series can be large and the plain single-window plan is
-used; a larger input, or one whose size is unknown, takes the chunked plan.
-``"direct"`` and ``"chunked"`` force either plan.
+The result equals the single-window result row for row.  This is the one plan
+at every size (``plain=True`` asks for the single window instead, to compare
+with).  Every window order ends in a full tie-break over the input's other
+columns, so rows with equal order keys are numbered alike in all branches.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
 from dataclasses import dataclass
 from typing import Callable
 
@@ -88,12 +84,22 @@ def _chunk_of(df: DataFrame, order: str, width: float) -> Column:
     return F.coalesce(chunk.cast("long"), F.lit(_FAR_PAST_CHUNK))
 
 
-def _direct(df: DataFrame, keys: list[str], order: str, exprs: list[SeriesExpr]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(order)
+def _order_of(df: DataFrame, keys: list[str], order: str, names: list[str]) -> list[str]:
+    """The order column, then every other sortable input column as tie-break."""
+    rest = [
+        f.name for f in df.schema.fields
+        if f.name not in (*keys, order, *names) and not f.name.startswith("__tm_")
+        and not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    return [order, *rest]
+
+
+def _direct(df: DataFrame, keys: list[str], by: list[str], exprs: list[SeriesExpr]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*by)
     return df.withColumns({e.name: e.build(w) for e in exprs})
 
 
-def _chunked(df, keys, order, exprs, chunk, levels, fanout) -> DataFrame:
+def _chunked(df, keys, by, exprs, chunk, levels, fanout) -> DataFrame:
     behind = max(e.behind for e in exprs)
     ahead = max(e.ahead for e in exprs)
     reach = behind + ahead
@@ -101,9 +107,9 @@ def _chunked(df, keys, order, exprs, chunk, levels, fanout) -> DataFrame:
     cols = [c for c in df.columns if c not in names]
     ck, pos_c, n_c, inner_c = (f"__tm_{s}_{levels}" for s in ("chunk", "pos", "n", "interior"))
 
-    wc = Window.partitionBy(*keys, ck).orderBy(order)
+    wc = Window.partitionBy(*keys, ck).orderBy(*by)
     whole = wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = df.withColumn(ck, _chunk_of(df, order, chunk)).withColumns(
+    local = df.withColumn(ck, _chunk_of(df, by[0], chunk)).withColumns(
         {pos_c: F.row_number().over(wc) - 1, n_c: F.count(F.lit(1)).over(whole)}
         | {e.name: e.build(wc) for e in exprs}
     )
@@ -114,47 +120,19 @@ def _chunked(df, keys, order, exprs, chunk, levels, fanout) -> DataFrame:
     good = local.filter(interior).select(*cols, *names)
     edge = local.filter(halo).select(*cols, interior.alias(inner_c))
     if levels > 1:
-        fixed = _chunked(edge, keys, order, exprs, chunk * fanout, levels - 1, fanout)
+        fixed = _chunked(edge, keys, by, exprs, chunk * fanout, levels - 1, fanout)
     else:
-        fixed = _direct(edge, keys, order, exprs)
+        fixed = _direct(edge, keys, by, exprs)
     fixed = fixed.filter(~F.col(inner_c)).select(*cols, *names)
     return good.unionByName(fixed)
 
 
-DIRECT_MAX_BYTES_KEY = "tidemark.series.directMaxBytes"
-DIRECT_MAX_BYTES = 128 * 1024 * 1024
-
-
-_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (the statistic behind broadcast
-    decisions), read through ``EXPLAIN COST``; None when it cannot be read."""
-    spark = df.sparkSession
-    view = f"__tm_size_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(view)
-    try:
-        text = spark.sql(f"EXPLAIN COST SELECT * FROM {view}").first()[0]
-    finally:
-        spark.catalog.dropTempView(view)
-    m = re.search(r"sizeInBytes=([0-9.]+)\s*(EiB|PiB|TiB|GiB|MiB|KiB|B)", text)
-    return int(float(m.group(1)) * _UNITS[m.group(2)]) if m else None
-
-
-def choose_strategy(df: DataFrame) -> str:
-    """``direct`` when Spark's size estimate of ``df`` is below the limit, else ``chunked``."""
-    limit = int(df.sparkSession.conf.get(DIRECT_MAX_BYTES_KEY, str(DIRECT_MAX_BYTES)))
-    size = estimated_bytes(df)
-    return "direct" if size is not None and size <= limit else "chunked"
-
-
 def over_series(
     df: DataFrame,
     keys: list[str],
     order: str,
     exprs: list[SeriesExpr],
-    strategy: str = "auto",
+    plain: bool = False,
     chunk: float = 28,
     levels: int = 1,
     fanout: int = 16,
@@ -164,18 +142,12 @@ def over_series(
     ``chunk`` is the first-level chunk width: days (fractions allowed) for a
     date/timestamp ``order`` column, units for a numeric one.  Pick it so a
     (series, chunk) holds a few thousand rows: 28 days of 15-minute buckets
-    is at most 2,688 rows; raw event rows need a fraction of a day.  The (keys, order) pair
-    should identify a row; otherwise lags among tied rows are arbitrary,
-    as with any row window.
+    is at most 2,688 rows; raw event rows need a fraction of a day.  Rows
+    tied in (keys, order) are ordered by their other columns.
     """
     if not exprs:
         return df
-    if strategy == "auto":
-        strategy = choose_strategy(df)
-    if strategy == "direct":
-        return _direct(df, keys, order, exprs)
-    if strategy != "chunked":
-        raise ValueError(f"unknown strategy {strategy}")
-    if max(max(e.behind, e.ahead) for e in exprs) == 0:
-        return _direct(df, keys, order, exprs)
-    return _chunked(df, list(keys), order, list(exprs), chunk, max(1, levels), fanout)
+    by = _order_of(df, list(keys), order, [e.name for e in exprs])
+    if plain or max(max(e.behind, e.ahead) for e in exprs) == 0:
+        return _direct(df, list(keys), by, list(exprs))
+    return _chunked(df, list(keys), by, list(exprs), chunk, max(1, levels), fanout)

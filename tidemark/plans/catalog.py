@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 from ..operators import evaluate as ev
 from ..operators import features as ft
 from ..operators import feeds, model, profile
-from ..operators.rollup import rollup_5min, rollup_15min, window_sum
+from ..operators.rollup import rollup_5min, rollup_15min, window_sum, with_intervals
 from ..session import scratch_dir
 from ..sources import files, tables
-from ..sources.schemas import CALENDAR_SCHEMA
+from ..sources.schemas import CALENDAR_SCHEMA, SALES_KEYS
 from ..streaming import runner
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,8 +149,29 @@ def q_demand_features(spark, d):
 
 @query("demand_features_chunked")
 def q_demand_features_chunked(spark, d):
-    """The same chain with the hot-series (chunked) window plan forced, as it runs on large inputs."""
-    return rounded(ft.demand_features(tables.demand_5min(spark, d), strategy="chunked"))
+    """The same chain with 6-hour chunks: about 120 chunk edges per series."""
+    return rounded(ft.demand_features(tables.demand_5min(spark, d), chunk=0.25))
+
+
+@query("demand_features_two_levels")
+def q_demand_features_two_levels(spark, d):
+    """6-hour chunks whose edge rows are solved by a second level of chunks."""
+    return rounded(ft.demand_features(tables.demand_5min(spark, d), chunk=0.25, levels=2, fanout=8))
+
+
+@query("typed_demand_table")
+def q_typed_demand_table(spark, d):
+    """A demand table written as CSV text, read back in the declared types, rolled up."""
+    path = scratch_dir(spark, "demand-table")
+    tables.demand_5min(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    return rounded(rollup_15min(tables.read_demand(spark, path, "csv")))
+
+
+@query("interval_slots")
+def q_interval_slots(spark, d):
+    """Rows per 5- and 15-minute slot of the day."""
+    slots = with_intervals(tables.demand_5min(spark, d))
+    return slots.groupBy("interval_5min", "interval_15min").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def ml_table(spark, d):
@@ -206,8 +227,34 @@ def q_source_monitor(spark, d):
         "sales": feeds.transform_sales(tables.sales_wide(spark, d)),
         "prices": feeds.transform_prices(tables.prices(spark, d)),
     }
-    view = runner.monitor_view(spark, outs, "tidemark_monitoring_view")
-    return runner.dashboard(spark, view).select("data_source", "record_count")
+    return runner.summary(runner.monitor_union(outs)).select("data_source", "record_count")
+
+
+def _sales_drops(spark, d, fmt):
+    """Two drops of one sales table: one with a leading extra column, its keys reordered and days 1 to 8,
+    the other with days 5 to 12."""
+    wide = tables.sales_wide(spark, d)
+    path = scratch_dir(spark, f"sales-drops-{fmt}")
+    first = wide.where("store_id = 'CA_1'").select(
+        F.concat("item_id", F.lit("_x")).alias("id"), "store_id", "item_id", "cat_id", "dept_id", "state_id", *[f"d_{i}" for i in range(1, 9)])
+    second = wide.where("store_id <> 'CA_1'").select(*SALES_KEYS, *[f"d_{i}" for i in range(5, 13)])
+    for part in (first, second):
+        w = part.write.mode("append")
+        (w.option("header", True).csv if fmt == "csv" else getattr(w, fmt))(path)
+    return feeds.transform_sales(files.read_sales(spark, path, fmt), with_time=False)
+
+
+for _fmt in files.FORMATS:
+    query(f"sales_drops_{_fmt}")(lambda spark, d, _f=_fmt: _sales_drops(spark, d, _f))
+
+
+@query("sales_feed_dirty")
+def q_sales_feed_dirty(spark, d):
+    """Cells that are no numbers and categories that are missing."""
+    wide = tables.sales_wide(spark, d)
+    odd = F.col("item_id").endswith("7")
+    dirty = wide.withColumns({"d_1": F.when(odd, F.lit("x")).otherwise(F.col("d_1").cast("string")), "cat_id": F.when(~odd, F.col("cat_id"))})
+    return feeds.transform_sales(dirty, with_time=False)
 
 
 # ---------------------------------------------------------------- calendar profile
@@ -223,6 +270,7 @@ PROFILE_QUERIES = {
     "null_counts": profile.null_counts,
     "quality_report": profile.quality_report,
     "insight_summary": profile.insight_summary,
+    "column_types": profile.column_types,
     "snap_totals": profile.snap_totals,
     "event_share": profile.event_share,
     "event_types": profile.event_types,
@@ -247,10 +295,36 @@ for _name, _fn in PROFILE_QUERIES.items():
     query(_name)(lambda spark, d, _f=_fn: _f(_cal(spark, d)))
 
 
+def _dirty_cal(spark, d):
+    """The calendar with all days of February a second time, the tenth of them with a date that doesn't exist."""
+    cal = _cal(spark, d)
+    again = cal.where("month = 2").withColumn("date", F.when(F.col("date").endswith("-10"), F.lit("2011-13-40")).otherwise(F.col("date")))
+    return cal.unionByName(again)
+
+
+DIRTY_QUERIES = {
+    "duplicate_dates_dirty": profile.duplicate_dates,
+    "quality_report_dirty": profile.quality_report,
+    "date_span_dirty": profile.date_span,
+    "calendar_feed_dirty": lambda df: feeds.transform_calendar(df, with_time=False),
+}
+
+for _name, _fn in DIRTY_QUERIES.items():
+    query(_name)(lambda spark, d, _f=_fn: _f(_dirty_cal(spark, d)))
+
+
+@query("duplicate_order_dates")
+def q_duplicate_order_dates(spark, d):
+    """Orders that share their date with another one."""
+    return profile.duplicate_dates(tables.table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("date")))
+
+
 # ---------------------------------------------------------------- model inputs, evaluation
 @query("category_index")
 def q_category_index(spark, d):
-    agg = _agg15(spark, d)
+    path = scratch_dir(spark, "rollup")  # rolled up once, read for the fit and for the result
+    _agg15(spark, d).write.mode("overwrite").parquet(path)
+    agg = spark.read.parquet(path)
     fitted = model.category_indexer().fit(agg)
     return fitted.transform(agg).select(*KEYS, *ft.CATEGORICAL, *model.index_names(ft.CATEGORICAL))
 
@@ -279,23 +353,22 @@ def _drop_time(df: DataFrame) -> DataFrame:
     return df.drop("processed_timestamp")
 
 
-def run_feed_stream(spark, view: DataFrame, feed: str, fmt: str = "csv", files_n: int = 3) -> DataFrame:
-    """Drop ``view`` as ``files_n`` files, stream it through the feed transform
-    (one file per trigger, ``availableNow``) into a checkpointed Parquet sink
+def run_feed_stream(spark, view: DataFrame, feed: str, fmt: str = "csv") -> DataFrame:
+    """Drop ``view`` as files (one per task that makes it), stream them through the feed transform
+    (``availableNow``, the production budget per trigger) into a checkpointed Parquet sink
     in the shared scratch folder, and return what the sink holds."""
     root = scratch_dir(spark, f"stream-{feed}")
     paths = runner.feed_paths(root, feed)
-    w = view.repartition(files_n).write.mode("overwrite")
+    w = view.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).csv(paths.input)
     elif fmt == "json":
         w.json(paths.input)
     else:
         w.parquet(paths.input)
-    q = runner.start_feed(spark, feed, root, "testing", fmt, sink_format="parquet", available_now=True)
+    q = runner.start_feed(spark, feed, root, "production", fmt, sink_format="parquet", available_now=True)
     q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+    runner.raise_failure([q])
     schema = runner.feed_stream(spark, feed, paths.input, fmt).schema
     return _drop_time(spark.read.schema(schema).parquet(paths.output))
 
@@ -339,58 +412,76 @@ def q_stream_sales_parquet(spark, d):
 def q_stream_progress(spark, d):
     root = scratch_dir(spark, "stream-progress")
     paths = runner.feed_paths(root, "prices")
-    tables.prices(spark, d).repartition(3).write.option("header", True).csv(paths.input)
-    q = runner.start_feed(spark, "prices", root, "testing", "csv", sink_format="parquet", available_now=True)
+    tables.prices(spark, d).write.option("header", True).csv(paths.input)
+    q = runner.start_feed(spark, "prices", root, "production", "csv", sink_format="parquet", available_now=True)
     q.awaitTermination()
     return runner.progress_table(spark, [q])
 
 
 # ---------------------------------------------------------------- model training and scoring
-TRAIN_PARAMS = model.GBTParams(max_iter=20)
+TRAIN_PARAMS = model.GBTParams()
+_MODELS: dict[tuple[str, str], str] = {}
 
 
-def _trained(spark, d):
-    ml, feats, target = ml_table(spark, d)
-    fitted, metrics, test_pred = model.train_model(ml, feats, target, 0.2, TRAIN_PARAMS)
-    return fitted, metrics, test_pred, feats, target
+def _trained(spark, d) -> str:
+    """Path of the model trained on ``d``; fitted and saved once per application and input."""
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _MODELS:
+        _MODELS[at], _ = model.train_and_save(ft.demand_features(tables.demand_5min(spark, d)), scratch_dir(spark, "models"), TRAIN_PARAMS)
+    return _MODELS[at]
 
 
 @query("train_metrics")
 def q_train_metrics(spark, d):
-    fitted, metrics, _, _, _ = _trained(spark, d)
-    root = scratch_dir(spark, "models")
-    path = model.save_model(fitted, metrics, root)
-    _, saved = model.load_model(spark, path)
-    return saved
+    _MODELS.pop((spark.sparkContext.applicationId, d), None)  # this query is the training
+    return model.load_model(spark, _trained(spark, d))[1]
+
+
+def _scored(spark, d):
+    fitted, _ = model.load_model(spark, _trained(spark, d))
+    ml, _, target = ml_table(spark, d)
+    return model.score_batch(fitted, ml, target)
 
 
 @query("score_batch")
 def q_score_batch(spark, d):
-    fitted, _, _, feats, target = _trained(spark, d)
-    root = scratch_dir(spark, "models")
-    model.save_model(fitted, None, root)
-    loaded, _ = model.load_model(spark, model.latest_model(spark, root))
-    ml = ml_table(spark, d)[0]
-    marked = model.with_split(ml)
-    test = marked.filter(F.col(model.SPLIT_COL)).drop(model.SPLIT_COL)
-    return model.score_batch(loaded, test, target)
+    """Every row of the prepared table, scored by the saved model."""
+    return _scored(spark, d)
+
+
+@query("score_batch_checks")
+def q_score_batch_checks(spark, d):
+    """Rows scored, rows without a prediction, and rows whose errors don't follow from actual and predicted."""
+    e = F.col("actual_demand") - F.col("predicted_demand")
+    off = (e != F.col("prediction_error")) | (F.abs(e) != F.col("absolute_error"))
+    return _scored(spark, d).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("predicted_demand").isNull()).alias("unscored"),
+        F.count_if(off).alias("wrong_errors"), F.sum("actual_demand").cast("long").alias("actual_sum"))
+
+
+def _batch_rows(spark, d):
+    return tables.demand_5min(spark, d).select(
+        "timestamp", "item_id", "store_id", "state_id", "cat_id", "dept_id", F.col("demand_5min").alias("demand"))
 
 
 @query("predict_batch")
 def q_predict_batch(spark, d):
-    """Score raw 15-minute scoring rows derived from the demand view."""
-    fitted, _, _, _, _ = _trained(spark, d)
-    rows = _agg15(spark, d).select(
-        F.col("timestamp_15min").alias("timestamp"), "item_id", "store_id", "state_id",
-        F.col(T15).alias("demand"))
-    return model.predict_batch(fitted, rows)
+    """Raw scoring rows, several to a bucket: one result row each."""
+    fitted, _ = model.load_model(spark, _trained(spark, d))
+    return model.predict_batch(fitted, _batch_rows(spark, d))
+
+
+@query("predict_batch_rows")
+def q_predict_batch_rows(spark, d):
+    """Keys, time and actual demand of the same result, and whether each row has a prediction."""
+    out = q_predict_batch(spark, d)
+    return out.select("item_id", "store_id", "timestamp", "actual_demand", F.col("predicted_demand").isNotNull().alias("scored"))
 
 
 @query("feature_importance")
 def q_feature_importance(spark, d):
-    fitted, _, _, feats, _ = _trained(spark, d)
-    return model.feature_importance(fitted, feats, k=10)
+    fitted, _ = model.load_model(spark, _trained(spark, d))
+    return model.feature_importance(fitted, ml_table(spark, d)[1], k=10)
 
 
 NO_ORACLE = {"stream_progress", "train_metrics", "score_batch", "predict_batch", "feature_importance"}
-

@@ -289,6 +289,8 @@ def _corr() -> str:
 def _quality() -> str:
     metrics = {
         "total_rows": "count(*)",
+        "first_date": "datediff('day', DATE '1970-01-01', min(date))",
+        "last_date": "datediff('day', DATE '1970-01-01', max(date))",
         "duplicate_dates": "count(*) - count(DISTINCT date) - CASE WHEN count(*) > count(date) THEN 1 ELSE 0 END",
         "weekend_days": "count(*) FILTER (WHERE wday IN (1, 2))",
         "weekday_days": "count(*) FILTER (WHERE NOT (wday IN (1, 2)))",
@@ -481,4 +483,56 @@ FEED_SQL = {
     "stream_sales_parquet": SALES_FEED,
 }
 
-ORACLE_SQL: dict[str, str] = {**DEMAND_SQL, **FEED_SQL, **PROFILE_SQL}
+
+
+# ---------------------------------------------------------------- dirty inputs, drops, stored tables
+def _dirty(sql: str) -> str:
+    """The same SQL over the calendar with February a second time, its tenth days with an impossible date."""
+    again = """calendar AS (
+  SELECT * FROM clean_calendar
+  UNION ALL
+  SELECT * REPLACE (CASE WHEN date LIKE '%-10' THEN '2011-13-40' ELSE date END AS date) FROM clean_calendar WHERE month = 2
+)"""
+    assert sql.count("\ncalendar AS (") == 1
+    clean = CALENDAR.replace("\ncalendar AS (", "\nclean_calendar AS (")
+    return sql.replace(CALENDAR, f"{clean},\n{again}")
+
+
+DROPPED = ", ".join(
+    f"CASE WHEN (store_id = 'CA_1') = {str(i <= 4).lower()} OR {i} BETWEEN 5 AND 8 THEN d_{i} END AS d_{i}" for i in range(1, 13)
+)
+SALES_DROPS = f"""{with_(SALES_WIDE)}, dropped AS (SELECT * REPLACE ({DROPPED}) FROM sales_wide)
+SELECT item_id, dept_id, cat_id, store_id, state_id, day, CAST(sales_quantity AS INTEGER) AS sales_quantity,
+       'sales' AS data_source
+FROM dropped UNPIVOT INCLUDE NULLS (sales_quantity FOR day IN ({", ".join(DAYS)}))"""
+
+SALES_DIRTY = SALES_FEED.replace("FROM sales_wide UNPIVOT", """FROM (SELECT * REPLACE (
+    CASE WHEN item_id NOT LIKE '%7' THEN cat_id END AS cat_id, CASE WHEN item_id NOT LIKE '%7' THEN d_1 END AS d_1)
+  FROM sales_wide) UNPIVOT""")
+
+CALENDAR_TYPES = {c: "int" if c in NUMERIC_CAL else "string" for c in CAL_COLS}
+
+CHECK_SQL = {
+    "duplicate_dates_dirty": _dirty(PROFILE_SQL["duplicate_dates"]),
+    "quality_report_dirty": _dirty(PROFILE_SQL["quality_report"]),
+    "date_span_dirty": _dirty(PROFILE_SQL["date_span"]),
+    "calendar_feed_dirty": _dirty(CALENDAR_FEED),
+    "duplicate_order_dates": "SELECT count(*) - count(DISTINCT CAST(o_orderdate AS DATE)) "
+    "- CASE WHEN count(*) > count(o_orderdate) THEN 1 ELSE 0 END AS duplicate_dates FROM orders",
+    "column_types": "SELECT * FROM (VALUES " + ", ".join(
+        f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(CALENDAR_TYPES.items())) + ') v("position", "column", "type")',
+    "sales_drops_csv": SALES_DROPS,
+    "sales_drops_json": SALES_DROPS,
+    "sales_drops_parquet": SALES_DROPS,
+    "sales_feed_dirty": SALES_DIRTY,
+    "demand_features_two_levels": DEMAND_SQL["demand_features"],
+    "typed_demand_table": DEMAND_SQL["agg_15min"],
+    "interval_slots": with_(DEMAND_5MIN) + "\nSELECT interval_5min, CAST(interval_5min // 3 AS INTEGER) AS interval_15min, "
+    "count(*) AS rows FROM demand_5min GROUP BY ALL",
+    "score_batch_checks": f"{BASE},{FEATS},{ML}\nSELECT count(*) AS rows, CAST(0 AS BIGINT) AS unscored, "
+    f"CAST(0 AS BIGINT) AS wrong_errors, CAST(sum(target_{T}_next_1) AS BIGINT) AS actual_sum FROM ml",
+    "predict_batch_rows": with_(DEMAND_5MIN) + '\nSELECT item_id, store_id, "timestamp", CAST(demand_5min AS DOUBLE) AS actual_demand, '
+    "true AS scored FROM demand_5min",
+}
+
+ORACLE_SQL: dict[str, str] = {**DEMAND_SQL, **FEED_SQL, **PROFILE_SQL, **CHECK_SQL}

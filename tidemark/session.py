@@ -1,19 +1,20 @@
 """Session set-up and environment profiles.
 
 A profile bundles the stream trigger, the per-trigger file budget and the
-paths the stream runner uses.  Unknown profile names fall back to
+monitoring interval that the stream runner uses.  Unknown profile names fall back to
 ``development``.  Scratch space for stream checkpoints and sink output is
 always taken from ``spark.checkpoint.dir`` (a shared folder on a cluster);
-only when that is unset (local tests) is a temporary directory chosen.
+only a local session without that setting gets a temporary directory, any
+other one is refused.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -24,9 +25,6 @@ class Profile:
     max_files_per_trigger: int
     monitoring: bool = True
     monitoring_interval_s: int = 30
-    input_root: str = "./input"
-    output_root: str = "./output"
-    checkpoint_root: str = "./checkpoints"
     spark_conf: dict = field(default_factory=dict)
 
 
@@ -70,6 +68,12 @@ CLUSTER_CONF = {
 }
 
 
+def _launcher_conf() -> dict[str, str]:
+    """What the launcher (spark-submit, spark-defaults) has set already, which defaults don't override."""
+    sc = SparkContext._active_spark_context
+    return dict((sc.getConf() if sc else SparkConf()).getAll())
+
+
 def build_session(
     app_name: str = "tidemark",
     master: str | None = None,
@@ -85,7 +89,7 @@ def build_session(
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    conf = dict(BASE_CONF)
+    conf = {k: v for k, v in BASE_CONF.items() if k not in _launcher_conf()}
     if profile is not None:
         conf.update((profile if isinstance(profile, Profile) else get_profile(profile)).spark_conf)
     if shuffle_partitions:
@@ -95,7 +99,7 @@ def build_session(
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local_master(spark.sparkContext.master):
         launcher = spark.sparkContext.getConf()
         for k, v in CLUSTER_CONF.items():
             if k not in conf and not launcher.contains(k):
@@ -106,24 +110,31 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """The shared scratch folder named by ``spark.checkpoint.dir``.
 
-    Set a temporary one only when the session has none (local tests).
+    A local session without the setting (tests) gets a temporary one; on a
+    cluster that would be a different folder on every machine, so it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not is_local_master(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
+def is_local_master(master: str) -> bool:
+    """One JVM on one machine (``local``, ``local[4]``); ``local-cluster`` has executors of their own."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_dir(spark: SparkSession, tag: str) -> str:
-    """A fresh, unique sub-folder of the shared root for one run."""
-    path = os.path.join(shared_root(spark), f"{tag}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    """A fresh, unique sub-folder of the shared root for one run, made on the root's own file system."""
+    path = f"{shared_root(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+    p, fs = _fs(spark, path)
+    fs.mkdirs(p)
     return path
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# The columns and types of the three feeds and of the demand table.
 CALENDAR_SCHEMA = T.StructType(
     [
         T.StructField("date", T.StringType()),
@@ -63,42 +64,24 @@ def day_columns(columns: list[str]) -> list[str]:
     return [c for c in columns if c.startswith(DAY_PREFIX)]
 
 
-def sales_schema(columns: list[str], day_types: dict[str, T.DataType] | None = None) -> T.StructType:
-    """Sales schema: the five keys plus every ``d_*`` column of a header.
-
-    Day cells are declared as strings (text formats) or with the file's own
-    type (Parquet, via ``day_types``) and cast with ``try_cast`` later, so a
-    dirty cell becomes NULL rather than failing the batch.
-    """
-    day_types = day_types or {}
-    days = day_columns(columns)
-    if not days:
+def check_sales_columns(columns: list[str]) -> None:
+    """Raise unless all five keys and at least one day column are there."""
+    if not day_columns(columns):
         raise ValueError("sales input has no d_* day columns")
     missing = [c for c in SALES_KEYS if c not in columns]
     if missing:
         raise ValueError(f"sales input lacks key columns: {missing}")
-    return T.StructType(
-        list(SALES_KEY_SCHEMA.fields) + [T.StructField(c, day_types.get(c, T.StringType())) for c in days]
-    )
-
-
-def sales_schema_from_header(spark: SparkSession, path: str, fmt: str = "csv") -> T.StructType:
-    """Column names of a sales drop without reading its data: the CSV header
-    line, the Parquet footers, or (JSON has neither) one file's records."""
-    reader = spark.read
-    if fmt == "csv":
-        cols = reader.option("header", True).option("inferSchema", False).csv(path).columns
-    elif fmt == "json":
-        from ..session import fs_list
-
-        names = sorted(n for n in fs_list(spark, path) if not n.startswith((".", "_")))
-        cols = reader.json(f"{path.rstrip('/')}/{names[0]}" if names else path).columns
-    elif fmt == "parquet":
-        footer = reader.parquet(path).schema
-        return sales_schema(footer.names, {f.name: f.dataType for f in footer.fields})
-    else:
-        raise ValueError(f"Unsupported data type: {fmt}")
-    return sales_schema(cols)
+
+
+def sales_schema(columns: list[str]) -> T.StructType:
+    """All columns of one header, in its order, as strings.
+
+    CSV applies a schema by position, so every header column stays in place;
+    the transform selects by name.  Day cells are cast with ``try_cast``
+    later, so a dirty cell becomes NULL rather than failing the batch.
+    """
+    check_sales_columns(columns)
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
@@ -106,5 +89,5 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     present = set(df.columns)
     for c in required:
         if c not in present:
-            raise ValueError(f"Required column missing: {c}")
+            raise ValueError(f"input has no column {c!r}, which this step needs")
     return df

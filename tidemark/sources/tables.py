@@ -180,3 +180,11 @@ def typed_demand(df: DataFrame) -> DataFrame:
     from .schemas import DEMAND_5MIN_SCHEMA
 
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DEMAND_5MIN_SCHEMA.fields])
+
+
+def read_demand(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A user's intraday demand table (Parquet, or CSV with header) in the declared types."""
+    from .schemas import DEMAND_5MIN_SCHEMA, require_columns
+
+    df = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    return typed_demand(require_columns(df, DEMAND_5MIN_SCHEMA.names))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.feeds import TRANSFORMS
 from ..session import Profile, get_profile
 from ..sources import files
-from ..sources.schemas import CALENDAR_SCHEMA, PRICES_SCHEMA, sales_schema_from_header
+from ..sources.schemas import CALENDAR_SCHEMA, PRICES_SCHEMA
 from . import sinks
 
 FEEDS = ("calendar", "sales", "prices")
@@ -38,21 +38,16 @@ def feed_paths(root: str, feed: str) -> FeedPaths:
     )
 
 
-def feed_schema(spark: SparkSession, feed: str, input_path: str, fmt: str):
-    if feed == "calendar":
-        return CALENDAR_SCHEMA
-    if feed == "prices":
-        return PRICES_SCHEMA
-    if feed == "sales":
-        return sales_schema_from_header(spark, input_path, fmt)
-    raise ValueError(f"unknown feed {feed}")
-
-
 def feed_stream(spark: SparkSession, feed: str, input_path: str, fmt: str = "csv",
                 max_files_per_trigger: int | None = None, with_time: bool = True) -> DataFrame:
     """The transformed, unstarted stream of one feed."""
-    schema = feed_schema(spark, feed, input_path, fmt)
-    raw = files.open_stream(spark, input_path, schema, fmt, max_files_per_trigger)
+    if feed == "sales":
+        raw = files.open_sales_stream(spark, input_path, fmt, max_files_per_trigger)
+    elif feed in ("calendar", "prices"):
+        schema = CALENDAR_SCHEMA if feed == "calendar" else PRICES_SCHEMA
+        raw = files.open_stream(spark, input_path, schema, fmt, max_files_per_trigger)
+    else:
+        raise ValueError(f"unknown feed {feed}")
     return TRANSFORMS[feed](raw, with_time=with_time)
 
 
@@ -62,37 +57,60 @@ def trigger_of(profile: Profile, available_now: bool = False) -> dict:
 
 def start_feed(spark: SparkSession, feed: str, root: str, profile: Profile | str = "development",
                fmt: str = "csv", sink_format: str | None = None, available_now: bool = False,
-               with_time: bool = True):
-    """Start one feed stream; returns the ``StreamingQuery``."""
+               with_time: bool = True, table: str | None = None):
+    """Start one feed stream; returns the ``StreamingQuery``.
+
+    With ``table`` the rows go to that named table (its files under the feed's
+    output folder), else to the output folder alone.
+    """
     prof = profile if isinstance(profile, Profile) else get_profile(profile)
     p = feed_paths(root, feed)
     df = feed_stream(spark, feed, p.input, fmt, prof.max_files_per_trigger, with_time)
     sink_format = sink_format or sinks.table_format(spark)
-    return sinks.append_to_table(
-        df, p.output, p.checkpoint, sink_format, trigger_of(prof, available_now), query_name=f"{feed}_feed"
-    ).start()
+    trigger, name = trigger_of(prof, available_now), f"{feed}_feed"
+    if table:
+        return sinks.start_to_table(df, table, p.checkpoint, trigger, p.output, sink_format, name)
+    return sinks.append_to_table(df, p.output, p.checkpoint, sink_format, trigger, query_name=name).start()
 
 
 def run_streams(spark: SparkSession, root: str, profile: Profile | str = "development",
-                feeds=FEEDS, fmt: str = "csv", available_now: bool = False, timeout_s: float | None = None):
+                feeds=FEEDS, fmt: str = "csv", available_now: bool = False, timeout_s: float | None = None,
+                tables: dict[str, str] | None = None, on_progress=None):
     """Start the chosen feeds of a profile and wait until all end (or time out).
 
-    With ``available_now`` every stream drains its backlog and stops.
-    Returns the list of queries (stopped when the wait is over).
+    All streams are watched together: the first failure is raised, and
+    whatever ends the wait, every stream that was started is stopped.  Where
+    the profile monitors, ``on_progress`` gets the progress table at its
+    interval.  Returns the (stopped) queries.
     """
-    queries = [start_feed(spark, f, root, profile, fmt, available_now=available_now) for f in feeds]
+    prof = profile if isinstance(profile, Profile) else get_profile(profile)
     deadline = time.monotonic() + timeout_s if timeout_s else None
+    due = time.monotonic() + prof.monitoring_interval_s
+    queries = []
     try:
-        for q in queries:
-            if deadline is None:
-                q.awaitTermination()
-            else:
-                q.awaitTermination(max(0.0, deadline - time.monotonic()))
+        for f in feeds:
+            queries.append(start_feed(spark, f, root, prof, fmt, available_now=available_now, table=(tables or {}).get(f)))
+        while active := [q for q in queries if q.isActive]:
+            raise_failure(queries)
+            if deadline is not None and time.monotonic() >= deadline:
+                break
+            active[0].awaitTermination(0.2)  # a short wait on one, then all are looked at
+            if prof.monitoring and on_progress and time.monotonic() >= due:
+                on_progress(progress_table(spark, queries))
+                due = time.monotonic() + prof.monitoring_interval_s
+        raise_failure(queries)
     finally:
         stop_all(queries)
     return queries
 
 
+def raise_failure(queries) -> None:
+    """Raise the failure of the first query that has one."""
+    for q in queries:
+        if not q.isActive and (failure := q.exception()):
+            raise failure
+
+
 def stop_all(queries) -> None:
     for q in queries:
         if q.isActive:
@@ -116,26 +134,31 @@ def progress_table(spark: SparkSession, queries=None) -> DataFrame:
     )
 
 
-def monitor_view(spark: SparkSession, outputs: dict[str, DataFrame], view: str = "monitoring_view") -> str:
-    """Register the union of feed outputs as a global temp view; returns its name."""
+def monitor_union(outputs: dict[str, DataFrame]) -> DataFrame:
+    """Source and processing time of every row of the feed outputs."""
     parts = [df.select("data_source", F.col("processed_timestamp")) for df in outputs.values()]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    union.createOrReplaceGlobalTempView(view)
+    return union
+
+
+def monitor_view(spark: SparkSession, outputs: dict[str, DataFrame], view: str = "monitoring_view") -> str:
+    """Register the union of feed outputs as a global temp view; returns its name."""
+    monitor_union(outputs).createOrReplaceGlobalTempView(view)
     return f"global_temp.{view}"
 
 
-def dashboard(spark: SparkSession, view: str = "global_temp.monitoring_view") -> DataFrame:
-    """Per-source row count and first/last processing time."""
-    return spark.sql(
-        f"""
-        SELECT data_source,
-               COUNT(*) AS record_count,
-               MAX(processed_timestamp) AS last_processed,
-               MIN(processed_timestamp) AS first_processed
-        FROM {view}
-        GROUP BY data_source
-        ORDER BY data_source
-        """
+def summary(seen: DataFrame) -> DataFrame:
+    """Rows and the span of processing times of each source."""
+    at = F.col("processed_timestamp")
+    return (
+        seen.groupBy("data_source")
+        .agg(F.count(F.lit(1)).alias("record_count"), F.max(at).alias("last_processed"), F.min(at).alias("first_processed"))
+        .orderBy("data_source")
     )
+
+
+def dashboard(spark: SparkSession, view: str = "global_temp.monitoring_view") -> DataFrame:
+    """The summary of a registered monitoring view."""
+    return summary(spark.table(view))

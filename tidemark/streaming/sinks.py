@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -9,14 +10,20 @@ from pyspark.sql.streaming import DataStreamWriter
 def table_format(spark: SparkSession, preferred: str = "delta") -> str:
     """``delta`` when its data source is on the classpath, else ``parquet``.
 
-    Resolving a reader for a path that does not exist fails with
-    DATA_SOURCE_NOT_FOUND only when the format itself is missing.
+    Resolving a reader for a path that does not exist says so
+    (PATH_NOT_FOUND) where the format is there, and DATA_SOURCE_NOT_FOUND
+    where it isn't; any other error is raised.
     """
     try:
         spark.read.format(preferred).load("/__tidemark_probe_missing__")
-    except Exception as e:  # noqa: BLE001
-        if "DATA_SOURCE_NOT_FOUND" in str(e) or "Failed to find data source" in str(e):
-            return "parquet"
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "DELTA_TABLE_NOT_FOUND" not in str(e) and "DATA_SOURCE_NOT_FOUND" not in str(e):
+            raise
+        return preferred if "DATA_SOURCE_NOT_FOUND" not in str(e) else "parquet"
+    except Exception as e:  # noqa: BLE001  Spark wraps a missing class in its own runtime error
+        if "DATA_SOURCE_NOT_FOUND" not in str(e):
+            raise
+        return "parquet"
     return preferred
 
 
@@ -43,9 +50,13 @@ def append_to_table(
 
 
 def start_to_table(df: DataFrame, table_name: str, checkpoint_path: str, trigger: dict | None = None,
-                   output_path: str | None = None):
+                   output_path: str | None = None, fmt: str | None = None, query_name: str | None = None):
     """Append into a named table; starts the query."""
     w = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint_path)
+    if fmt:
+        w = w.format(fmt)
+    if query_name:
+        w = w.queryName(query_name)
     if output_path:
         w = w.option("path", output_path)
     if trigger:
