@@ -145,7 +145,7 @@ def window_rows(df: DataFrame, key: str, text: str, width: int, least: int, min_
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
-    width: int = 8, min_literal: int = 5, min_tokens: int = 4, min_share: float = 0.5,
+    width: int = 8, min_literal: int = 4, min_tokens: int = 4, min_share: float = 0.5,
 ) -> DataFrame:
     """One row per document and item that leaks into it: ``key, item, n_windows, n_item_windows, n_exact, kind``."""
     spark = docs.sparkSession

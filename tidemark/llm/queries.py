@@ -70,6 +70,17 @@ _RULES_SQL = " AND ".join(
 )
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, [w FOR w IN regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+') IF w <> ''] AS w FROM documents),
+        g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) AS u(i) WHERE len(w) >= 5
+            UNION ALL SELECT doc_id, len(w) || chr(10) || array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        link AS (SELECT x, y FROM pair JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+        reach AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(reach.y), d.doc_id)) AS component_id
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id, n.n""",
     "op7_quality_rules": rf"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
         w AS (SELECT r, doc_id, t, {_QUALITY_WORDS} AS w, [l FOR l IN string_split(t, chr(10)) IF regexp_matches(l, '[^ \t-\r]')] AS lines FROM d),

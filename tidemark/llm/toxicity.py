@@ -90,12 +90,15 @@ class Model:
         for j in (1, 2, 3):
             y += self.table[ids[:, j]]
         pooled, col = np.empty((len(texts), len(self.bias)), np.float32), 0
-        # windows begin at each word and at the first pad; later pads repeat that one
+        # windows begin at each word and at the first pad; from later pads they would reach into the next text
+        ends = np.append(first[1:], len(y))
+        outside = np.concatenate([ends - j for j in range(1, PAD)])
         for w, width in enumerate(WIDTHS):
             z = y[:, col : col + filters].copy()
             for j in range(1, width):
                 z[: len(y) - j] += y[j:, col + j * filters : col + (j + 1) * filters]
             col += width * filters
+            z[outside] = -np.inf
             pooled[:, w * filters : (w + 1) * filters] = np.maximum.reduceat(z, first, axis=0)
         return np.maximum(pooled + self.bias, 0) @ self.weight + self.offset, language
 
@@ -184,8 +187,8 @@ def _threshold(z: np.ndarray, y: np.ndarray) -> float:
     return float(cut[best[np.abs(cut[best]).argmin()]])
 
 
-def train(texts: list[bytes], y: np.ndarray, epochs: int = 8, batch: int = 32, rate: float = 0.15, held: int = 5, seed: int = 7) -> Model:
-    """A model from labelled whole texts; every ``held``-th row only calibrates."""
+def train(texts: list[bytes], y: np.ndarray, epochs: int = 8, steps: int = 500, batch: int = 32, rate: float = 0.15, held: int = 5, seed: int = 7) -> Model:
+    """A model from labelled whole texts: ``epochs`` passes and ``steps`` updates at least; every ``held``-th row only calibrates."""
     if not len(y) or y.min() == y.max():
         return Model(np.zeros((1, 1)), np.zeros(3), np.zeros(3), 0.0, np.zeros(len(LANGUAGES)), float(y.mean()) if len(y) else 0.0)
     docs = []
@@ -196,11 +199,12 @@ def train(texts: list[bytes], y: np.ndarray, epochs: int = 8, batch: int = 32, r
     order = t.rng.permutation(len(docs))
     fit, check = order[np.arange(len(order)) % held > 0], order[np.arange(len(order)) % held == 0]
     balance = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
-    for epoch in range(epochs):
+    passes = max(epochs, -(-steps * batch // max(len(fit), 1)))
+    for epoch in range(passes):
         t.rng.shuffle(fit)
         for at in range(0, len(fit), batch):
             i = fit[at : at + batch]
-            t.step([docs[j] for j in i], y[i], balance[i], rate / (1 + 0.3 * epoch))
+            t.step([docs[j] for j in i], y[i], balance[i], rate / (1 + 2.4 * epoch / passes))
     m = t.model()
     z, language = np.empty(len(check)), np.empty(len(check), np.int64)
     for at in range(0, len(check), 64):
