@@ -15,6 +15,10 @@ def spark():
     from tidemark.session import build_session, shared_root
 
     s = build_session("tidemark-tests", master="local[*]", shuffle_partitions=8)
+    from tidemark.operators.model import GBTParams
+    from tidemark.plans import catalog
+
+    catalog.TRAIN_PARAMS = GBTParams(max_iter=30, patience=5)  # the queries' own settings boost 100 rounds past the best
     shared_root(s)  # sets a temporary checkpoint folder only when none is configured
     yield s
 
