@@ -214,7 +214,7 @@ def train(texts: list[bytes], y: np.ndarray, epochs: int = 8, steps: int = 500,
         m.shift[:] = _threshold(z, target)
         for k in range(len(LANGUAGES)):
             mine = language == k
-            if target[mine].sum() >= 10 and (1 - target[mine]).sum() >= 10:
+            if target[mine].sum() >= 20 and (1 - target[mine]).sum() >= 20:
                 m.shift[k] = _threshold(z[mine], target[mine])
     return m
 
