@@ -21,6 +21,14 @@ def test_main_text():
     assert html_text.main_text(PAGE, TREE) == "Title & more\n\nFirst para! with a link inside.\n\nSecond <para> line\n\nOf."
 
 
+def test_pages_without_an_article():
+    page = """<body class="has-sidebar"><div class="wrap has-sidebar"><div id="menu"><a href="/">Home</a> <a href="/x">News</a></div><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul>
+    <div class="entry-header"><h1>The title</h1></div><p>A first paragraph that has enough words in it to be the text.<p><a href=x>open link<p>Short.</p><p>Another paragraph, with words enough to be taken as text of the page.</p>
+    <div role="alert">Notice!</div><section id="reader-comments"><p>A long comment by a reader who has much to say about everything here.</p></section></div></body>"""
+    assert html_text.main_text(page, TREE).split("\n\n") == [
+        "The title", "A first paragraph that has enough words in it to be the text.", "Short.", "Another paragraph, with words enough to be taken as text of the page."]
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<!--", "<a href='", "<script>x", "</p></p>", "<p>" * 2000, "<div>" * 3000 + "x", "&#xZZ; &amp", "a < b > c", "<a href=\"x>y"])
 def test_broken_markup(page):
     assert isinstance(html_text.main_text(page, TREE), str)

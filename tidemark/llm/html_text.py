@@ -41,7 +41,7 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice alert popup modal overlay "
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets related recommended share sharing social "
-    "comment comments respond replies disqus newsletter subscribe subscription signup login search pagination pager toolbar skip copyright".split()
+    "comment comments commentlist respond replies disqus newsletter subscribe subscription signup login search pagination pager toolbar skip copyright".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -64,6 +64,8 @@ def _hinted(attrs: str) -> bool:
     for m in _ATTR.finditer(attrs):
         for name in (m[1] or m[2] or m[3] or "").lower().split():
             parts = re.split(r"[-_]+", name)
+            if parts[0] in ("has", "with", "no", "layout") or parts[-1] in ("header", "title") and parts[0] in ("post", "entry", "article", "story", "content"):
+                continue  # says what is beside the element, or heads the article itself
             if name in HINTS or parts[0] in HINTS or parts[-1] in HINTS:
                 return True
     return False
@@ -141,6 +143,8 @@ def blocks(page: str) -> list[Block]:
                 continue
         else:
             close()
+            if tag == "p" or tag in HEADINGS:
+                in_link = 0  # a link left open ends here
             if tag in VOID or tag == "p":
                 continue  # paragraphs end at the next block: they need no place among the open elements
             if tag in HEADINGS:
@@ -191,6 +195,7 @@ LABELLED = np.array([
     [20, 0.6, 4, 1, 3, 1, 0, 0, 0, 0], [3, 0, 2, 1, 2, 1, 0, 0, 0, 0], [4, 0, 1, 1, 3, 1, 0, 0, 0, 0], [2, 0, 0, 0, 3, 1, 0, 0, 0, 0], [5, 0, 3, 1, 4, 0.5, 0, 0, 0, 0],
     [40, 0, 6, 0, 60, 0, 0, 0, 0, 1], [90, 0.05, 40, 0, 30, 0, 0, 0, 0, 1], [22, 0.1, 2, 1, 50, 0, 0, 0, 0, 1], [16, 0, 60, 0, 2, 1, 0, 0, 0, 1], [18, 0, 4, 1, 3, 1, 0, 0, 0, 1],
     [4, 0, 60, 0, 50, 0, 0, 0, 0, 1], [8, 0, 30, 0, 25, 0, 0, 0, 0, 1], [6, 0, 2, 1, 45, 0, 0, 0, 1, 1], [5, 0, 40, 0, 60, 0, 0, 0, 1, 1], [3, 0, 35, 0, 28, 0.1, 0, 0, 0, 1],
+    [12, 0, 2, 0, 2, 1, 0, 0, 0, 1], [11, 0.05, 30, 0, 1, 1, 0, 0, 0, 1], [13, 0, 3, 0, 4, 1, 0, 0, 0, 1], [10, 0, 12, 0, 3, 0.9, 0, 0, 0, 1],
     [60, 0.2, 25, 0, 12, 0, 0, 0, 0, 1], [35, 0.3, 30, 0, 20, 0, 0, 0, 0, 1], [200, 0, 0, 0, 0, 0, 0, 0, 0, 1], [20, 0, 0, 0, 0, 0, 0, 0, 0, 1], [13, 0, 0, 0, 30, 0, 0, 0, 0, 1],
 ])
 
