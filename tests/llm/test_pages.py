@@ -29,6 +29,11 @@ def test_pages_without_an_article():
         "The title", "A first paragraph that has enough words in it to be the text.", "Short.", "Another paragraph, with words enough to be taken as text of the page."]
 
 
+def test_article_keeps_short_and_linked_blocks():
+    page = "<nav><a href=x>A</a></nav><article>" + "".join(f"<p>{t}</p>" for t in ("Of.", "<a href=x>one link</a>", "<a href=y>x</a>", "Two words", "<a href=z>a b c d e f</a>", "x")) + "</article>"
+    assert html_text.main_text(page, TREE).split("\n\n") == ["Of.", "one link", "x", "Two words", "a b c d e f", "x"]
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<!--", "<a href='", "<script>x", "</p></p>", "<p>" * 2000, "<div>" * 3000 + "x", "&#xZZ; &amp", "a < b > c", "<a href=\"x>y"])
 def test_broken_markup(page):
     assert isinstance(html_text.main_text(page, TREE), str)
