@@ -197,6 +197,7 @@ LABELLED = np.array([
     [4, 0, 60, 0, 50, 0, 0, 0, 0, 1], [8, 0, 30, 0, 25, 0, 0, 0, 0, 1], [6, 0, 2, 1, 45, 0, 0, 0, 1, 1], [5, 0, 40, 0, 60, 0, 0, 0, 1, 1], [3, 0, 35, 0, 28, 0.1, 0, 0, 0, 1],
     [3, 1, 2, 1, 2, 1, 0, 1, 0, 1], [6, 0.8, 8, 1, 5, 1, 0, 1, 0, 1], [14, 0.7, 4, 1, 12, 0.8, 0, 1, 0, 1], [20, 0.6, 4, 1, 3, 1, 0, 1, 0, 1], [3, 0, 2, 1, 2, 1, 0, 1, 0, 1],
     [4, 0, 1, 1, 3, 1, 0, 1, 0, 1], [2, 0, 0, 0, 3, 1, 0, 1, 0, 1], [5, 0, 3, 1, 4, 0.5, 0, 1, 0, 1], [2, 1, 15, 0, 11, 0, 0, 1, 0, 1], [4, 1, 9, 0, 3, 0, 0, 1, 0, 1],
+    [2, 0, 1, 1, 12, 0, 0, 0, 1, 1], [3, 0, 2, 1, 30, 0, 0, 0, 1, 1], [1, 0, 0, 0, 20, 0, 0, 0, 1, 1], [1, 0, 2, 1, 12, 0, 0, 0, 0, 1], [2, 0, 13, 0, 12, 0, 0, 0, 0, 1], [4, 0, 10, 0, 14, 0.1, 0, 0, 0, 1],
     [12, 0, 2, 0, 2, 1, 0, 0, 0, 1], [11, 0.05, 30, 0, 1, 1, 0, 0, 0, 1], [13, 0, 3, 0, 4, 1, 0, 0, 0, 1], [10, 0, 12, 0, 3, 0.9, 0, 0, 0, 1],
     [60, 0.2, 25, 0, 12, 0, 0, 0, 0, 1], [35, 0.3, 30, 0, 20, 0, 0, 0, 0, 1], [200, 0, 0, 0, 0, 0, 0, 0, 0, 1], [20, 0, 0, 0, 0, 0, 0, 0, 0, 1], [13, 0, 0, 0, 30, 0, 0, 0, 0, 1],
 ])
