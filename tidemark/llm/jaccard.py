@@ -42,8 +42,8 @@ from .components import components
 
 #: Ranges of the 32-bit keys; a counting task holds 2^32 / RANGES counters.
 RANGES = 1024
-#: Keys that share one bit of the bitmap: 2^32 / 32 bits are 16 MB.
-KEYS_PER_BIT = 32
+#: Keys that share one bit of the bitmap: 2^32 / 64 bits are 8 MB.
+KEYS_PER_BIT = 64
 #: Most frequent keys with known counts: 8 MB at most.
 HEAVY_KEYS = 1 << 20
 HEAVY_COUNT = 8
@@ -220,6 +220,7 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k
         f"doc {kind}, n bigint, sid_a bigint, sid_b bigint, central double, tokens array<bigint>, positions array<int>, members array<bigint>",
     ).withColumn("row", F.monotonically_increasing_id())
     rows = written(rows, tag)
+    order.destroy()  # used by that pass alone
 
     sid = ["sid_a", "sid_b", "n"]
     body = F.when(F.col("tokens").isNotNull(), F.struct("central", "tokens", "positions", "members"))
