@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import Hasher, blocks, crc_mod, map_arrow, words_of
 
-BUCKETS = 1 << 16  # one more row, of zeros, pads the ends of texts
+BUCKETS = (1 << 16) - 1  # the row after them, of zeros, pads the ends of texts: rows fit 16 bits
 WIDTHS = (1, 2, 3)
 PAD = max(WIDTHS)
 
@@ -56,12 +56,13 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         whole = h.hash(s, e)
         salts = (np.uint64(0), np.uint64(0x1111), np.uint64(0x2222), np.uint64(0x3333))
         parts = (whole, h.hash(s, np.minimum(e, s + 4)), h.hash(s, np.minimum(e, s + 7)), h.hash(np.maximum(s, e - 4), e))
-        got = np.stack([((p + salt) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48) for p, salt in zip(parts, salts, strict=True)], axis=1).astype(np.int32)
+        got = np.stack([((p + salt) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48) for p, salt in zip(parts, salts, strict=True)], axis=1).astype(np.uint16)
+        got[got == BUCKETS] = 0
     else:
-        whole, got = np.empty(0, np.uint64), np.empty((0, 4), np.int32)
+        whole, got = np.empty(0, np.uint64), np.empty((0, 4), np.uint16)
     text = np.repeat(np.arange(len(texts)), counts)
     rows = np.arange(len(whole)) + PAD * text
-    ids = np.full((len(whole) + PAD * len(texts), 4), BUCKETS, np.int32)
+    ids = np.full((len(whole) + PAD * len(texts), 4), BUCKETS, np.uint16)
     ids[rows] = got
     first = np.cumsum(counts) - counts + PAD * np.arange(len(texts))
     votes = np.zeros((len(texts), len(_FUNCTION) + 1))
@@ -83,13 +84,12 @@ class Model:
     shift: np.ndarray
     share: float | None = None  # a constant score, where nothing could be learnt
 
-    def logits(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids, first, language = encode(texts)
+    def logits(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         filters = len(self.bias) // len(WIDTHS)
         y = self.table[ids[:, 0]]
         for j in (1, 2, 3):
             y += self.table[ids[:, j]]
-        pooled, col = np.empty((len(texts), len(self.bias)), np.float32), 0
+        pooled, col = np.empty((len(first), len(self.bias)), np.float32), 0
         # windows begin at each word and at the first pad; from later pads they would reach into the next text
         ends = np.append(first[1:], len(y))
         outside = np.concatenate([ends - j for j in range(1, PAD)])
@@ -100,12 +100,13 @@ class Model:
             col += width * filters
             z[outside] = -np.inf
             pooled[:, w * filters : (w + 1) * filters] = np.maximum.reduceat(z, first, axis=0)
-        return np.maximum(pooled + self.bias, 0) @ self.weight + self.offset, language
+        return np.maximum(pooled + self.bias, 0) @ self.weight + self.offset
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         if self.share is not None:
             return np.full(len(texts), self.share)
-        z, language = self.logits(texts)
+        ids, first, language = encode(texts)
+        z = self.logits(ids, first)
         return 1 / (1 + np.exp(-np.clip(z - self.shift[language], -40, 40)))
 
 
@@ -187,14 +188,17 @@ def _threshold(z: np.ndarray, y: np.ndarray) -> float:
     return float(cut[best[np.abs(cut[best]).argmin()]])
 
 
-def train(texts: list[bytes], y: np.ndarray, epochs: int = 8, steps: int = 500, batch: int = 32, rate: float = 0.15, held: int = 5, seed: int = 7) -> Model:
-    """A model from labelled whole texts: ``epochs`` passes and ``steps`` updates at least; every ``held``-th row only calibrates."""
+def train(texts: list[bytes], y: np.ndarray, **settings) -> Model:
+    """A model from labelled whole texts."""
+    return train_encoded([encode([t]) for t in texts], np.asarray(y, np.float64), **settings)
+
+
+def train_encoded(encoded: list, y: np.ndarray, epochs: int = 8, steps: int = 500, batch: int = 32, rate: float = 0.15, held: int = 5, seed: int = 7) -> Model:
+    """A model from encoded texts: ``epochs`` passes and ``steps`` updates at least; every ``held``-th row only calibrates."""
     if not len(y) or y.min() == y.max():
         return Model(np.zeros((1, 1)), np.zeros(3), np.zeros(3), 0.0, np.zeros(len(LANGUAGES)), float(y.mean()) if len(y) else 0.0)
-    docs = []
-    for at in range(0, len(texts), 64):
-        ids, first, _ = encode(texts[at : at + 64])
-        docs += np.split(ids, first[1:])
+    docs = [x[0] for x in encoded]
+    languages = np.array([int(x[2][0]) for x in encoded])
     t = Trainer(seed=seed)
     order = t.rng.permutation(len(docs))
     fit, check = order[np.arange(len(order)) % held > 0], order[np.arange(len(order)) % held == 0]
@@ -206,9 +210,10 @@ def train(texts: list[bytes], y: np.ndarray, epochs: int = 8, steps: int = 500,
             i = fit[at : at + batch]
             t.step([docs[j] for j in i], y[i], balance[i], rate / (1 + 2.4 * epoch / passes))
     m = t.model()
-    z, language = np.empty(len(check)), np.empty(len(check), np.int64)
+    z, language = np.empty(len(check)), languages[check]
     for at in range(0, len(check), 64):
-        z[at : at + 64], language[at : at + 64] = m.logits([texts[i] for i in check[at : at + 64]])
+        some = [docs[i] for i in check[at : at + 64]]
+        z[at : at + 64] = m.logits(np.concatenate(some), np.cumsum([0, *map(len, some[:-1])]))
     target = y[check]
     if target.sum() >= 5 and target.sum() < len(target):
         m.shift[:] = _threshold(z, target)
@@ -231,9 +236,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     by = F.xxhash64("_key")
     parts = [known.where(F.col("_y") == v).orderBy(by, "_key").limit(n) for v, n in ((1, max_toxic), (0, max_clean))]
     sample = parts[0].unionByName(parts[1])
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), "_key").dropDuplicates(["_key"]).collect()
-    rows.sort(key=lambda r: str(r._key))
-    return train([(r._text or "").encode("utf-8", "surrogatepass") for r in rows], np.array([r._y for r in rows], np.float64))
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), "_key").dropDuplicates(["_key"]).orderBy(by, "_key")
+    encoded, y = [], []
+    for r in rows.select("_text", "_y").toLocalIterator():  # word rows of 8 bytes stay, texts go
+        encoded.append(encode([(r._text or "").encode("utf-8", "surrogatepass")]))
+        y.append(float(r._y))
+    return train_encoded(encoded, np.array(y, np.float64))
 
 
 def held_in(column: str = "_key", modulus: int = 5, out: int = 0) -> Column:
