@@ -9,6 +9,9 @@ neighbour has since been merged away or its pair has another rank.  Within a
 rank the leftmost position merges first.  Every merge adds at most two
 entries, so a pre-token of n bytes takes O(n) queue steps, long ones too.
 
+Up to ``WIDE`` bytes a bucket is a bitmap of positions; beyond, a heap, as
+operations on a bitmap take time with its width.
+
 Null and empty texts encode to no ids.  Encoding is a pure function of the
 text; repeated rows give equal results.
 """
