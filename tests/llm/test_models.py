@@ -212,6 +212,16 @@ def test_leaks_equal_brute_force(spark, sf_small):
     assert want and want <= got and len(got) <= 1.05 * len(want) + 1
 
 
+def test_case_changed_copies_leak(spark):
+    """Names and sentence starts that are literal words in the copy."""
+    item = "The river Danube flows past Vienna. Many old towns lie on its banks and Roman ships went down to the Black Sea. Linz is one"
+    names = "Anna Berta Clara Dora Emil Fritz Georg Hans Ida Julius"  # no template window
+    bench = spark.createDataFrame([(1, item), (2, names)], "item_id long, text string")
+    docs = [(10, FILL + item.lower() + " " + FILL), (11, FILL + item.upper()), (12, item.title()), (13, names.lower()), (14, FILL + names), (15, FILL)]
+    got = {(r.doc_id, r.item_id): (r.kind, r.n_windows == r.n_item_windows) for r in decontam.leaks(frame(spark, docs), bench).collect()}
+    assert got == {(10, 1): ("exact", True), (11, 1): ("exact", True), (12, 1): ("exact", True), (13, 2): ("exact", True), (14, 2): ("exact", True)}
+
+
 # ----------------------------------------------------------------- pipeline
 def test_masking(spark):
     live, copied = "q8Rk2LmZ0pXcVbN", "Zx81kQpLm20aBvC"

@@ -4,14 +4,18 @@ A word without outer punctuation is one token.  Numbers, names (title-case
 words) and units become typed placeholders, other words stay literal (A-Z
 lowered), so a question keeps its template when its parameters change.
 Windows of template tokens are hashed and joined between benchmark items and
-documents.  Along one alignment (document position minus item position) the
+documents, and beside them, with another seed, plain windows of the lowered
+words themselves: a case-changed copy has other placeholders but the same
+words.  Either kind covers a position of the item; plain windows need no
+literal tokens and no slot check.  Along one alignment (document position minus item position) the
 slots must be consistent: one benchmark value always maps to one document
 value.  An item leaks into a document when consistent windows make up
-``min_share`` of the item's windows; the leak is ``exact`` if every slot kept
-its value, else ``reparameterised``.
+``min_share`` of the item's template windows (of its plain ones, where it has
+no template window); the leak is ``exact`` if every slot kept its value, else
+``reparameterised``.
 
 Items with fewer tokens than a window are one window of their own length;
-items with fewer than ``min_tokens`` tokens match nothing.  A window needs
+items with fewer than ``min_tokens`` tokens match nothing.  A template window needs
 ``min_literal`` literal tokens (a short item: half of its tokens).  Null and empty texts have no
 windows.  Rows with equal document ids are judged together, a null id is an
 id of its own; repeated items are one item.
@@ -46,6 +50,7 @@ _CLASS[97:123] = 4
 _CLASS[128:] = 4
 _NUM, _NAME, _UNIT = (np.uint64(x) for x in (0xA11CE5EED0000001, 0xA11CE5EED0000002, 0xA11CE5EED0000003))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+_PLAIN = np.uint64(0x5EED0000B10C0DE5)  # seed of the plain windows
 
 
 def _unit_hashes() -> np.ndarray:
@@ -82,7 +87,7 @@ def templates(texts: list[bytes]):
     return codes, values, ~(number | name | unit), np.bincount(text, minlength=len(texts))
 
 
-def _windows(codes: np.ndarray, literal: np.ndarray, width: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _windows(codes: np.ndarray, literal: np.ndarray, width: int, least: int, seed: np.uint64 = np.uint64(0)) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of the windows with ``least`` literal tokens."""
     n = len(codes) - width + 1
     if n <= 0:
@@ -92,55 +97,62 @@ def _windows(codes: np.ndarray, literal: np.ndarray, width: int, least: int) ->
         h = h * _STEP + codes[j : j + n]
     have = np.cumsum(np.concatenate([[0], literal]))
     at = np.flatnonzero(have[width:] - have[:-width] >= least)
-    return at, mix(h[at] + np.uint64(width))
+    return at, mix((h[at] + np.uint64(width)) ^ seed)
 
 
 def window_rows(df: DataFrame, key: str, text: str, width: int, least: int, min_tokens: int, items: bool, lengths: list[int] | None = None, bitmap=None) -> DataFrame:
-    """``id, hash, pos, total, slots``: the template windows of every text.
+    """``id, hash, pos, total, plain, counted, slots, places``: the template and the plain windows of every text.
 
     Of an item (``items``): its windows, or the whole of a short one.  Of a
     document: windows of ``width`` and of each of the short ``lengths``, only
     those that the bitmap, if any, lets through.  ``slots`` are the value hashes of
-    the placeholders in order; ``total`` is the number of windows of the text.
+    the placeholders in order, ``places`` their positions; ``total`` is the number of positions that count
+    for the share: those of template windows, without any those of plain ones.
     """
     src = df.select(F.col(key).alias("id"), F.col(text).alias("t"))
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    names = ["id", "hash", "pos", "total", "plain", "counted", "slots", "places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = bitmap.value if bitmap is not None else None
         for b, at, to, texts in blocks(batches, 1):
             codes, values, literal, counts = templates(texts)
             edges = np.concatenate([[0], np.cumsum(counts)])
-            owner, rows = [], ([], [], [], [])
-            all_windows = {}
+            owner, rows = [], tuple([] for _ in types)
+            all_windows = []  # width, whether plain, starts, hashes, texts, total, whether counted
+            both = lambda w, span: (
+                (False, *_windows(codes[span], literal[span], w, least if w == width else (w + 1) // 2)),
+                (True, *_windows(values[span], literal[span], w, 0, _PLAIN)),
+            )
             if not items:  # hashed over the block at once, windows across texts are dropped below
                 for w in {width, *(lengths or ())}:
-                    p, h = _windows(codes, literal, w, least if w == width else (w + 1) // 2)
-                    doc = np.searchsorted(edges, p, side="right") - 1
-                    good = p + w <= edges[doc + 1]
-                    if passes is not None:
-                        bit = h >> np.uint64(64 - BITMAP_BITS)
-                        good &= (passes[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-                    all_windows[w] = p[good], h[good], doc[good]
+                    for plain, p, h in both(w, slice(None)):
+                        doc = np.searchsorted(edges, p, side="right") - 1
+                        good = p + w <= edges[doc + 1]
+                        if passes is not None:
+                            bit = h >> np.uint64(64 - BITMAP_BITS)
+                            good &= (passes[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                        p = p[good]
+                        all_windows.append((w, plain, p, h[good], doc[good], len(p), np.ones(len(p), bool)))
             for i in range(len(texts) if items else 0):
                 n = int(counts[i])
                 if n < min_tokens:
                     continue
                 w = min(n, width)
-                p, h = _windows(codes[edges[i] : edges[i + 1]], literal[edges[i] : edges[i + 1]], w, least if w == width else (w + 1) // 2)
-                all_windows[i] = p + edges[i], h, np.full(len(p), i)
-            for w, (p, h, doc) in all_windows.items():
-                for x, y, i in zip(p.tolist(), h.view(np.int64).tolist(), doc.tolist(), strict=True):
-                    span = slice(x, x + (w if not items else min(int(counts[i]), width)))
+                (_, p, _), (_, every, _) = found = both(w, slice(edges[i], edges[i + 1]))
+                positions = p if len(p) else every
+                for plain, x, h in found:
+                    all_windows.append((w, plain, x + edges[i], h, np.full(len(x), i), len(positions), np.isin(x, positions)))
+            for w, plain, p, h, doc, total, counted in all_windows:
+                for x, y, i, c in zip(p.tolist(), h.view(np.int64).tolist(), doc.tolist(), counted.tolist(), strict=True):
+                    slot = np.flatnonzero(~literal[x : x + w]) + x
                     owner.append(at + i)
-                    rows[0].append(y)
-                    rows[1].append(x - int(edges[i]))
-                    rows[2].append(len(p))
-                    rows[3].append(values[span][~literal[span]].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owner, pa.int64())), *[pa.array(r, t) for r, t in zip(rows, types, strict=True)]], ["id", "hash", "pos", "total", "slots"])
+                    for row, v in zip(rows, (y, x - int(edges[i]), total, plain, c, values[slot].view(np.int64), slot - edges[i]), strict=True):
+                        row.append(v)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owner, pa.int64())), *[pa.array(r, t) for r, t in zip(rows, types, strict=True)]], names)
 
     kind = src.schema["id"].dataType.simpleString()
-    return map_arrow(src, run, f"id {kind}, hash bigint, pos int, total int, slots array<bigint>")
+    return map_arrow(src, run, f"id {kind}, hash bigint, pos int, total int, plain boolean, counted boolean, slots array<bigint>, places array<int>")
 
 
 def leaks(
@@ -150,7 +162,7 @@ def leaks(
     """One row per document and item that leaks into it: ``key, item, n_windows, n_item_windows, n_exact, kind``."""
     spark = docs.sparkSession
     wanted = window_rows(benchmark, item, item_text, width, min_literal, min_tokens, True).dropDuplicates(["id", "hash", "pos"])
-    wanted = wanted.select(F.col("id").alias("item"), "hash", F.col("pos").alias("item_pos"), F.col("total").alias("n_item_windows"), F.col("slots").alias("item_slots")).cache()
+    wanted = wanted.select(F.col("id").alias("item"), "hash", F.col("pos").alias("item_pos"), F.col("total").alias("n_item_windows"), "plain", "counted", F.col("slots").alias("item_slots"), "places").cache()
     try:
         # the lengths of short items, width - min_tokens different ones at most
         n_tokens = F.size(F.expr(f"filter(split(coalesce(`{item_text}`, ''), '[ \\\\t-\\\\r]+'), w -> w rlike '[A-Za-z0-9]|[^\\\\x00-\\\\x7F]')"))
@@ -165,14 +177,14 @@ def leaks(
     finally:
         wanted.unpersist()
     found = window_rows(docs, key, text, width, min_literal, min_tokens, False, lengths, bitmap).select(F.col("id").alias("doc"), "hash", "pos", "slots").dropDuplicates(["doc", "hash", "pos"])
-    hits = found.join(wanted, "hash").withColumn("shift", F.col("pos") - F.col("item_pos")).withColumn("same", (F.col("slots") == F.col("item_slots")).cast("long"))
+    hits = found.join(wanted, "hash").withColumn("shift", F.col("pos") - F.col("item_pos")).withColumn("same", (F.col("plain") | (F.col("slots") == F.col("item_slots"))).cast("long"))
 
     # along one alignment a benchmark value has one document value
     line = ["doc", "item", "shift"]
-    slots = hits.select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("z")).select(*line, F.col("z.item_slots").alias("b"), F.col("z.slots").alias("d"))
+    slots = hits.where("NOT plain").select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("z")).select(*line, F.col("z.item_slots").alias("b"), F.col("z.slots").alias("d"))
     clash = slots.groupBy(*line, "b").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low <> high").select(*line).distinct()
     on = F.col("h.doc").eqNullSafe(F.col("c.doc")) & F.col("h.item").eqNullSafe(F.col("c.item")) & (F.col("h.shift") == F.col("c.shift"))
-    sound = hits.alias("h").join(clash.alias("c"), on, "left_anti")
+    sound = hits.where("NOT plain").alias("h").join(clash.alias("c"), on, "left_anti").unionByName(hits.where("plain")).where("counted")
     per_window = sound.groupBy("doc", "item", "item_pos").agg(F.max("same").alias("same"), F.max("n_item_windows").alias("n_item_windows"))
     per_item = per_window.groupBy("doc", "item").agg(F.count("*").alias("n_windows"), F.max("n_item_windows").cast("long").alias("n_item_windows"), F.sum("same").alias("n_exact"))
     out = per_item.where(F.col("n_windows") >= min_share * F.col("n_item_windows"))
