@@ -222,6 +222,18 @@ def test_case_changed_copies_leak(spark):
     assert got == {(10, 1): ("exact", True), (11, 1): ("exact", True), (12, 1): ("exact", True), (13, 2): ("exact", True), (14, 2): ("exact", True)}
 
 
+def test_one_edited_slot_keeps_the_alignment(spark):
+    words_ = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(10)]
+    for at in (0, 20, 40):
+        words_[at] = "Alice"
+    item = " ".join(words_)
+    edited = item.replace("Alice wordcb", "Carol wordcb")
+    renamed = item.replace("Alice", "Erin").replace("Erin wordcb", "Carol wordcb")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: (r.kind, r.n_windows) for r in decontam.leaks(frame(spark, [(1, edited), (2, renamed), (3, FILL)]), bench).collect()}
+    assert got == {1: ("exact", 45), 2: ("reparameterised", 45)}  # 53 windows, 8 of them over the edited place
+
+
 # ----------------------------------------------------------------- pipeline
 def test_masking(spark):
     live, copied = "q8Rk2LmZ0pXcVbN", "Zx81kQpLm20aBvC"

@@ -8,8 +8,9 @@ documents, and beside them, with another seed, plain windows of the lowered
 words themselves: a case-changed copy has other placeholders but the same
 words.  Either kind covers a position of the item; plain windows need no
 literal tokens and no slot check.  Along one alignment (document position minus item position) the
-slots must be consistent: one benchmark value always maps to one document
-value.  An item leaks into a document when consistent windows make up
+slots must be consistent: the document value of a benchmark value is the one
+that most of its places have (of equally many the unchanged one, else none),
+and windows with another value don't count.  Unchanged windows always do.  An item leaks into a document when consistent windows make up
 ``min_share`` of the item's template windows (of its plain ones, where it has
 no template window); the leak is ``exact`` if every slot kept its value, else
 ``reparameterised``.
@@ -23,6 +24,7 @@ id of its own; repeated items are one item.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -155,6 +157,39 @@ def window_rows(df: DataFrame, key: str, text: str, width: int, least: int, min_
     return map_arrow(src, run, f"id {kind}, hash bigint, pos int, total int, plain boolean, counted boolean, slots array<bigint>, places array<int>")
 
 
+def consistent(windows: list[dict]) -> dict[int, tuple[bool, int]]:
+    """``position: (whether it counts, whether unchanged)`` of the consistent windows of one alignment."""
+    places = {}  # each place votes once, however many windows hold it
+    for w in windows:
+        for place, b, d in zip(w["places"], w["item_slots"], w["item_slots"] if w["plain"] else w["slots"], strict=True):
+            places[place, d] = b
+    votes = defaultdict(Counter)
+    for (_, d), b in places.items():
+        votes[b][d] += 1
+    value = {}
+    for b, n in votes.items():
+        most = [d for d, k in n.items() if k == max(n.values())]
+        value[b] = most[0] if len(most) == 1 else b if b in most else None
+    out = {}
+    for w in windows:
+        if w["same"] or all(value[b] == d for b, d in zip(w["item_slots"], w["slots"], strict=True)):
+            out[w["item_pos"]] = w["counted"], max(w["same"], out.get(w["item_pos"], (False, 0))[1])
+    return out
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    types = [pa.int32(), pa.bool_(), pa.int64()]
+    for b in batches:
+        owner, rows = [], ([], [], [])
+        for at in range(b.num_rows):
+            for pos, (counted, same) in consistent(b.column(3)[at].as_py()).items():
+                owner.append(at)
+                for row, v in zip(rows, (pos, counted, same), strict=True):
+                    row.append(v)
+        take = pa.array(owner, pa.int64())
+        yield pa.RecordBatch.from_arrays([*[b.column(i).take(take) for i in range(3)], *[pa.array(r, t) for r, t in zip(rows, types, strict=True)]], ["doc", "item", "n_item_windows", "item_pos", "counted", "same"])
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     width: int = 8, min_literal: int = 4, min_tokens: int = 4, min_share: float = 0.5,
@@ -179,12 +214,11 @@ def leaks(
     found = window_rows(docs, key, text, width, min_literal, min_tokens, False, lengths, bitmap).select(F.col("id").alias("doc"), "hash", "pos", "slots").dropDuplicates(["doc", "hash", "pos"])
     hits = found.join(wanted, "hash").withColumn("shift", F.col("pos") - F.col("item_pos")).withColumn("same", (F.col("plain") | (F.col("slots") == F.col("item_slots"))).cast("long"))
 
-    # along one alignment a benchmark value has one document value
-    line = ["doc", "item", "shift"]
-    slots = hits.where("NOT plain").select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("z")).select(*line, F.col("z.item_slots").alias("b"), F.col("z.slots").alias("d"))
-    clash = slots.groupBy(*line, "b").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low <> high").select(*line).distinct()
-    on = F.col("h.doc").eqNullSafe(F.col("c.doc")) & F.col("h.item").eqNullSafe(F.col("c.item")) & (F.col("h.shift") == F.col("c.shift"))
-    sound = hits.where("NOT plain").alias("h").join(clash.alias("c"), on, "left_anti").unionByName(hits.where("plain")).where("counted")
+    # an alignment has as many windows as the item at most
+    windows = F.collect_list(F.struct("item_pos", "plain", "counted", "same", "slots", "item_slots", "places"))
+    lines = hits.groupBy("doc", "item", "shift").agg(windows.alias("windows"), F.max("n_item_windows").alias("n_item_windows")).select("doc", "item", "n_item_windows", "windows")
+    kinds = [hits.schema[c].dataType.simpleString() for c in ("doc", "item")]
+    sound = map_arrow(lines, _judged, f"doc {kinds[0]}, item {kinds[1]}, n_item_windows int, item_pos int, counted boolean, same bigint").where("counted")
     per_window = sound.groupBy("doc", "item", "item_pos").agg(F.max("same").alias("same"), F.max("n_item_windows").alias("n_item_windows"))
     per_item = per_window.groupBy("doc", "item").agg(F.count("*").alias("n_windows"), F.max("n_item_windows").cast("long").alias("n_item_windows"), F.sum("same").alias("n_exact"))
     out = per_item.where(F.col("n_windows") >= min_share * F.col("n_item_windows"))
