@@ -234,6 +234,15 @@ def test_one_edited_slot_keeps_the_alignment(spark):
     assert got == {1: ("exact", 45), 2: ("reparameterised", 45)}  # 53 windows, 8 of them over the edited place
 
 
+def test_a_long_passage_of_a_longer_item_leaks(spark):
+    item = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(10)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    part = lambda a, b: FILL + " ".join(item[a:b]) + " " + FILL
+    docs = [(1, part(0, 60)), (2, part(187, 200)), (3, part(187, 199)), (4, part(0, 12) + part(50, 62)), (5, part(40, 52).replace("wordei", "other"))]
+    got = {r.doc_id: (r.kind, r.n_windows, r.n_item_windows) for r in decontam.leaks(frame(spark, docs), bench).collect()}
+    assert got == {1: ("exact", 53, 193), 2: ("exact", 6, 193)}
+
+
 # ----------------------------------------------------------------- pipeline
 def test_masking(spark):
     live, copied = "q8Rk2LmZ0pXcVbN", "Zx81kQpLm20aBvC"

@@ -12,7 +12,8 @@ slots must be consistent: the document value of a benchmark value is the one
 that most of its places have (of equally many the unchanged one, else none),
 and windows with another value don't count.  Unchanged windows always do.  An item leaks into a document when consistent windows make up
 ``min_share`` of the item's template windows (of its plain ones, where it has
-no template window); the leak is ``exact`` if every slot kept its value, else
+no template window), or when one alignment has a run of consecutive consistent
+windows over ``min_run`` tokens, however long the item is; the leak is ``exact`` if every slot kept its value, else
 ``reparameterised``.
 
 Items with fewer tokens than a window are one window of their own length;
@@ -25,7 +26,7 @@ id of its own; repeated items are one item.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -177,22 +178,34 @@ def consistent(windows: list[dict]) -> dict[int, tuple[bool, int]]:
     return out
 
 
+def longest_run(positions: Iterable[int]) -> int:
+    """The most consecutive positions."""
+    best = run = 0
+    last = None
+    for p in sorted(positions):
+        run = run + 1 if last is not None and p == last + 1 else 1
+        best, last = max(best, run), p
+    return best
+
+
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = [pa.int32(), pa.bool_(), pa.int64()]
+    types = [pa.int32(), pa.bool_(), pa.int64(), pa.int32()]
     for b in batches:
-        owner, rows = [], ([], [], [])
+        owner, rows = [], ([], [], [], [])
         for at in range(b.num_rows):
-            for pos, (counted, same) in consistent(b.column(3)[at].as_py()).items():
+            found = consistent(b.column(3)[at].as_py())
+            run = longest_run(found)
+            for pos, (counted, same) in found.items():
                 owner.append(at)
-                for row, v in zip(rows, (pos, counted, same), strict=True):
+                for row, v in zip(rows, (pos, counted, same, run), strict=True):
                     row.append(v)
         take = pa.array(owner, pa.int64())
-        yield pa.RecordBatch.from_arrays([*[b.column(i).take(take) for i in range(3)], *[pa.array(r, t) for r, t in zip(rows, types, strict=True)]], ["doc", "item", "n_item_windows", "item_pos", "counted", "same"])
+        yield pa.RecordBatch.from_arrays([*[b.column(i).take(take) for i in range(3)], *[pa.array(r, t) for r, t in zip(rows, types, strict=True)]], ["doc", "item", "n_item_windows", "item_pos", "counted", "same", "run"])
 
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
-    width: int = 8, min_literal: int = 4, min_tokens: int = 4, min_share: float = 0.5,
+    width: int = 8, min_literal: int = 4, min_tokens: int = 4, min_share: float = 0.5, min_run: int = 13,
 ) -> DataFrame:
     """One row per document and item that leaks into it: ``key, item, n_windows, n_item_windows, n_exact, kind``."""
     spark = docs.sparkSession
@@ -218,11 +231,14 @@ def leaks(
     windows = F.collect_list(F.struct("item_pos", "plain", "counted", "same", "slots", "item_slots", "places"))
     lines = hits.groupBy("doc", "item", "shift").agg(windows.alias("windows"), F.max("n_item_windows").alias("n_item_windows")).select("doc", "item", "n_item_windows", "windows")
     kinds = [hits.schema[c].dataType.simpleString() for c in ("doc", "item")]
-    sound = map_arrow(lines, _judged, f"doc {kinds[0]}, item {kinds[1]}, n_item_windows int, item_pos int, counted boolean, same bigint").where("counted")
-    per_window = sound.groupBy("doc", "item", "item_pos").agg(F.max("same").alias("same"), F.max("n_item_windows").alias("n_item_windows"))
-    per_item = per_window.groupBy("doc", "item").agg(F.count("*").alias("n_windows"), F.max("n_item_windows").cast("long").alias("n_item_windows"), F.sum("same").alias("n_exact"))
-    out = per_item.where(F.col("n_windows") >= min_share * F.col("n_item_windows"))
+    sound = map_arrow(lines, _judged, f"doc {kinds[0]}, item {kinds[1]}, n_item_windows int, item_pos int, counted boolean, same bigint, run int")
+    per_window = sound.groupBy("doc", "item", "item_pos").agg(F.max("same").alias("same"), F.max("n_item_windows").alias("n_item_windows"), F.max("counted").alias("counted"), F.max("run").alias("run"))
+    per_item = per_window.groupBy("doc", "item").agg(
+        F.count_if("counted").alias("n_windows"), F.max("n_item_windows").cast("long").alias("n_item_windows"),
+        F.coalesce(F.sum(F.when(F.col("counted"), F.col("same"))), F.lit(0)).alias("n_exact"), F.min("same").alias("all_same"), F.max("run").alias("run"),
+    )
+    out = per_item.where((F.col("n_windows") >= min_share * F.col("n_item_windows")) | (F.col("run") >= max(min_run - width + 1, 1)))
     return out.select(
         F.col("doc").alias(key), F.col("item").alias(item), "n_windows", "n_item_windows", "n_exact",
-        F.when(F.col("n_exact") == F.col("n_windows"), "exact").otherwise("reparameterised").alias("kind"),
+        F.when(F.col("all_same") == 1, "exact").otherwise("reparameterised").alias("kind"),
     )
