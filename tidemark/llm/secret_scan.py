@@ -6,7 +6,8 @@ distinct owners.  A value that many owners share is a copied example; one that
 stays with a single owner and looks random is a live credential.
 
 Base kinds (exact, see ``scan``): ``assign``, ``access``, ``hex``.  The method
-adds ``pem`` (private key header), ``vendor`` (prefixed vendor tokens) and
+adds ``pem`` (private keys, header to END line, or to the last base64 line of
+a cut-off one; the hash is of the body without its line breaks), ``vendor`` (prefixed vendor tokens) and
 ``jwt`` spans.  Null and empty texts have no candidates; a null repository or
 owner counts as one repository or owner of its own (the empty name).
 Repeated rows each give their own row and count as occurrences, but not as
@@ -36,7 +37,14 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of 24 and more
-_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
+_BREAK = r"""(?:[\s"',>|#]|\\[nrt])"""  # line breaks, also escaped or quoted
+_PEM = re.compile(
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    rf"(?P<body>(?:{_BREAK}*+(?:Proc-Type: ?\d,[A-Z]+|DEK-Info: ?[A-Z0-9-]+(?:,[0-9A-Fa-f]+)?))*+"
+    rf"(?:(?P<key>(?:[A-Za-z0-9+/=]|{_BREAK})*+)-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?P<cut>(?:{_BREAK}*+[A-Za-z0-9+/]{{20,}}+=*+)*+(?:{_BREAK}++(?:[A-Za-z0-9+/]+=+|(?<=\n)[A-Za-z0-9+/]+(?=[^\S\n]*(?:\n|\Z))))?+)))"
+)
+_BREAKS = re.compile(r"\\[nrt]|[^A-Za-z0-9+/=]")
 _VENDOR = re.compile(r"(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+")
 
@@ -61,7 +69,7 @@ def scan(text: str) -> list[tuple[int, int, int, str, str]]:
         add("hex", m)
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            add("pem", m)
+            out.append((m.start(), RANK["pem"], m.end(), "pem", _BREAKS.sub("", m["key"] or m["cut"] or "") or m[0]))
     if any(c in text for c in _VENDOR_CUES):
         for m in _VENDOR.finditer(text):
             add("vendor", m)
