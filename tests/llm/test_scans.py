@@ -103,6 +103,20 @@ def test_private_keys_are_masked_by_their_body(spark):
     assert {r.text for r in secret_scan.redact(df, owner=F.col("owner")).collect()} == {"key\n[pem]\nend"}
 
 
+def test_mirrored_credentials_stay_live(spark):
+    """Two owners of twenty mirror one; samples are copied into one owner's many rows, into many repositories, by half of all owners."""
+    mirrored, hot, forked, half = "q8Rk2LmZ0pXcVbN", "Zx81kQpLm20aBvC", "pL93mNbVcX71zAq", "tR5yUiO2pWqE8sD"
+    rows = [(i, f"token = {mirrored}", f"o{i}", f"o{i}") for i in range(2)] + [(100 + i, f"token = {hot}", "o1", "o1") for i in range(1000)]
+    rows += [(2000 + i, f"token = {forked}", f"r{i}", "o2") for i in range(20)] + [(3000 + i, f"token = {half}", f"o{i}", f"o{i}") for i in range(10)]
+    rows += [(4000 + i, None, f"o{i}", f"o{i}") for i in range(20)] + [(5000, " ".join([f"token = {mirrored[::-1]}"] * 2000), "o3", "o3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, repo string, owner string")
+    out = secret_scan.secret_scan(df, repo=F.col("repo"), owner=F.col("owner")).where("size(owned) > 0").select("doc_id", F.explode("owned").alias("o")).select("doc_id", "o.*").collect()
+    got = {r.doc_id: (r.verdict, r.n_owners, r.n_repos, r.n_seen) for r in out}
+    assert [got[i] for i in (0, 1, 100, 2000, 3000, 5000)] == [("live", 2, 2, 2)] * 2 + [("example", 1, 1, 1000), ("example", 1, 20, 20), ("example", 10, 10, 10), ("live", 1, 1, 2000)]
+    masked = {r.doc_id: r.text for r in secret_scan.redact(df, repo=F.col("repo"), owner=F.col("owner")).collect()}
+    assert masked[0] == masked[1] == "[assign]" and masked[100] == f"token = {hot}"
+
+
 def brute_quality(t):
     w = words(t)
     lines = [x for x in (t or "").split("\n") if words(x)]

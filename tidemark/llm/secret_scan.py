@@ -2,8 +2,10 @@
 
 Each text is scanned once for candidates.  The candidates' hashes are then
 counted over the whole corpus: occurrences, distinct repositories and
-distinct owners.  A value that many owners share is a copied example; one that
-stays with a single owner and looks random is a live credential.
+distinct owners.  A value that is copied widely (by a large part of all
+owners, into many repositories, or into very many rows) is an example; one
+that stays with few and looks random is a live credential, also when a few
+owners mirror it.
 
 Base kinds (exact, see ``scan``): ``assign``, ``access``, ``hex``.  The method
 adds ``pem`` (private keys, header to END line, or to the last base64 line of
@@ -123,26 +125,36 @@ def candidates(df: DataFrame, key: str = "doc_id", text: str = "text", repo: Col
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Per candidate hash: ``n_seen``, ``n_repos``, ``n_owners`` and its entropy, over the whole corpus.
+    """Per candidate hash: ``n_seen``, ``n_rows``, ``n_repos``, ``n_owners`` and its entropy, over the whole corpus.
 
     Two steps (hash, repo, owner) then hash, each pre-aggregated before its
     shuffle, so that a value copied into a third of all rows stays small.
     """
     one = found.select("repo", "owner", F.explode("found").alias("c")).select("repo", "owner", "c.hash", "c.entropy", "c.n")
-    per = one.groupBy("hash", "repo", "owner").agg(F.sum("n").alias("n"), F.max("entropy").alias("entropy"))
-    by_repo = per.groupBy("hash", "repo").agg(F.sum("n").alias("n"), F.max("entropy").alias("entropy"))
+    per = one.groupBy("hash", "repo", "owner").agg(F.sum("n").alias("n"), F.count("*").alias("rows"), F.max("entropy").alias("entropy"))
+    by_repo = per.groupBy("hash", "repo").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"), F.max("entropy").alias("entropy"))
     by_owner = per.groupBy("hash", "owner").agg(F.sum("n").alias("n"))
-    repos = by_repo.groupBy("hash").agg(F.sum("n").alias("n_seen"), F.count("*").alias("n_repos"), F.max("entropy").alias("entropy"))
+    repos = by_repo.groupBy("hash").agg(F.sum("n").alias("n_seen"), F.sum("rows").alias("n_rows"), F.count("*").alias("n_repos"), F.max("entropy").alias("entropy"))
     owners = by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"))
     return repos.join(owners, "hash")
 
 
-def verdict(own: DataFrame, min_owners: int = 2, min_entropy: float = 3.0) -> DataFrame:
-    """``kind``: ``example`` (``min_owners`` owners or more share it), ``live`` (one owner, random-looking) or ``weak``."""
-    return own.withColumn(
-        "verdict",
-        F.when(F.col("n_owners") >= min_owners, "example").when(F.col("entropy") >= min_entropy, "live").otherwise("weak"),
-    )
+def verdict(own: DataFrame, all_owners: int, min_owners: int = 2, min_entropy: float = 3.0, owner_share: float = 0.5, min_repos: int = 20, min_rows: int = 1000) -> DataFrame:
+    """``verdict``: ``example`` (copied widely), ``live`` (random-looking) or ``weak``.
+
+    Copied widely: by ``min_owners`` owners that are ``owner_share`` of ``all_owners``, into ``min_repos``
+    repositories, or seen in ``min_rows`` rows (a row that repeats a value is one).  A value that isn't
+    random-looking needs ``min_owners`` owners only.
+    """
+    shared = F.col("n_owners") >= min_owners
+    widely = (shared & (F.col("n_owners") >= owner_share * all_owners)) | (F.col("n_repos") >= min_repos) | (F.least("n_seen", "n_rows") >= min_rows)
+    return own.withColumn("verdict", F.when(widely, "example").when(F.col("entropy") >= min_entropy, "live").when(shared, "example").otherwise("weak"))
+
+
+def _owners(df: DataFrame, repo: Column | None, owner: Column | None) -> int:
+    """Distinct owners of all rows, with or without candidates."""
+    empty = F.lit("")
+    return df.select(F.coalesce((owner if owner is not None else repo if repo is not None else empty).cast("string"), empty).alias("o")).distinct().count()
 
 
 def secret_scan(
@@ -150,9 +162,10 @@ def secret_scan(
     min_owners: int = 2, min_entropy: float = 3.0, tag: str = "secrets",
 ) -> DataFrame:
     """Every input row with its spans and the numbers of its distinct candidates that are
-    ``n_example``, ``n_live`` or ``n_weak`` by their ownership in the whole corpus."""
+    ``n_example``, ``n_live`` or ``n_weak`` by their ownership in the whole corpus; ``owned`` has each
+    candidate's hash, verdict, ``n_owners``, ``n_repos`` and ``n_seen``."""
     found = written(candidates(df, key, text, repo, owner).withColumn("row", F.monotonically_increasing_id()), tag)  # scanned once, used twice
-    verdicts = verdict(ownership(found), min_owners, min_entropy).select("hash", "verdict")
+    verdicts = verdict(ownership(found), _owners(df, repo, owner), min_owners, min_entropy).select("hash", "verdict", "n_owners", "n_repos", "n_seen")
     per_row = (
         found.where(F.size("found") > 0)
         .select("row", F.col(key).alias(key), "n_assign", "n_access", "n_hex", "base_sha256", "spans", F.explode("found.hash").alias("hash"))
@@ -161,11 +174,13 @@ def secret_scan(
         .agg(
             *[F.first(c).alias(c) for c in (key, "n_assign", "n_access", "n_hex", "base_sha256", "spans")],
             *[F.sum((F.col("verdict") == v).cast("long")).alias(f"n_{v}") for v in ("example", "live", "weak")],
+            F.sort_array(F.collect_list(F.struct("hash", "verdict", "n_owners", "n_repos", "n_seen"))).alias("owned"),
         )
         .drop("row")
     )
     zero = F.lit(0).cast("long")
-    none = found.where(F.size("found") == 0).select(key, "n_assign", "n_access", "n_hex", "base_sha256", "spans", zero.alias("n_example"), zero.alias("n_live"), zero.alias("n_weak"))
+    no_owned = F.array().cast("array<struct<hash:string,verdict:string,n_owners:bigint,n_repos:bigint,n_seen:bigint>>").alias("owned")
+    none = found.where(F.size("found") == 0).select(key, "n_assign", "n_access", "n_hex", "base_sha256", "spans", zero.alias("n_example"), zero.alias("n_live"), zero.alias("n_weak"), no_owned)
     return none.unionByName(per_row)
 
 
@@ -175,7 +190,7 @@ def redact(df: DataFrame, key: str = "doc_id", text: str = "text", repo: Column
     Rows are matched to their verdicts by key (a null key matches null).
     """
     found = written(candidates(df, key, text, repo, owner).where(F.size("found") > 0), tag)
-    live = verdict(ownership(found), min_owners, min_entropy).where("verdict = 'live'").select("hash")
+    live = verdict(ownership(found), _owners(df, repo, owner), min_owners, min_entropy).where("verdict = 'live'").select("hash")
     hits = found.select(F.col(key).alias("_key"), F.explode("found.hash").alias("hash")).distinct().join(live, "hash")
     per_key = hits.groupBy("_key").agg(F.collect_set("hash").alias("_live"))  # a row's own distinct candidates
     both = df.join(per_key, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
