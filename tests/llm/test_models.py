@@ -73,6 +73,17 @@ def test_training_learns_words_and_prefixes():
     assert ((s >= 0.5) == (np.array(y[450:]) == 1)).mean() > 0.95
 
 
+def test_thresholds_cover_all_held_back_labels(spark, monkeypatch):
+    """A small sample for fitting leaves the thresholds to all other labelled rows."""
+    docs = frame(spark, [(i, ("awful " if i % 10 == 0 else "") + f"plain words here of {'abcdefgh'[i % 8] * 3}") for i in range(1500)])
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(1500)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "calibrate", lambda m, counts: seen.append(counts))
+    toxicity.fit(docs, labels, where=toxicity.held_in(), max_toxic=10, max_clean=20)
+    mine = [i for i in range(1500) if zlib.crc32(str(i).encode()) % 5 and zlib.crc32(str(i).encode()) // 5 % 5 == 0]
+    assert seen[0].sum(axis=(0, 2)).tolist() == [sum(i % 10 > 0 for i in mine), sum(i % 10 == 0 for i in mine)]
+
+
 def test_no_labels(spark):
     docs = frame(spark, [(1, "a"), (2, None)])
     for rows, share in (([], 0.0), ([(1, 1), (1, 0), (2, 1)], 1.0), ([(1, None), (None, 1)], 0.0)):

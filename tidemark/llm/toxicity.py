@@ -3,9 +3,12 @@
 Words (runs of letters, A-Z lowered) get the sum of four hashed embeddings:
 the word, its first 4 and 7 bytes and its last 4.  Filters of several widths
 slide over the words, each filter's maximum over the whole text goes through
-a linear layer.  Training is Adagrad on a bounded sample of labelled rows;
-thresholds are then calibrated by the language that the text's own function
-words show, on rows of the sample held back from training, and moved to 0.5.
+a linear layer.  Training is Adagrad on a bounded sample of labelled rows.
+Thresholds are then calibrated by the language that the text's own function
+words show, and moved to 0.5: a fifth of all labelled rows, by their key's
+crc, is held back from training and scored in Spark, and the counts of scores
+by language and label set the best F1.  A language's counts are joined by
+``PRIOR`` rows' worth of all languages' counts, at every size.
 
 Scores depend on the text alone.  Null and empty texts have no words; they
 get the score of the bare biases.  Without toxic or without clean labelled
@@ -177,31 +180,49 @@ class Trainer:
         return Model(table.astype(np.float32), self.bias.copy(), self.v.copy(), float(self.c[0]), np.zeros(len(LANGUAGES)))
 
 
-def _threshold(z: np.ndarray, y: np.ndarray) -> float:
-    """The logit with the best F1, in the middle of its gap; ties go to the one nearest 0."""
+#: Logits are counted in bins of this width, up to LIMIT either way.
+BIN, LIMIT = 1 / 64, 40
+PRIOR = 40.0
+
+
+def _threshold(z: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> float:
+    """The logit with the best F1, in the middle of its gap; ties go to the one nearest 0.
+    ``y`` of ``n`` rows (one each by default) at each of ``z`` are toxic."""
     order = np.argsort(-z, kind="stable")
     zs, ys = z[order], y[order]
     hit = np.cumsum(ys)
-    f1 = 2 * hit / (np.arange(1, len(z) + 1) + y.sum())
+    f1 = 2 * hit / ((np.arange(1, len(z) + 1) if n is None else np.cumsum(n[order])) + y.sum())
     cut = np.append((zs[:-1] + zs[1:]) / 2, zs[-1] - 1)
     best = np.flatnonzero(f1 >= f1.max() - 1e-12)
     return float(cut[best[np.abs(cut[best]).argmin()]])
 
 
+def calibrate(m: Model, counts: np.ndarray) -> None:
+    """Shifts from ``counts (language, label, bin)`` of held-back rows; too few toxic or no clean rows leave them."""
+    total = counts.sum(axis=0)
+    if total[1].sum() < 5 or not total[0].sum():
+        return
+    for k in range(len(LANGUAGES)):
+        clean, toxic = counts[k] + PRIOR * total / total.sum()
+        at = np.flatnonzero(clean + toxic)
+        m.shift[k] = _threshold((at + 0.5) * BIN - LIMIT, toxic[at], clean[at] + toxic[at])
+
+
 def train(texts: list[bytes], y: np.ndarray, **settings) -> Model:
     """A model from labelled whole texts."""
     return train_encoded([encode([t]) for t in texts], np.asarray(y, np.float64), **settings)
 
 
 def train_encoded(encoded: list, y: np.ndarray, epochs: int = 8, steps: int = 500, batch: int = 32, rate: float = 0.15, held: int = 5, seed: int = 7) -> Model:
-    """A model from encoded texts: ``epochs`` passes and ``steps`` updates at least; every ``held``-th row only calibrates."""
+    """A model from encoded texts: ``epochs`` passes and ``steps`` updates at least; every ``held``-th row only calibrates (0: none)."""
     if not len(y) or y.min() == y.max():
         return Model(np.zeros((1, 1)), np.zeros(3), np.zeros(3), 0.0, np.zeros(len(LANGUAGES)), float(y.mean()) if len(y) else 0.0)
     docs = [x[0] for x in encoded]
     languages = np.array([int(x[2][0]) for x in encoded])
     t = Trainer(seed=seed)
     order = t.rng.permutation(len(docs))
-    fit, check = order[np.arange(len(order)) % held > 0], order[np.arange(len(order)) % held == 0]
+    back = np.arange(len(order)) % held == 0 if held else np.zeros(len(order), bool)
+    fit, check = order[~back], order[back]
     balance = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     passes = max(epochs, -(-steps * batch // max(len(fit), 1)))
     for epoch in range(passes):
@@ -224,8 +245,9 @@ def train_encoded(encoded: list, y: np.ndarray, epochs: int = 8, steps: int = 50
     return m
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", where: Column | None = None, max_toxic: int = 2500, max_clean: int = 5000) -> Model:
-    """A model from at most ``max_toxic`` toxic and ``max_clean`` clean labelled rows (the smallest by the key's hash).
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", where: Column | None = None, max_toxic: int = 2500, max_clean: int = 5000, held: int = 5) -> Model:
+    """A model from at most ``max_toxic`` toxic and ``max_clean`` clean labelled rows (the smallest by the key's hash),
+    its thresholds from all labelled rows held back: every ``held``-th of the key's crc, beside the remainder modulo 5.
 
     Only the sample is bounded; its texts are whole.
     """
@@ -233,15 +255,47 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     known = known.where("_y IS NOT NULL AND _key IS NOT NULL").groupBy("_key").agg(F.max("_y").alias("_y"))
     if where is not None:
         known = known.where(where)
+    back = F.floor(F.crc32(F.col("_key").cast("string").cast("binary")) / 5) % held == 0
+    src = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    encoded, y = _sample(src, known.where(~back), max_toxic, max_clean)
+    if len(set(y)) < 2:  # nothing to hold back from
+        encoded, y = _sample(src, known, max_toxic, max_clean)
+        return train_encoded(encoded, np.array(y, np.float64), held=0)
+    model = train_encoded(encoded, np.array(y, np.float64), held=0)
+    calibrate(model, _counts(src.where(back & F.col("_key").isNotNull()), known, model))
+    return model
+
+
+def _sample(src: DataFrame, known: DataFrame, max_toxic: int, max_clean: int) -> tuple[list, list[float]]:
     by = F.xxhash64("_key")
     parts = [known.where(F.col("_y") == v).orderBy(by, "_key").limit(n) for v, n in ((1, max_toxic), (0, max_clean))]
     sample = parts[0].unionByName(parts[1])
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), "_key").dropDuplicates(["_key"]).orderBy(by, "_key")
+    rows = src.join(F.broadcast(sample), "_key").dropDuplicates(["_key"]).orderBy(by, "_key")
     encoded, y = [], []
     for r in rows.select("_text", "_y").toLocalIterator():  # word rows of 8 bytes stay, texts go
         encoded.append(encode([(r._text or "").encode("utf-8", "surrogatepass")]))
         y.append(float(r._y))
-    return train_encoded(encoded, np.array(y, np.float64))
+    return encoded, y
+
+
+def _counts(src: DataFrame, known: DataFrame, model: Model) -> np.ndarray:
+    """``(language, label, bin)`` counts of the labelled rows among ``src``, scored in Spark; at most as many rows come back as there are bins."""
+    shared = src.sparkSession.sparkContext.broadcast(model)
+    n_bins = int(2 * LIMIT / BIN)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b, at, to, texts in blocks(batches, 1):
+            ids, first, language = encode(texts)
+            bins = np.clip(np.floor((m.logits(ids, first) + LIMIT) / BIN), 0, n_bins - 1)
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), pa.array(language.astype(np.int32)), pa.array(bins.astype(np.int32))], ["_key", "language", "bin"])
+
+    kind = src.schema["_key"].dataType.simpleString()
+    scored = map_arrow(src, run, f"_key {kind}, language int, bin int").dropDuplicates(["_key"])
+    counts = np.zeros((len(LANGUAGES), 2, n_bins))
+    for r in scored.join(known.where("_y IN (0, 1)"), "_key").groupBy("language", "_y", "bin").count().collect():
+        counts[r.language, int(r._y), r.bin] = r["count"]
+    return counts
 
 
 def held_in(column: str = "_key", modulus: int = 5, out: int = 0) -> Column:
