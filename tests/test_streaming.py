@@ -49,6 +49,47 @@ def test_first_failure_is_raised_and_all_streams_stop(spark, sf_small):
     assert not spark.streams.active
 
 
+def test_run_with_a_missing_drop_can_be_started_again(spark, sf_small):
+    import pytest
+
+    root = scratch_dir(spark, "t-again")
+    prices = tables.prices(spark, sf_small)
+    _drop(prices, runner.feed_paths(root, "prices").input)
+    for _ in range(3):
+        with pytest.raises(Exception):
+            runner.run_streams(spark, root, "testing", feeds=("prices", "sales"))
+    assert not os.path.exists(runner.feed_paths(root, "prices").checkpoint)  # nothing was started
+    _drop(tables.sales_wide(spark, sf_small), runner.feed_paths(root, "sales").input)
+    runner.run_streams(spark, root, "testing", feeds=("prices", "sales"), available_now=True)
+    assert spark.read.parquet(runner.feed_paths(root, "prices").output).count() == prices.count()
+
+
+def test_start_interrupted_at_any_time_can_be_started_again(spark, sf_small):
+    import time
+
+    prices = tables.prices(spark, sf_small)
+    for wait in (0.0, 0.05, 0.1, 0.2, 0.3, 0.5):
+        root = scratch_dir(spark, "t-cut")
+        p = runner.feed_paths(root, "prices")
+        _drop(prices, p.input)
+        q = runner.start_feed(spark, "prices", root, "testing", sink_format="parquet", available_now=True)
+        time.sleep(wait)
+        q.stop()  # without grace
+        runner.start_feed(spark, "prices", root, "testing", sink_format="parquet", available_now=True).awaitTermination()
+        assert spark.read.parquet(p.output).count() == prices.count()
+
+
+def test_only_unplanned_offsets_are_cleared(spark):
+    root = scratch_dir(spark, "t-clear")
+    offsets = os.path.join(root, "offsets")
+    os.makedirs(offsets)
+    open(os.path.join(offsets, ".0.cut.tmp"), "w").close()
+    assert runner.clear_unplanned(spark, root) == [".0.cut.tmp"] and not os.listdir(offsets)
+    open(os.path.join(offsets, ".1.cut.tmp"), "w").close()
+    open(os.path.join(offsets, "0"), "w").close()
+    assert runner.clear_unplanned(spark, root) == [] and len(os.listdir(offsets)) == 2
+
+
 def test_named_tables_and_progress(spark, sf_small):
     from dataclasses import replace
 

@@ -157,3 +157,9 @@ def fs_list(spark: SparkSession, path: str) -> list[str]:
         return []
     return [st.getPath().getName() for st in fs.listStatus(p)]
 
+
+
+def fs_delete(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder on any Hadoop file system."""
+    p, fs = _fs(spark, path)
+    return bool(fs.delete(p, True))

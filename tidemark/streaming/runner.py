@@ -2,7 +2,9 @@
 
 Each feed has its own input, output and checkpoint folder under one root.
 Streams are map-only (no state), so a restart on the same checkpoint
-resumes after the last committed file and never duplicates rows.
+resumes after the last committed file and never duplicates rows.  A run that
+was stopped while its first batch was being planned can be started again: the
+half-written offset file that it left is removed (``clear_unplanned``).
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.feeds import TRANSFORMS
-from ..session import Profile, get_profile
+from ..session import Profile, fs_delete, fs_list, get_profile
 from ..sources import files
 from ..sources.schemas import CALENDAR_SCHEMA, PRICES_SCHEMA
 from . import sinks
@@ -64,8 +66,31 @@ def start_feed(spark: SparkSession, feed: str, root: str, profile: Profile | str
     output folder), else to the output folder alone.
     """
     prof = profile if isinstance(profile, Profile) else get_profile(profile)
+    df = feed_stream(spark, feed, feed_paths(root, feed).input, fmt, prof.max_files_per_trigger, with_time)
+    return _start(spark, feed, df, root, prof, sink_format, available_now, table)
+
+
+def clear_unplanned(spark: SparkSession, checkpoint: str) -> list[str]:
+    """Remove what an interrupted start left in a checkpoint that has no batch yet; returns the names.
+
+    A query that is stopped while it plans its first batch leaves only a
+    hidden temporary file among the offsets, and Spark refuses to start
+    batch 0 beside it.  No sink can have written anything before the first
+    offset file is complete, so nothing is lost.  A checkpoint with a planned
+    batch is left as it is: Spark repeats that batch.
+    """
+    offsets = os.path.join(checkpoint, "offsets")
+    names = fs_list(spark, offsets)
+    if not names or not all(n.startswith(".") for n in names):
+        return []
+    for n in names:
+        fs_delete(spark, os.path.join(offsets, n))
+    return names
+
+
+def _start(spark, feed, df, root, prof, sink_format, available_now, table):
     p = feed_paths(root, feed)
-    df = feed_stream(spark, feed, p.input, fmt, prof.max_files_per_trigger, with_time)
+    clear_unplanned(spark, p.checkpoint)
     sink_format = sink_format or sinks.table_format(spark)
     trigger, name = trigger_of(prof, available_now), f"{feed}_feed"
     if table:
@@ -78,7 +103,8 @@ def run_streams(spark: SparkSession, root: str, profile: Profile | str = "develo
                 tables: dict[str, str] | None = None, on_progress=None):
     """Start the chosen feeds of a profile and wait until all end (or time out).
 
-    All streams are watched together: the first failure is raised, and
+    Every feed is opened and checked before the first one starts, so a missing
+    drop starts nothing.  All streams are watched together: the first failure is raised, and
     whatever ends the wait, every stream that was started is stopped.  Where
     the profile monitors, ``on_progress`` gets the progress table at its
     interval.  Returns the (stopped) queries.
@@ -88,8 +114,9 @@ def run_streams(spark: SparkSession, root: str, profile: Profile | str = "develo
     due = time.monotonic() + prof.monitoring_interval_s
     queries = []
     try:
-        for f in feeds:
-            queries.append(start_feed(spark, f, root, prof, fmt, available_now=available_now, table=(tables or {}).get(f)))
+        opened = {f: feed_stream(spark, f, feed_paths(root, f).input, fmt, prof.max_files_per_trigger) for f in feeds}
+        for f, df in opened.items():
+            queries.append(_start(spark, f, df, root, prof, None, available_now, (tables or {}).get(f)))
         while active := [q for q in queries if q.isActive]:
             raise_failure(queries)
             if deadline is not None and time.monotonic() >= deadline:
@@ -111,8 +138,15 @@ def raise_failure(queries) -> None:
             raise failure
 
 
-def stop_all(queries) -> None:
+def stop_all(queries, grace_s: float = 30.0) -> None:
+    """Stop every query; one whose first batch is under way may finish that batch first (``grace_s`` at most)."""
+    deadline = time.monotonic() + grace_s
     for q in queries:
+        while q.isActive and q.lastProgress is None and time.monotonic() < deadline:
+            status = q.status
+            if not status["isTriggerActive"] and not status["message"].startswith("Initializing"):
+                break
+            time.sleep(0.05)
         if q.isActive:
             q.stop()
 
