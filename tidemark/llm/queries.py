@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_text, jaccard, language_model, pii, quality_rules, secret_scan, toxicity, warc
+from . import bpe, decontam, html_text, jaccard, language_model, pii, quality_rules, secret_scan, token_files, toxicity, warc
 from .common import table
 
 
@@ -53,7 +53,15 @@ def op10_decontam(spark, sf_dir):
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_jaccard, op3_secret_scan, op4_html_text, op5_warc, op6_language_model, op7_quality_rules, op8_bpe, op9_toxicity, op10_decontam)}
+def op11_token_files(spark, sf_dir):
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_pii, op2_jaccard, op3_secret_scan, op4_html_text, op5_warc, op6_language_model, op7_quality_rules, op8_bpe, op9_toxicity, op10_decontam,
+              op11_token_files)
+}
 
 #: Base 32 of a hexadecimal digest: 5 bits a digit, from 20 bytes exactly 32 digits.
 _BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
