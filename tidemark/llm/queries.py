@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_text, jaccard, language_model, pii, quality_rules, secret_scan, token_files, toxicity, warc
+from . import bpe, decontam, filter_audit, html_text, jaccard, language_model, pii, quality_rules, secret_scan, token_files, toxicity, warc
 from .common import table
 
 
@@ -57,10 +57,14 @@ def op11_token_files(spark, sf_dir):
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_pii, op2_jaccard, op3_secret_scan, op4_html_text, op5_warc, op6_language_model, op7_quality_rules, op8_bpe, op9_toxicity, op10_decontam,
-              op11_token_files)
+              op11_token_files, op13_filter_audit)
 }
 
 #: Base 32 of a hexadecimal digest: 5 bits a digit, from 20 bytes exactly 32 digits.
@@ -117,4 +121,27 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN page_id <> best THEN best END AS refers_to
         FROM p JOIN g USING (d)""",
+    "op13_filter_audit": f"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT *, {_QUALITY_WORDS} AS w, min(doc_id) OVER (PARTITION BY t) AS low FROM d),
+        f AS (SELECT part, doc_id, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+            + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t))::INT
+            + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > low, false)::INT AS mask FROM w),
+        l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+        c AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+            FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+        b AS (SELECT unnest(range(5)) AS i),
+        o AS (SELECT [p.i, q.i, r.i, s.i, u.i] AS o FROM b p, b q, b r, b s, b u
+            WHERE len(list_distinct([p.i, q.i, r.i, s.i, u.i])) = 5),
+        st AS (SELECT array_to_string([substr('ABCDE', x + 1, 1) FOR x IN o], '') AS filter_order, s + 1 AS step, (1 << o[s + 1])::INT AS bit,
+            coalesce(list_sum([(1 << x) FOR x IN o[1:s]]), 0)::INT AS earlier FROM o, unnest(range(5)) AS u(s)),
+        r AS (SELECT part, filter_order, step, bit, sum(n) FILTER (mask & earlier = 0 AND mask & bit = 0) AS kept,
+            sum(n) FILTER (mask & earlier = 0 AND mask & bit <> 0) AS removed,
+            sum(n) FILTER (mask & earlier <> 0 AND mask & bit <> 0) AS redundant, sum(n) FILTER (mask = bit) AS unique_fails,
+            sum(good) FILTER (mask & earlier = 0 AND mask & bit <> 0) AS good_lost,
+            sum(toxic) FILTER (mask & earlier = 0 AND mask & bit <> 0) AS toxic_lost
+            FROM c, st GROUP BY part, filter_order, step, bit)
+        SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+            coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+            coalesce(toxic_lost, 0)::BIGINT AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley FROM r""",
 }
