@@ -121,7 +121,7 @@ def smallest_ids(texts: DataFrame, target: int | None = None) -> DataFrame:
             refs, body, lows = (c.to_pylist() for c in b.columns)
             nodes, parts, rest = [], [], []
             for t in body:
-                node, part, _ = plan.route(t)
+                node, _, part = plan.route(t)
                 nodes.append(node)
                 parts.append(part)
                 rest.append(t[plan.depth[node]:])

@@ -3,28 +3,31 @@
 ``TextTrie`` is a radix trie: every edge holds a run of bytes, a terminal holds
 the smallest id of its text and the places it was seen at.
 
-``cut`` finds prefixes that deal texts into ranges of bounded bytes.  It is
-the top of the same radix trie, made by Spark: a node that holds too many bytes
-is opened, its longest common prefix is skipped, and its children (by the
-next two bytes) are weighed.  Neighbouring light children are joined into ranges
-before anything reaches the driver, which therefore holds a number of ranges in
-proportion to the partitions and never a text list.  A prefix shared by a third
-of all texts costs one round, however long it is (up to ``WINDOW`` bytes a round).
+``cut`` finds prefixes that deal texts into ranges of bounded bytes, round by
+round: in every range that is still too heavy, the longest common prefix of its
+texts is skipped, a few texts are drawn, and the shortest prefixes that tell
+neighbours in the sample apart become bounds.  A prefix that the sample
+shows twice is a range of its own, so the next round looks beyond it; a range
+whose texts are all equal is done.  The driver holds the bounds, whose number follows
+that of the partitions; samples stay in Spark.
 """
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_right
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow
 
-#: Bytes by which a child is told from its siblings, and the longest common prefix skipped in one round.
-BRANCH, WINDOW = 2, 4096
+#: Bytes beyond the common prefix that a drawn text shows in the first round (doubled every round), and texts drawn a range.
+WINDOW, DRAWN = 256, 6
+#: What a text weighs beside its bytes.
+ROW = 16
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -89,87 +92,140 @@ class TextTrie:
 
 @dataclass
 class Cut:
-    """Opened prefixes: per node its length and, by first branch, what follows (a node, or a range's partition)."""
+    """Ranges of texts: each opened node has its depth, the sorted bounds beyond it, and what follows each bound."""
 
     depth: list[int] = field(default_factory=lambda: [0])
-    firsts: list[list[bytes]] = field(default_factory=lambda: [[]])
-    follow: list[list[tuple[bool, int]]] = field(default_factory=lambda: [[]])
-    open: set[int] = field(default_factory=lambda: {0})
+    bounds: list[list[bytes]] = field(default_factory=lambda: [[b""]])
+    follow: list[list[tuple[bool, int]]] = field(default_factory=lambda: [[]])  # (a node, its number) or (a range, its partition)
+    reach: list[int] = field(default_factory=lambda: [0])  # bytes that the longest bound compares
     partitions: int = 0
 
-    def route(self, text: bytes) -> tuple[int, int, bool]:
-        """``(node, partition, open)`` of a text; an open node has no ranges yet."""
+    def route(self, text: bytes) -> tuple[int, int, int]:
+        """``(node, range in it, partition)`` of a text; the partition is -1 while the node's ranges aren't weighed."""
         node = 0
-        while node not in self.open:
+        while True:
             at = self.depth[node]
-            i = bisect_right(self.firsts[node], text[at:at + BRANCH]) - 1
-            inner, to = self.follow[node][max(i, 0)]
+            i = bisect_right(self.bounds[node], text[at:at + self.reach[node]]) - 1
+            if not self.follow[node]:
+                return node, i, -1
+            inner, to = self.follow[node][i]
             if not inner:
-                return node, to, False
+                return node, i, to
             node = to
-        return node, -1, True
 
+    def open(self, depth: int, bounds: list[bytes]) -> int:
+        self.depth.append(depth)
+        self.bounds.append([b"", *bounds])
+        self.follow.append([])
+        self.reach.append(max(map(len, bounds), default=0))
+        return len(self.depth) - 1
 
-def _weights(texts: DataFrame, cut: Cut) -> DataFrame:
-    """Bytes and common prefix of each child of each open node."""
+
+def _after(prefix: bytes) -> bytes | None:
+    """The first string beyond all that begin with ``prefix`` (``None``: there is none)."""
+    kept = prefix.rstrip(b"\xff")
+    return kept[:-1] + bytes([kept[-1] + 1]) if kept else None
+
+
+def _bounds(texts: DataFrame, cut: Cut, heavy: dict[tuple[int, int], tuple[int, float]], window: int) -> dict[tuple[int, int], list[bytes]]:
+    """Bounds for the ranges ``heavy``: ``(node, range) -> (depth, share of its texts to draw)``."""
+
+    def draw(batches):
+        out = []
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                node, i, _ = cut.route(t)
+                if (found := heavy.get((node, i))) and zlib.crc32(t[found[0]:], window) < found[1] * 2**32:
+                    key = t[found[0]:found[0] + window]
+                    out.append((node, i, key, len(t) <= found[0] + window))
+        yield pa.RecordBatch.from_pylist([dict(zip(("node", "slot", "key", "ends"), r)) for r in out], schema=pa.schema(
+            [("node", pa.int32()), ("slot", pa.int32()), ("key", pa.binary()), ("ends", pa.bool_())]))
+
+    def pick(batches):
+        last, out, n = None, [], 0
+        for b in batches:
+            for node, slot, key, ends in zip(*(c.to_pylist() for c in b.columns)):
+                if last is None or last[:2] != (node, slot):
+                    n = 0
+                    out.append((node, slot, key))
+                elif key == last[2]:  # a hot prefix or text: from it to what follows all that begin with it
+                    out.append((node, slot, key))
+                    if (upper := key + b"\0" if ends and last[3] else _after(key)) is not None:
+                        out.append((node, slot, upper))
+                elif n % DRAWN == 1:
+                    out.append((node, slot, key[:common(last[2], key) + 1]))
+                last, n = (node, slot, key, ends), n + 1
+        out = sorted(set(out))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.binary())], ["node", "slot", "key"])
+
+    drawn = map_arrow(texts, draw, "node int, slot int, key binary, ends boolean")
+    dealt = drawn.repartitionByRange("node", "slot", "key").sortWithinPartitions("node", "slot", "key", "ends")
+    found: dict[tuple[int, int], set] = {k: set() for k in heavy}
+    for r in map_arrow(dealt, pick, "node int, slot int, key binary").collect():
+        found[r.node, r.slot].add(bytes(r.key))
+    return {k: sorted(v - {b""}) for k, v in found.items()}
+
+
+def _weights(texts: DataFrame, cut: Cut, target: int) -> DataFrame:
+    """Per range that isn't weighed yet: bytes, texts, the longest text, and (where heavy) two strings with its common prefix."""
 
     def weigh(batches):
-        seen: dict[tuple[int, bytes], list] = {}
+        seen: dict[tuple[int, int], list] = {}
         for b in batches:
             for t in b.column(0).to_pylist():
-                node, _, is_open = cut.route(t)
-                if is_open:
-                    at = cut.depth[node]
-                    key, rest = (node, t[at:at + BRANCH]), t[at + BRANCH:at + BRANCH + WINDOW]
-                    had = seen.get(key)
-                    if had is None:
-                        seen[key] = [len(t) - at + 16, rest]
-                    else:
-                        had[0] += len(t) - at + 16
-                        had[1] = had[1][:common(had[1], rest)]
+                node, i, part = cut.route(t)
+                if part >= 0:
+                    continue
+                had = seen.get((node, i))
+                if had is None:
+                    seen[node, i] = [len(t) - cut.depth[node] + ROW, 1, len(t), t[cut.depth[node]:]]
+                else:
+                    had[0] += len(t) - cut.depth[node] + ROW
+                    had[1] += 1
+                    had[2] = max(had[2], len(t))
+                    if not t.startswith(had[3], cut.depth[node]):
+                        had[3] = had[3][:common(had[3], t[cut.depth[node]:cut.depth[node] + len(had[3])])]
+        keys, rows = list(seen), list(seen.values())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in seen], pa.int32()), pa.array([k[1] for k in seen], pa.binary()),
-             pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.binary())],
-            ["node", "branch", "weight", "rest"])
+            [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32())]
+            + [pa.array([r[j] for r in rows], pa.int64()) for j in range(3)] + [pa.array([r[3] for r in rows], pa.binary())],
+            ["node", "slot", "weight", "n", "longest", "shared"])
 
-    rows = map_arrow(texts, weigh, "node int, branch binary, weight long, rest binary")
-    return rows.groupBy("node", "branch").agg(F.sum("weight").alias("weight"), F.min("rest").alias("a"), F.max("rest").alias("b"))
+    rows = map_arrow(texts, weigh, "node int, slot int, weight long, n long, longest long, shared binary")
+    one = rows.groupBy("node", "slot").agg(
+        F.sum("weight").alias("weight"), F.sum("n").alias("n"), F.max("longest").alias("longest"), F.min("shared").alias("a"), F.max("shared").alias("b"))
+    heavy = F.col("weight") > target
+    return one.select("node", "slot", "weight", "n", "longest", F.when(heavy, F.col("a")).alias("a"), F.when(heavy, F.col("b")).alias("b"))
 
 
 def cut(texts: DataFrame, target: int) -> Cut:
     """Prefixes that deal ``texts`` (one binary column) into ranges of about ``target`` bytes, equal texts together.
 
-    A round weighs the children of the nodes that are still too heavy; a child
-    that ends (all its texts are equal) is never opened.
+    Rounds grow with the logarithm of the longest prefix shared by a heavy range, not with the number of texts.
     """
-    out = Cut()
-    while out.open:
-        light = (F.col("weight") <= target) | (F.length("branch") < BRANCH)
-        order = Window.partitionBy("node").orderBy("branch")
-        bins = _weights(texts, out).withColumn("heavy", ~light)
-        bins = bins.withColumn("turn", F.sum(F.col("heavy").cast("int")).over(order))  # a heavy child ends the run of light ones
-        run = Window.partitionBy("node", "heavy", "turn").orderBy("branch")
-        bins = bins.withColumn("bin", F.when(~F.col("heavy"), F.floor(F.sum("weight").over(run) / target)).otherwise(-1))
-        ranges = bins.groupBy("node", "heavy", "turn", "bin").agg(
-            F.min("branch").alias("first"), F.sum("weight").alias("weight"), F.min("a").alias("a"), F.max("b").alias("b"))
-        todo, fresh, room = sorted(out.open), set(), 0
-        out.open = set()
-        for r in ranges.orderBy("node", "first").collect():
-            first = bytes(r["first"])
-            out.firsts[r.node].append(first)
-            if r.heavy:
-                a, b = bytes(r.a), bytes(r.b)
-                out.depth.append(out.depth[r.node] + BRANCH + common(a, b))
-                out.firsts.append([])
-                out.follow.append([])
-                out.follow[r.node].append((True, len(out.depth) - 1))
-                fresh.add(len(out.depth) - 1)
-            else:
-                if room < r.weight:  # light neighbours share a partition
-                    out.partitions, room = out.partitions + 1, target
-                room -= r.weight
-                out.follow[r.node].append((False, out.partitions - 1))
-        if not any(out.follow[n] for n in todo):  # no texts at all
-            break
-        out.open = fresh
+    out, window, room = Cut(), WINDOW, 0
+    fresh = {0}
+    while fresh:
+        found = {(r.node, r.slot): r for r in _weights(texts, out, target).collect()}
+        heavy: dict[tuple[int, int], tuple[int, float]] = {}
+        for k, r in found.items():
+            if r.weight > target:
+                depth = out.depth[r.node] + common(bytes(r.a), bytes(r.b))
+                if depth < r.longest:  # else all its texts are equal
+                    heavy[k] = (depth, DRAWN * 2 * r.weight / target / r.n)
+        bounds = _bounds(texts, out, heavy, window) if heavy else {}
+        before, fresh = sorted(fresh), set()
+        for node in before:
+            for slot in range(len(out.bounds[node])):
+                r = found.get((node, slot))
+                if (node, slot) in heavy:
+                    fresh.add(to := out.open(heavy[node, slot][0], bounds[node, slot]))
+                    out.follow[node].append((True, to))
+                else:
+                    if out.partitions == 0 or (r is not None and room < r.weight):  # light neighbours share a partition
+                        out.partitions, room = out.partitions + 1, target
+                    room -= r.weight if r is not None else 0
+                    out.follow[node].append((False, out.partitions - 1))
+        window *= 2
     return out
