@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, filter_audit, html_text, jaccard, language_model, pii, quality_rules, secret_scan, token_files, toxicity, warc
+from . import bpe, decontam, filter_audit, html_text, jaccard, language_model, pii, prefix_trie, quality_rules, secret_scan, token_files, toxicity, warc
 from .common import table
 
 
@@ -57,6 +57,10 @@ def op11_token_files(spark, sf_dir):
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefixes(table(spark, sf_dir, "conversations"))
+
+
 def op13_filter_audit(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,7 +68,7 @@ def op13_filter_audit(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (op1_pii, op2_jaccard, op3_secret_scan, op4_html_text, op5_warc, op6_language_model, op7_quality_rules, op8_bpe, op9_toxicity, op10_decontam,
-              op11_token_files, op13_filter_audit)
+              op11_token_files, op12_prefix_trie, op13_filter_audit)
 }
 
 #: Base 32 of a hexadecimal digest: 5 bits a digit, from 20 bytes exactly 32 digits.
@@ -121,6 +125,25 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN page_id <> best THEN best END AS refers_to
         FROM p JOIN g USING (d)""",
+    "op12_prefix_trie": r"""
+        WITH t AS (SELECT conv_id, list({'k': md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')),
+                'w': len([w FOR w IN regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+') IF w <> ''])}
+            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        h AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT],
+                flatten([[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(conv_id::VARCHAR, '')])),
+            lambda s, o: CASE WHEN o >= 0 THEN xor(s, o) WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END), 4294967295) % 4 AS h FROM t),
+        r AS (SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS path
+            FROM h a LEFT JOIN t b ON b.conv_id = a.conv_id - ((a.conv_id % 20) + 20) % 20),
+        p AS (SELECT conv_id, d, md5(array_to_string([x.k FOR x IN path[1:d]], ',')) AS k, CASE WHEN d > 0 THEN md5(array_to_string([x.k FOR x IN path[1:d - 1]], ',')) END AS up,
+            CASE WHEN d > 0 THEN path[d].w ELSE 0 END AS w, d = len(path) AS ends FROM r, unnest(range(len(path) + 1)) AS u(d)),
+        n AS (SELECT d, k, up, min(conv_id) AS conv_id, count(*) AS n, max(w) AS w,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS sha FROM p GROUP BY d, k, up),
+        c AS (SELECT up AS k, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+        s AS (SELECT p.k, p.d, count(*) FILTER (c.n_children IS NULL) AS n_leaves, sum((n.n - 1) * n.w) AS saved
+            FROM n LEFT JOIN c USING (k, d) JOIN p ON p.conv_id = n.conv_id AND p.d <= n.d GROUP BY p.k, p.d)
+        SELECT n.conv_id, n.d::BIGINT AS depth, m.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(c.n_children, 0) AS n_children, s.n_leaves,
+            s.saved::BIGINT AS saved_tokens, n.sha AS ends_sha256
+        FROM n JOIN s USING (k, d) LEFT JOIN c USING (k, d) LEFT JOIN n m ON m.k = n.up AND m.d = n.d - 1""",
     "op13_filter_audit": f"""
         WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
         w AS (SELECT *, {_QUALITY_WORDS} AS w, min(doc_id) OVER (PARTITION BY t) AS low FROM d),
