@@ -18,7 +18,8 @@ committer, so a lost executor leaves no partial file behind.
 
 Encoding is the tokenizer's own.  Its pre-tokenizer never joins a word with
 the one before it across a single space, so each different word with its
-leading space is encoded once per worker and then looked up; texts in which a
+leading space (without its closing marks) is encoded once per worker and then
+looked up; texts in which a
 space stands between other white space, or that hold an added token, are
 encoded whole.
 
@@ -46,8 +47,12 @@ from .common import map_arrow
 
 #: A space whose neighbours may join it: after white space and before white space or the end.
 _JOINED = re.compile(r"\s (?:\s|\Z)")
+#: How the vocabulary writes a space.
+_SPACE = "\u0120"
+#: Marks that are split from the end of a word; not the apostrophe, which may start a contraction.
+_MARKS = ".,;:!?"
 #: Characters of encoded words that a worker keeps.
-_KEPT_CHARS = 8_000_000
+_KEPT_CHARS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -57,7 +62,7 @@ class Layout:
     encoding: str = "dictionary"
     row_group: int = 8 << 20
     page: int = 128 << 10
-    compression: str = "zstd"
+    compression: str = "snappy"
 
     def options(self) -> dict[str, str]:
         if self.encoding not in ("dictionary", "delta"):
@@ -75,6 +80,32 @@ class Layout:
         }
 
 
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of the runs ``starts[i] .. starts[i] + sizes[i]``, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def word_parts(word: str) -> list[str]:
+    """Parts of a word (with its leading space, if any) whose ids follow each other: lines and closing marks stand alone.
+
+    A single line break between other characters and a run of marks after a
+    letter or digit are pieces of their own for the pre-tokenizer.
+    """
+    lines = word.split("\n")
+    if len(lines) > 1 and any(not x or x[-1].isspace() or i and x[0].isspace() for i, x in enumerate(lines)):
+        return [word]
+    out = []
+    for i, x in enumerate(lines):
+        if i:
+            out.append("\n")
+        stem = x.rstrip(_MARKS)
+        if stem and len(stem) < len(x) and stem[-1].isalnum():
+            out += [stem, x[len(stem):]]
+        else:
+            out.append(x)
+    return out
+
+
 class WordEncoder:
     """A tokenizer with the ids of the words seen so far."""
 
@@ -83,6 +114,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
+        self.spaced[[i for t, i in vocabulary.items() if t[0] == _SPACE]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -92,44 +126,92 @@ class WordEncoder:
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        at, base = len(self.ends) - 1, len(self.ids)
+        self.ids.frombytes(ids.astype(np.int32).tobytes())
+        self.ends.frombytes((np.cumsum(sizes) + base).astype(np.int64).tobytes())
+        self.slot.update(zip(words, range(at, at + len(words))))
+        self.chars += sum(map(len, words))
+
+    def _learn(self, words: list[str]) -> None:
+        """Give every new word its ids, put together from those of its parts."""
+        plain, mixed, parts, counts = [], [], [], []
+        slot, lead, single = self.slot, [], []
+        for w in words:
+            stem = w.rstrip(_MARKS)
+            if stem[1:].isalnum() and w[0] == " ":  # most words, with or without closing marks
+                if len(stem) == len(w):
+                    lead.append(w)
+                else:
+                    mixed.append(w)
+                    parts += (stem, w[len(stem):])
+                    counts.append(2)
+            elif len(p := word_parts(w)) == 1:
+                plain.append(w)
+            else:
+                mixed.append(w)
+                parts += p
+                counts.append(len(p))
+        had = set(lead)
+        for w in dict.fromkeys(plain + parts):
+            if w not in slot and w not in had:
+                (lead if w[:1] == " " and len(w) > 1 and w[1:2].strip() and w[-1:].strip() else single).append(w)
+        # words with a space in front go many at a time: each begins at a token with a space, and no other of its tokens has one
+        joined = ["".join(lead[i:i + 500]) for i in range(0, len(lead), 500)]
+        ids = np.concatenate([np.zeros(0, np.int32), *(np.array(e, np.int32) for e in self._library(joined))])
+        starts = np.flatnonzero(self.spaced[ids])
+        if len(starts) != len(lead):
+            raise AssertionError("a word's ids don't begin at its space")
+        self._add(lead, ids, np.diff(np.append(starts, len(ids))))
+        apart = self._library(single)
+        self._add(single, np.array([x for e in apart for x in e], np.int32), np.array([len(e) for e in apart], np.int64))
+        if mixed:
+            at = np.fromiter(map(slot.__getitem__, parts), np.int64, len(parts))
+            ends = np.array(self.ends)
+            sizes = ends[at + 1] - ends[at]
+            ids = np.array(self.ids, dtype=np.int32)[_ragged(ends[at], sizes)]
+            self._add(mixed, ids, np.diff(np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]))
+
     def whole(self, text: str) -> bool:
         """Whether the text has to be encoded in one piece."""
         return _JOINED.search(text) is not None or any(a in text for a in self.added)
 
+    def _by_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, lengths)``: each different word of the texts is looked up, or encoded, once."""
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets = np.asarray(lists.offsets)
+        words = lists.values.dictionary_encode()
+        codes, kinds = np.asarray(words.indices), words.dictionary.to_pylist()
+        firsts = lists.values.take(pa.array(offsets[:-1])).to_pylist()  # no space in front
+        codes = codes.copy()
+        codes[offsets[:-1]] = len(kinds) + np.arange(len(firsts))  # behind the others
+        kinds = [" " + w for w in kinds] + firsts
+        known = list(map(self.slot.get, kinds))
+        if None in known:
+            self._learn(list(dict.fromkeys([w for w, k in zip(kinds, known) if k is None])))
+            known = map(self.slot.__getitem__, kinds)
+        at = np.fromiter(known, np.int64, len(kinds))[codes]
+        ends = np.frombuffer(self.ends, np.int64)
+        sizes = ends[at + 1] - ends[at]
+        flat = np.frombuffer(self.ids, np.int32)[_ragged(ends[at], sizes)]
+        return flat, np.diff(np.append(0, np.cumsum(sizes))[offsets])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, lengths)`` of the texts, one after the other."""
         if self.chars > _KEPT_CHARS:
             self.clear()
-        out: list = [None] * len(texts)
         odd = [i for i, t in enumerate(texts) if self.whole(t)]
+        if not odd and texts:
+            return self._by_words(texts)
+        out = [np.zeros(0, np.int32)] * len(texts)
         for i, ids in zip(odd, self._library([texts[i] for i in odd])):
             out[i] = np.array(ids, np.int32)
-        words = []  # "" stands for an empty text; all other words but a text's first have their space in front
-        counts = np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            if out[i] is None:
-                first, *rest = t.split(" ")
-                words.append(first)
-                words += [" " + w for w in rest]
-                counts[i] = 1 + len(rest)
-        new = [w for w in dict.fromkeys(words) if w not in self.slot]
-        for w, ids in zip(new, self._library(new)):
-            self.slot[w] = len(self.ends) - 1
-            self.ids.extend(ids)
-            self.ends.append(len(self.ids))
-            self.chars += len(w)
-        at = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
-        ends, ids = np.array(self.ends), np.array(self.ids, dtype=np.int32)
-        sizes = ends[at + 1] - ends[at]
-        flat = ids[np.repeat(ends[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
-        per_text = np.add.reduceat(np.append(sizes, 0), np.minimum(np.cumsum(counts) - counts, len(sizes))) * (counts > 0)
-        if not odd:
-            return flat, per_text
-        bounds = np.cumsum(per_text)
-        for i in range(len(texts)):
-            if out[i] is None:
-                out[i] = flat[bounds[i] - per_text[i]:bounds[i]]
-        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
+        rest = sorted(set(range(len(texts))) - set(odd))
+        if rest:
+            flat, lengths = self._by_words([texts[i] for i in rest])
+            for i, ids in zip(rest, np.split(flat, np.cumsum(lengths)[:-1])):
+                out[i] = ids
+        return np.concatenate([np.zeros(0, np.int32), *out]), np.array([len(x) for x in out], np.int64)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -141,7 +223,7 @@ def _encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def _pieces(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+def _pieces(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
     """Runs of rows with about ``limit`` bytes of text (a longer text alone): ``(first row, texts)``."""
     lengths = np.array(pc.fill_null(pc.binary_length(column), 0)) if len(column) else np.zeros(0, int)
     at = 0
