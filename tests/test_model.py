@@ -69,11 +69,6 @@ def test_absent_features_raise_unless_allowed(spark, sf_small):
         model.predict(fitted, ml.select("item_id", "store_id"), allow_missing=True)
 
 
-def test_best_rounds():
-    assert model.best_rounds([3.0, 2.0, 2.0, 2.5], 2) == (2, True)
-    assert model.best_rounds([3.0, 2.0, 1.0], 1) == (3, False)
-
-
 def test_boosting_boosts_on_a_learnable_target(spark):
     rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=15 * i), float(i % 17), float(i % 5), (i % 17) * 3.0 + (i % 5) ** 2) for i in range(1500)]
     df = spark.createDataFrame(rows, "timestamp_15min timestamp_ntz, a double, b double, target_x double")

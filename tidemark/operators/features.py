@@ -136,7 +136,11 @@ def demand_features(
     Column order: rollup columns, lags, rolling statistics, calendar
     features, targets.
     """
-    agg = rollup_15min(demand, value)
+    return features_of_rollup(rollup_15min(demand, value), lags, windows, horizons, **series_kw)
+
+
+def features_of_rollup(agg: DataFrame, lags=LAG_PERIODS, windows=ROLLING_WINDOWS, horizons=(1,), **series_kw) -> DataFrame:
+    """The chain from the 15-minute rollup on."""
     feats = add_series_features(agg, TIME_COL, TARGET_COL, lags=lags, windows=windows, horizons=horizons, **series_kw)
     cal = _calendar_columns(TIME_COL)
     targets = [target_name(TARGET_COL, h) for h in horizons]

@@ -2,15 +2,16 @@
 
 The feature table never leaves the executors: categories are indexed by one
 multi-column ``StringIndexer``, features assembled by ``VectorAssembler`` and
-the model fitted by ``GBTRegressor`` inside one ``Pipeline``, which is saved,
-loaded and applied as a unit (training and scoring cannot drift apart).
+the trees grown leaf by leaf over binned rows (``boosting``).  The result is one
+``PipelineModel`` with MLlib's boosted-tree model, which is saved, loaded and
+applied as a unit (training and scoring cannot drift apart).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import os
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
@@ -22,10 +23,12 @@ from pyspark.sql import functions as F
 
 from ..functions import timecols as tc
 from ..session import fs_exists, fs_list, shared_root
+from .boosting import Boosting, GrowParams
 from .features import (CATEGORICAL, TIME_COL, demand_features, feature_columns, prepare_features_for_ml,
                        scoring_demand_rows, select_available)
 from .evaluate import prediction_table
-from .rollup import SERIES_KEYS
+from .rollup import SERIES_KEYS, rollup_15min
+from .state import features_from_state
 
 MODEL_PREFIX = "demand_gbt_model"
 SPLIT_COL = "__tm_is_test"
@@ -37,21 +40,33 @@ class GBTParams:
 
     ``max_iter`` caps the rounds.  With ``early_stopping`` the rounds are
     chosen on the hold-out rows: the round with the lowest squared error that
-    no later one of the next ``patience`` rounds beats.
+    no later one of the next ``patience`` rounds beats.  Trees have at most
+    ``num_leaves`` leaves of ``min_rows`` rows; rows are drawn anew every
+    ``bagging_every`` rounds, features for every tree.
     """
 
     max_iter: int = 1000
     patience: int = 100
-    max_depth: int = 5  # about 31 leaves
+    num_leaves: int = 31
+    min_rows: int = 20
+    bagging_every: int = 5
+    max_depth: int = 0  # 0: no limit
     step_size: float = 0.1
     subsampling_rate: float = 0.8
     feature_subset: str = "0.8"
     seed: int = 42
     early_stopping: bool = True
-    max_bins: int = 32
+    max_bins: int = 64
     checkpoint_interval: int = 10
     extra: dict = field(default_factory=dict)
 
+    def growing(self) -> GrowParams:
+        return GrowParams(
+            num_leaves=self.num_leaves, min_rows=self.min_rows, step=self.step_size, feature_fraction=float(self.feature_subset),
+            bagging_fraction=self.subsampling_rate, bagging_every=self.bagging_every, max_depth=self.max_depth, max_bins=self.max_bins,
+            seed=self.seed, fold=self.checkpoint_interval,
+        )
+
 
 def index_names(cols: list[str]) -> list[str]:
     return [f"{c}_idx" for c in cols]
@@ -69,6 +84,7 @@ def model_inputs(feature_cols: list[str]) -> tuple[list[str], list[str]]:
 
 
 def build_pipeline(feature_cols: list[str], target: str, params: GBTParams = GBTParams()) -> Pipeline:
+    """MLlib's own level-wise boosting as one pipeline (all rounds, no early stopping)."""
     cats, assembled = model_inputs(feature_cols)
     stages = []
     if cats:
@@ -76,7 +92,7 @@ def build_pipeline(feature_cols: list[str], target: str, params: GBTParams = GBT
     stages.append(VectorAssembler(inputCols=assembled, outputCol="features", handleInvalid="keep"))
     gbt = GBTRegressor(
         featuresCol="features", labelCol=target, predictionCol="prediction",
-        maxIter=params.max_iter, maxDepth=params.max_depth, stepSize=params.step_size,
+        maxIter=params.max_iter, maxDepth=params.max_depth or 5, stepSize=params.step_size,
         subsamplingRate=params.subsampling_rate, featureSubsetStrategy=params.feature_subset,
         seed=params.seed, maxBins=params.max_bins, checkpointInterval=params.checkpoint_interval,
         **params.extra,
@@ -135,35 +151,23 @@ def metrics_of(pred: DataFrame, target: str) -> DataFrame:
     )
 
 
-def best_rounds(errors: list[float], patience: int) -> tuple[int, bool]:
-    """``(rounds, decided)``: the best prefix, and whether ``patience`` rounds after it are known to be no better."""
-    best = min(range(len(errors)), key=lambda i: (errors[i], i))
-    return best + 1, len(errors) - (best + 1) >= patience
-
+def fit_boosting(marked: DataFrame, feature_cols: list[str], target: str, params: GBTParams, goes_on: Boosting | None = None) -> tuple[PipelineModel, Boosting]:
+    """Boost on the training rows of ``marked`` (those without the hold-out mark); the run comes back with the model.
 
-def fit_boosting(train: DataFrame, holdout: DataFrame, feature_cols: list[str], target: str, params: GBTParams) -> PipelineModel:
-    """Fit on ``train``; with early stopping, keep the rounds that are best on ``holdout``.
-
-    The boosting runs a little longer than the patience, each round's error is read off the
-    hold-out in one pass, and the rounds are doubled until the best one is
-    followed by ``patience`` rounds without a better one or ``max_iter`` is
-    reached.  The chosen prefix is fitted again with the same seed, which gives
-    the same trees.  The category indexer sees training rows only; a label
-    that is new in the hold-out gets the extra index.
+    With early stopping the model has the rounds that are best on the hold-out;
+    the run has fitted ``patience`` rounds more, and no round twice.
+    ``goes_on`` is an earlier run over the same rows to add rounds to.  The
+    category indexer sees training rows only; a label that is new in the hold-out gets the extra index.
     """
-    if not params.early_stopping or not holdout.limit(1).count():
-        return build_pipeline(feature_cols, target, params).fit(train)
-    rounds = min(params.max_iter, params.patience + max(20, params.patience // 4))
-    while True:
-        model = build_pipeline(feature_cols, target, replace(params, max_iter=rounds)).fit(train)
-        ready = holdout
-        for stage in model.stages[:-1]:
-            ready = stage.transform(ready)
-        best, decided = best_rounds(model.stages[-1].evaluateEachIteration(ready, "squared"), params.patience)
-        if decided or rounds >= params.max_iter:
-            break
-        rounds = min(params.max_iter, 2 * rounds)
-    return model if best == rounds else build_pipeline(feature_cols, target, replace(params, max_iter=best)).fit(train)
+    cats, assembled = model_inputs(feature_cols)
+    first, ready = [], marked
+    if cats:
+        first.append(category_indexer(cats).fit(marked.where(~F.col(SPLIT_COL))))
+        ready = first[0].transform(marked)
+    run = goes_on or Boosting(ready, assembled, target, SPLIT_COL, params.growing())
+    rounds = run.run(params.max_iter, params.patience if params.early_stopping else None)
+    first.append(VectorAssembler(inputCols=assembled, outputCol="features", handleInvalid="keep"))
+    return PipelineModel([*first, run.model(rounds)]), run
 
 
 def train_model(ml: DataFrame, feature_cols: list[str], target: str, test_size: float = 0.2,
@@ -173,22 +177,22 @@ def train_model(ml: DataFrame, feature_cols: list[str], target: str, test_size:
     Returns ``(model, metrics_df, test_predictions_df)``.  The feature table
     is persisted (memory, spilling to disk; rebuilt from lineage if an
     executor is lost) while the cutoff pass, the fit and the metrics read
-    it, and released afterwards.  The metrics are one row of four numbers;
-    the test predictions stay lazy.
+    it, and released afterwards.  The metrics are one row of four errors, the
+    model's rounds and the rounds fitted to find them; the test predictions stay lazy.
     """
-    shared_root(ml.sparkSession)  # GBT checkpoints its lineage there every 10 rounds
+    shared_root(ml.sparkSession)
     cached = ml.persist()
     try:
         cutoff = split_cutoff(cached, TIME_COL, test_size).first()["cutoff_us"]
         marked = with_split(cached, TIME_COL, test_size, cutoff)
-        test = F.col(SPLIT_COL)
-        model = fit_boosting(marked.filter(~test), marked.filter(test), feature_cols, target, params)
-        row = metrics_of(model.transform(marked), target).first()
+        model, run = fit_boosting(marked, feature_cols, target, params)
+        run.close()
+        row = (*metrics_of(model.transform(marked), target).first(), len(model.stages[-1].trees), len(run.trees))
     finally:
         cached.unpersist()
     spark = ml.sparkSession
     metrics = spark.createDataFrame(
-        [tuple(row)], "train_mae double, train_rmse double, test_mae double, test_rmse double"
+        [row], "train_mae double, train_rmse double, test_mae double, test_rmse double, rounds int, rounds_fitted int"
     )
     pred = model.transform(with_split(ml, TIME_COL, test_size, cutoff))
     return model, metrics, pred.filter(F.col(SPLIT_COL))
@@ -263,16 +267,21 @@ def score_batch(model: PipelineModel, features: DataFrame, actual: str) -> DataF
     return prediction_table(predict(model, features), actual, "prediction")
 
 
-def predict_batch(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def predict_batch(model: PipelineModel, rows: DataFrame, tails: DataFrame | None = None) -> DataFrame:
     """Raw scoring rows (timestamp, item_id, store_id, [state_id, cat_id, dept_id], demand) ->
     the 7-column result, one row per input row.
 
     Predictions come from the same rollup and feature chain as training, per
     bucket; each is joined back to every row of its bucket, which keeps its own
-    time and its own demand as ``actual_demand``.
+    time and its own demand as ``actual_demand``.  With ``tails`` (``state.series_tails``
+    of the history) the rows continue that history, of which only the tails
+    are read; a row that is not later than its series' tail has no prediction then.
     """
     observed = scoring_demand_rows(rows)
-    feats = demand_features(observed, value="demand_5min")
+    if tails is None:
+        feats = demand_features(observed, value="demand_5min")
+    else:
+        feats = features_from_state(tails, rollup_15min(observed))
     numeric = [c for c in feature_columns(feats.columns) if c not in CATEGORICAL]
     feats = feats.fillna(0, subset=[c for c in numeric if c in feats.columns])
     keys = [*SERIES_KEYS, *CATEGORICAL, TIME_COL]

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from ..functions import timecols as tc
 from ..functions.stats import safe_corr
+from .rollup import SERIES_KEYS
+from .series import lead_expr, over_series
 
 SNAP_COLS = ["snap_CA", "snap_TX", "snap_WI"]
 WEEKEND_WDAY = [1, 2]
@@ -34,11 +36,9 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    """Position, name and Spark type of every column, long form."""
-    wide = df.agg(*[F.max(F.typeof(c)).alias(c) for c in df.columns])
-    long = wide.unpivot([], df.columns, "column", "type")
-    place = F.array_position(F.array(*[F.lit(c) for c in df.columns]), F.col("column"))
-    return long.select((place - 1).cast("int").alias("position"), "column", "type")
+    """Position, name and Spark type of every column, long form (from the schema: an empty table has types too)."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -101,6 +101,24 @@ def missing_dates(df: DataFrame) -> DataFrame:
     return gaps.select(F.explode(F.sequence(F.date_add("prev", 1), F.date_sub("date", 1))).alias("date"))
 
 
+def missing_buckets(rollup: DataFrame, time_col: str = "timestamp_15min", width: str = "15 minutes", keys=SERIES_KEYS, **series_kw) -> DataFrame:
+    """Gaps of each series: the buckets between two present ones that have no row, ``(keys, first_missing, last_missing, buckets)``.
+
+    Each bucket is compared with the next one of its series in time chunks
+    (``over_series``), so no task orders a whole series, and a gap is one row
+    however long it is.
+    """
+    secs = tc.width_seconds(width)
+    present = rollup.where(F.col(time_col).isNotNull()).groupBy(*keys, time_col).agg(F.lit(1).alias("__tm_one")).drop("__tm_one")
+    following = over_series(present, list(keys), time_col, [lead_expr(time_col, 1, "next_")], **series_kw)
+    dtype = rollup.schema[time_col].dataType
+    apart = ((tc.epoch_micros("next_", dtype) - tc.epoch_micros(time_col, dtype)) / F.lit(secs * 1_000_000)).cast("long")
+    gaps = following.withColumn("buckets", apart - 1).where("buckets > 0")
+    return gaps.select(
+        *keys, F.timestamp_add("SECOND", F.lit(secs), F.col(time_col)).alias("first_missing"),
+        F.timestamp_add("SECOND", F.lit(-secs), F.col("next_")).alias("last_missing"), "buckets")
+
+
 def duplicate_dates(df: DataFrame) -> DataFrame:
     """Rows repeating an earlier date (a repeated NULL counts too)."""
     d = with_date(df)

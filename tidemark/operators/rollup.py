@@ -7,8 +7,11 @@ series is folded to one row per bucket per map task before anything moves.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import timecols as tc
 
@@ -82,3 +85,36 @@ def window_sum(
         .select(*keys, "window_start",
                 F.timestamp_add("SECOND", F.lit(secs), F.col("window_start")).alias("window_end"), out)
     )
+
+
+def sliding_sum(
+    df: DataFrame,
+    width: str = "60 minutes",
+    slide: str = "5 minutes",
+    ts: str = "timestamp",
+    value: str = "demand_5min",
+    keys: list[str] | None = None,
+    out: str | None = None,
+) -> DataFrame:
+    """Sum of ``value`` per series and sliding window, ``[start, start + width)`` every ``slide`` from the epoch.
+
+    Rows are folded once into panes (the greatest common divisor of width and
+    slide) before anything moves; a window adds up its panes.  Every window that
+    holds a row comes back; rows without a time belong to none.
+    """
+    keys = keys or SERIES_KEYS
+    w, s = tc.width_seconds(width), tc.width_seconds(slide)
+    pane = math.gcd(w, s)
+    out = out or f"demand_{w // 60}min"
+    dtype = df.schema[ts].dataType
+    at = F.floor(tc.epoch_micros(ts, dtype) / F.lit(pane * 1_000_000)).cast("long")
+    panes = df.groupBy(*keys, at.alias("__tm_pane")).agg(F.sum(value).alias("__tm_sum")).where(F.col("__tm_pane").isNotNull())
+    p = F.col("__tm_pane") * pane
+    last = F.floor(p / F.lit(s)).cast("long")  # the last window that starts at or before the pane
+    first = F.floor((p - w) / F.lit(s)).cast("long") + 1
+    each = panes.select(*keys, F.explode(F.sequence(first, last)).alias("__tm_w"), "__tm_sum")
+    start = F.timestamp_seconds(F.col("__tm_w") * s)
+    if not isinstance(dtype, T.TimestampType):
+        start = F.timestamp_add("SECOND", F.col("__tm_w") * s, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return each.groupBy(*keys, "__tm_w").agg(F.sum("__tm_sum").alias(out)).select(
+        *keys, start.alias("window_start"), F.timestamp_add("SECOND", F.lit(w), start).alias("window_end"), out)

@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 from ..operators import evaluate as ev
 from ..operators import features as ft
 from ..operators import feeds, model, profile
-from ..operators.rollup import rollup_5min, rollup_15min, window_sum, with_intervals
+from ..operators.boosting import Boosting, GrowParams
+from ..operators.rollup import rollup_5min, rollup_15min, sliding_sum, window_sum, with_intervals
+from ..operators.state import FeatureStore, features_from_state, series_tails, updated_tails
 from ..session import scratch_dir
 from ..sources import files, tables
 from ..sources.schemas import CALENDAR_SCHEMA, SALES_KEYS
@@ -484,4 +486,85 @@ def q_feature_importance(spark, d):
     return model.feature_importance(fitted, ml_table(spark, d)[1], k=10)
 
 
+@query("train_quality")
+def q_train_quality(spark, d):
+    """Hold-out rows, the persistence forecast's error on them, and whether the trained model beats it and stopped in time."""
+    _, metrics = model.load_model(spark, _trained(spark, d))
+    ml, _, target = ml_table(spark, d)
+    m, p = metrics.first(), TRAIN_PARAMS
+    held = model.with_split(ml).where(model.SPLIT_COL).agg(F.count(F.lit(1)).alias("test_rows"), F.avg(F.abs(F.col(target) - F.col(T15))).alias("mae"))
+    in_time = m.rounds_fitted == min(p.max_iter, m.rounds + p.patience)
+    return held.select("test_rows", F.round("mae", 6).alias("persistence_mae"), (F.lit(m.test_mae) < F.col("mae")).alias("beats_persistence"), F.lit(in_time).alias("stopped_in_time"))
+
+
+#: Columns of few values, whose histograms hold every cut.
+SPLIT_FEATURES = ["hour", "day_of_week", "month", "is_weekend", "is_month_start", "is_month_end"]
+
+
+@query("first_split")
+def q_first_split(spark, d):
+    """The root of the first tree, feature by feature: best cut, rows on its left, gain."""
+    ml, _, target = ml_table(spark, d)
+    run = Boosting(model.with_split(ml), SPLIT_FEATURES, target, model.SPLIT_COL, GrowParams(bagging_fraction=1.0))
+    gains = run.split_gains()
+    run.close()
+    return gains.select("feature", "cut", "rows_left", F.round("gain", 3).alias("gain"))
+
+
+# ---------------------------------------------------------------- series state
+def _days(spark, d):
+    """Rollup before and on the last day, and that day."""
+    agg = rollup_15min(tables.demand_5min(spark, d))
+    day = agg.agg(F.max("date")).first()[0]
+    return agg.where(F.col("date") < F.lit(day)), agg.where(F.col("date") == F.lit(day)), day
+
+
+@query("features_from_state")
+def q_features_from_state(spark, d):
+    """The last day's features from the tails of the days before, which were brought up to date by one more day."""
+    before, last, day = _days(spark, d)
+    eve = before.agg(F.max("date")).first()[0]
+    path = scratch_dir(spark, "tails")
+    series_tails(before.where(F.col("date") < F.lit(eve))).write.mode("overwrite").parquet(f"{path}/0")
+    updated_tails(spark.read.parquet(f"{path}/0"), before.where(F.col("date") == F.lit(eve))).write.mode("overwrite").parquet(f"{path}/1")
+    return rounded(features_from_state(spark.read.parquet(f"{path}/1"), last))
+
+
+@query("predict_from_state")
+def q_predict_from_state(spark, d):
+    """The last day's raw rows scored from the tails: keys, actual demand, and whether the prediction is that over the full history."""
+    fitted, _ = model.load_model(spark, _trained(spark, d))
+    before, _, day = _days(spark, d)
+    path = scratch_dir(spark, "tails")
+    series_tails(before).write.mode("overwrite").parquet(path)
+    rows = _batch_rows(spark, d)
+    last = F.to_date("timestamp") == F.lit(day)
+    keys = ["item_id", "store_id", "timestamp", "actual_demand"]
+    by_state = model.predict_batch(fitted, rows.where(last), spark.read.parquet(path)).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.avg("predicted_demand").alias("a"))
+    whole = model.predict_batch(fitted, rows).where(last).groupBy(*keys).agg(F.avg("predicted_demand").alias("b"))
+    return by_state.join(whole, keys).select(*keys, "rows", (F.abs(F.col("a") - F.col("b")) < 1e-6).alias("same"))
+
+
+@query("refreshed_features")
+def q_refreshed_features(spark, d):
+    """The feature store after three refreshes: all but the late rows, the late ones, and a series that was missing."""
+    rows = tables.demand_5min(spark, d)
+    new_series = (F.col("item_id") == "click") & (F.col("store_id") == "TX_1")
+    late = F.hour("timestamp") == 7
+    store = FeatureStore(spark, scratch_dir(spark, "features"))
+    for part in (rows.where(~new_series & ~late), rows.where(~new_series & late), rows.where(new_series)):
+        store.refresh(part)
+    return rounded(store.features())
+
+
+@query("sliding_60min")
+def q_sliding_60min(spark, d):
+    return sliding_sum(tables.demand_5min(spark, d), "60 minutes", "5 minutes")
+
+
+@query("missing_buckets")
+def q_missing_buckets(spark, d):
+    return profile.missing_buckets(rollup_15min(tables.demand_5min(spark, d)))
+
+
 NO_ORACLE = {"stream_progress", "train_metrics", "score_batch", "predict_batch", "feature_importance"}

@@ -535,4 +535,35 @@ CHECK_SQL = {
     "true AS scored FROM demand_5min",
 }
 
-ORACLE_SQL: dict[str, str] = {**DEMAND_SQL, **FEED_SQL, **PROFILE_SQL, **CHECK_SQL}
+CUT = f"{BASE},{FEATS},{ML},\ncut AS (SELECT quantile_cont(epoch_us(timestamp_15min), 0.8) AS c FROM ml)"
+SPLIT_FEATURES = ["hour", "day_of_week", "month", "is_weekend", "is_month_start", "is_month_end"]
+STATE_SQL = {
+    "train_quality": f"{CUT}\nSELECT count(*) AS test_rows, round(avg(abs(target_{T}_next_1 - {T})), 6) AS persistence_mae, "
+    "true AS beats_persistence, true AS stopped_in_time FROM ml, cut WHERE epoch_us(timestamp_15min) > c",
+    "first_split": f"""{CUT},
+train AS (SELECT ml.*, target_{T}_next_1 - avg(target_{T}_next_1) OVER () AS g FROM ml, cut WHERE epoch_us(timestamp_15min) <= c),
+per AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS cut, sum(g) AS g, count(*) AS n FROM train GROUP BY {f}" for f in SPLIT_FEATURES)}),
+cum AS (SELECT feature, cut, sum(g) OVER w AS gl, CAST(sum(n) OVER w AS BIGINT) AS nl, sum(g) OVER (PARTITION BY feature) AS ga,
+    sum(n) OVER (PARTITION BY feature) AS na FROM per WINDOW w AS (PARTITION BY feature ORDER BY cut)),
+gains AS (SELECT feature, cut, nl, gl * gl / nl + (ga - gl) * (ga - gl) / nullif(na - nl, 0) - ga * ga / na AS gain FROM cum WHERE nl >= 20 AND na - nl >= 20),
+best AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, cut) AS r FROM gains WHERE gain > 1e-9)
+SELECT f.feature, cut, nl AS rows_left, coalesce(round(gain, 3), 0.0) AS gain
+FROM (SELECT unnest({SPLIT_FEATURES}) AS feature) f LEFT JOIN best ON best.feature = f.feature AND r = 1""",
+    "features_from_state": DEMAND_SQL["demand_features"] + " WHERE date = (SELECT max(date) FROM agg15)",
+    "predict_from_state": with_(DEMAND_5MIN) + """
+SELECT item_id, store_id, "timestamp", CAST(demand_5min AS DOUBLE) AS actual_demand, count(*) AS rows, true AS same
+FROM demand_5min WHERE "timestamp"::DATE = (SELECT max("timestamp"::DATE) FROM demand_5min) GROUP BY ALL""",
+    "refreshed_features": DEMAND_SQL["demand_features"],
+    "sliding_60min": with_(DEMAND_5MIN) + """
+SELECT item_id, store_id, make_timestamp(j * 300000000) AS window_start, make_timestamp(j * 300000000) + INTERVAL 60 MINUTE AS window_end,
+       CAST(sum(demand_5min) AS BIGINT) AS demand_60min
+FROM (SELECT *, epoch_us("timestamp") // 300000000 AS k FROM demand_5min), unnest(range(k - 11, k + 1)) AS u(j) GROUP BY ALL""",
+    "missing_buckets": f"""{BASE}
+SELECT item_id, store_id, t + INTERVAL 15 MINUTE AS first_missing, following - INTERVAL 15 MINUTE AS last_missing,
+       (epoch_us(following) - epoch_us(t)) // 900000000 - 1 AS buckets
+FROM (SELECT item_id, store_id, t, lead(t) OVER (PARTITION BY item_id, store_id ORDER BY t) AS following
+      FROM (SELECT DISTINCT item_id, store_id, timestamp_15min AS t FROM agg15 WHERE timestamp_15min IS NOT NULL))
+WHERE following > t + INTERVAL 15 MINUTE""",
+}
+
+ORACLE_SQL: dict[str, str] = {**STATE_SQL, **DEMAND_SQL, **FEED_SQL, **PROFILE_SQL, **CHECK_SQL}

@@ -10,12 +10,13 @@ other one is refused.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark import SparkConf, SparkContext
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
@@ -163,3 +164,12 @@ def fs_delete(spark: SparkSession, path: str) -> bool:
     """Remove a file or folder on any Hadoop file system."""
     p, fs = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package on the Python workers' path (where it isn't installed or shipped)."""
+    env = df.sparkSession.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+    return df.mapInArrow(fn, schema)
