@@ -112,7 +112,8 @@ def sliding_sum(
     p = F.col("__tm_pane") * pane
     last = F.floor(p / F.lit(s)).cast("long")  # the last window that starts at or before the pane
     first = F.floor((p - w) / F.lit(s)).cast("long") + 1
-    each = panes.select(*keys, F.explode(F.sequence(first, last)).alias("__tm_w"), "__tm_sum")
+    windows = F.when(first <= last, F.sequence(first, last))  # none between windows that leave gaps
+    each = panes.select(*keys, F.explode(windows).alias("__tm_w"), "__tm_sum")
     start = F.timestamp_seconds(F.col("__tm_w") * s)
     if not isinstance(dtype, T.TimestampType):
         start = F.timestamp_add("SECOND", F.col("__tm_w") * s, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
