@@ -10,7 +10,9 @@ SF = "/root/testdata/sf0.001"
 # Columns no query needs: reading them would mean pruning failed.
 NEVER_READ = {"event_id", "value", "l_orderkey", "l_linenumber", "l_tax", "l_returnflag", "l_linestatus",
               "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"}
-WRITES_FIRST = {"category_index", "typed_demand_table", "score_batch_checks", "predict_batch_rows"}  # read back a table or a model
+# read back a table or a model, or gather sums
+WRITES_FIRST = {"category_index", "typed_demand_table", "score_batch_checks", "predict_batch_rows", "train_quality", "first_split", "predict_from_state",
+                "refreshed_features"}
 PLANNED = sorted(n for n in QUERIES if n not in NO_ORACLE | WRITES_FIRST and not n.startswith(("stream_", "sales_drops_")))
 
 

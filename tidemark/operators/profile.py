@@ -36,9 +36,11 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    """Position, name and Spark type of every column, long form (from the schema: an empty table has types too)."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
+    """Position, name and Spark type of every column, long form; an empty table has its schema's types."""
+    wide = df.agg(*[F.coalesce(F.max(F.typeof(f.name)), F.lit(f.dataType.simpleString())).alias(f.name) for f in df.schema.fields])
+    long = wide.unpivot([], df.columns, "column", "type")
+    place = F.array_position(F.array(*[F.lit(c) for c in df.columns]), F.col("column"))
+    return long.select((place - 1).cast("int").alias("position"), "column", "type")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
