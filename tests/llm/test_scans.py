@@ -104,7 +104,7 @@ def test_private_keys_are_masked_by_their_body(spark):
 
 
 def test_mirrored_credentials_stay_live(spark):
-    """Two owners of twenty mirror one; samples are copied into one owner's many rows, into many repositories, by half of all owners."""
+    """Two owners of twenty mirror one; one owner copies one into many rows, one into many repositories; half of all owners have one."""
     mirrored, hot, forked, half = "q8Rk2LmZ0pXcVbN", "Zx81kQpLm20aBvC", "pL93mNbVcX71zAq", "tR5yUiO2pWqE8sD"
     rows = [(i, f"token = {mirrored}", f"o{i}", f"o{i}") for i in range(2)] + [(100 + i, f"token = {hot}", "o1", "o1") for i in range(1000)]
     rows += [(2000 + i, f"token = {forked}", f"r{i}", "o2") for i in range(20)] + [(3000 + i, f"token = {half}", f"o{i}", f"o{i}") for i in range(10)]
@@ -112,9 +112,23 @@ def test_mirrored_credentials_stay_live(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, repo string, owner string")
     out = secret_scan.secret_scan(df, repo=F.col("repo"), owner=F.col("owner")).where("size(owned) > 0").select("doc_id", F.explode("owned").alias("o")).select("doc_id", "o.*").collect()
     got = {r.doc_id: (r.verdict, r.n_owners, r.n_repos, r.n_seen) for r in out}
-    assert [got[i] for i in (0, 1, 100, 2000, 3000, 5000)] == [("live", 2, 2, 2)] * 2 + [("example", 1, 1, 1000), ("example", 1, 20, 20), ("example", 10, 10, 10), ("live", 1, 1, 2000)]
+    assert [got[i] for i in (0, 1, 100, 2000, 3000, 5000)] == [("live", 2, 2, 2)] * 2 + [("live", 1, 1, 1000), ("live", 1, 20, 20), ("example", 10, 10, 10), ("live", 1, 1, 2000)]
     masked = {r.doc_id: r.text for r in secret_scan.redact(df, repo=F.col("repo"), owner=F.col("owner")).collect()}
-    assert masked[0] == masked[1] == "[assign]" and masked[100] == f"token = {hot}"
+    assert masked[0] == masked[1] == masked[100] == masked[2000] == "[assign]" and masked[3000] == f"token = {half}"
+
+
+@pytest.mark.parametrize("copies", [10, 999, 1000, 100_000])
+def test_one_owners_copies_are_no_example(spark, copies):
+    """However often one owner repeats a value, it is masked; columns whose names the join might use stay as they are."""
+    own = spark.range(copies).select(F.col("id").alias("doc_id"), F.lit("password = q8Rk2LmZ0pXcVbN").alias("text"), F.lit("o1").alias("owner"))
+    others = spark.range(10).select((F.col("id") + 10**6).alias("doc_id"), F.lit("nothing").alias("text"), F.concat(F.lit("p"), F.col("id")).alias("owner"))
+    df = own.unionByName(others)
+    for c in ("_key", "_live", "_key0", "_LIVE0", "repo", "found", "row", "hash", "verdict"):
+        df = df.withColumn(c, F.lit(7))
+    out = secret_scan.redact(df, owner=F.col("owner"))
+    assert out.columns == df.columns
+    assert {(r.text, r["count"]) for r in out.groupBy("text").count().collect()} == {("[assign]", copies), ("nothing", 10)}
+    assert out.select("_key", "_live", "_key0", "row").distinct().count() == 1
 
 
 def brute_quality(t):

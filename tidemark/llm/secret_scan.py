@@ -139,22 +139,27 @@ def ownership(found: DataFrame) -> DataFrame:
     return repos.join(owners, "hash")
 
 
-def verdict(own: DataFrame, all_owners: int, min_owners: int = 2, min_entropy: float = 3.0, owner_share: float = 0.5, min_repos: int = 20, min_rows: int = 1000) -> DataFrame:
+def verdict(own: DataFrame, all_owners: int, all_repos: int, min_owners: int = 2, min_entropy: float = 3.0, share: float = 0.5) -> DataFrame:
     """``verdict``: ``example`` (copied widely), ``live`` (random-looking) or ``weak``.
 
-    Copied widely: by ``min_owners`` owners that are ``owner_share`` of ``all_owners``, into ``min_repos``
-    repositories, or seen in ``min_rows`` rows (a row that repeats a value is one).  A value that isn't
+    Copied widely is a share, never a number of rows: a value of ``min_owners``
+    owners or more that ``share`` of all owners, or of all repositories, have.  However often
+    one owner repeats a value, that makes no example of it.  A value that isn't
     random-looking needs ``min_owners`` owners only.
     """
     shared = F.col("n_owners") >= min_owners
-    widely = (shared & (F.col("n_owners") >= owner_share * all_owners)) | (F.col("n_repos") >= min_repos) | (F.least("n_seen", "n_rows") >= min_rows)
+    widely = shared & ((F.col("n_owners") >= share * all_owners) | (F.col("n_repos") >= share * all_repos))
     return own.withColumn("verdict", F.when(widely, "example").when(F.col("entropy") >= min_entropy, "live").when(shared, "example").otherwise("weak"))
 
 
-def _owners(df: DataFrame, repo: Column | None, owner: Column | None) -> int:
-    """Distinct owners of all rows, with or without candidates."""
+def _holders(df: DataFrame, repo: Column | None, owner: Column | None) -> tuple[int, int]:
+    """Distinct owners and repositories of all rows, with or without candidates."""
     empty = F.lit("")
-    return df.select(F.coalesce((owner if owner is not None else repo if repo is not None else empty).cast("string"), empty).alias("o")).distinct().count()
+    repo_ = F.coalesce((repo if repo is not None else empty).cast("string"), empty)
+    owner_ = F.coalesce((owner if owner is not None else repo if repo is not None else empty).cast("string"), empty)
+    pairs = df.select(repo_.alias("r"), owner_.alias("o")).distinct()
+    owners = pairs.select("o").distinct().count()
+    return owners, pairs.select("r").distinct().count()
 
 
 def secret_scan(
@@ -165,7 +170,7 @@ def secret_scan(
     ``n_example``, ``n_live`` or ``n_weak`` by their ownership in the whole corpus; ``owned`` has each
     candidate's hash, verdict, ``n_owners``, ``n_repos`` and ``n_seen``."""
     found = written(candidates(df, key, text, repo, owner).withColumn("row", F.monotonically_increasing_id()), tag)  # scanned once, used twice
-    verdicts = verdict(ownership(found), _owners(df, repo, owner), min_owners, min_entropy).select("hash", "verdict", "n_owners", "n_repos", "n_seen")
+    verdicts = verdict(ownership(found), *_holders(df, repo, owner), min_owners, min_entropy).select("hash", "verdict", "n_owners", "n_repos", "n_seen")
     per_row = (
         found.where(F.size("found") > 0)
         .select("row", F.col(key).alias(key), "n_assign", "n_access", "n_hex", "base_sha256", "spans", F.explode("found.hash").alias("hash"))
@@ -190,10 +195,12 @@ def redact(df: DataFrame, key: str = "doc_id", text: str = "text", repo: Column
     Rows are matched to their verdicts by key (a null key matches null).
     """
     found = written(candidates(df, key, text, repo, owner).where(F.size("found") > 0), tag)
-    live = verdict(ownership(found), _owners(df, repo, owner), min_owners, min_entropy).where("verdict = 'live'").select("hash")
-    hits = found.select(F.col(key).alias("_key"), F.explode("found.hash").alias("hash")).distinct().join(live, "hash")
-    per_key = hits.groupBy("_key").agg(F.collect_set("hash").alias("_live"))  # a row's own distinct candidates
-    both = df.join(per_key, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    live = verdict(ownership(found), *_holders(df, repo, owner), min_owners, min_entropy).where("verdict = 'live'").select("hash")
+    taken = {c.lower() for c in df.columns}
+    key_, live_ = (next(n for i in range(len(taken) + 1) if (n := f"_{c}{i}") not in taken) for c in ("key", "live"))  # names that ``df`` hasn't
+    hits = found.select(F.col(key).alias(key_), F.explode("found.hash").alias("hash")).distinct().join(live, "hash")
+    per_key = hits.groupBy(key_).agg(F.collect_set("hash").alias(live_))  # a row's own distinct candidates
+    both = df.join(per_key, F.col(key).eqNullSafe(F.col(key_)), "left").drop(key_)
     at, columns = df.columns.index(text), df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
