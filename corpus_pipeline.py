@@ -65,7 +65,7 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: The classifier, the ownership verdicts and the merges have no SQL form; the stages are tested against brute force.
+#: The classifier, the ownership verdicts and the merges have no SQL form; the operators are tested against brute force, the stages for their effect.
 ORACLE_SQL = None
 
 
