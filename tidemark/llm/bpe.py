@@ -230,19 +230,23 @@ class Encoder:
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, pattern: str) -> Encoder:
+def encoder(path: str, pattern: str, cache_entries: int = 1_200_000) -> Encoder:
     """One encoder (and cache) per Python worker and vocabulary."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder.from_file(path, pattern)
-    return _ENCODERS[path, pattern]
+    key = (path, pattern, cache_entries)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder.from_file(path, pattern, cache_entries)
+    return _ENCODERS[key]
 
 
-def round_trip(df: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Encode and decode: ``key, n_tokens, ids_sha256, decoded_sha256`` (and ``ids`` if asked for)."""
+def round_trip(df: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False, cache_entries: int = 1_200_000) -> DataFrame:
+    """Encode and decode: ``key, n_tokens, ids_sha256, decoded_sha256`` (and ``ids`` if asked for).
+
+    A worker keeps the ids of ``cache_entries`` pre-tokens (about 200 bytes each) for as long as it lives.
+    """
     src = df.select(F.col(key).alias(key), F.col(text).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary, pattern)
+        enc = encoder(vocabulary, pattern, cache_entries)
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for b in batches:
             n, ids_sha, back_sha, ids = [], [], [], []
