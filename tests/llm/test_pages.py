@@ -34,6 +34,35 @@ def test_article_keeps_short_and_linked_blocks():
     assert html_text.main_text(page, TREE).split("\n\n") == ["Of.", "one link", "x", "Two words", "a b c d e f", "x"]
 
 
+TEXT = ["The title", "A first paragraph that has enough words in it to be taken as the text.", "A second one that is as long and says as much as the first paragraph did."]
+AROUND = '<header><a href="/">Site</a></header><nav><a href=a>One</a> <a href=b>Two</a></nav>{}<div class="sidebar"><p>Some words beside the text, a few.</p></div><section class="comments"><p>{}</p></section><footer>Words below</footer>'
+
+
+@pytest.mark.parametrize("wrap", [
+    '<article class="post type-post tag-social">', '<article class="post comments-open">', '<main class="sidebar-right">', '<div id="content" class="right-sidebar">', '<div class="article-with-banner">',
+    '<article class="format-banner category-ads">', '<main id="main" class="content-sidebar">', '<form id="aspnetForm">', '<div class="page-sidebar-left no-header">', '<div class="sidebar-layout"><div class="content">',
+    '<section class="left-nav">', "<div hidden-x=1>", "<article class='story story-header'>",
+])
+@pytest.mark.parametrize("comment", ["Nice post.", "A comment that is much longer than the text of the page, and goes on. " * 20])
+def test_a_layout_class_loses_no_text(wrap, comment):
+    """Everyday template classes on the element around the text; a long discussion below changes nothing."""
+    inner = f"<h1>{TEXT[0]}</h1><p>{TEXT[1]}</p><p>{TEXT[2]}</p>"
+    page = AROUND.format(wrap + inner + "".join(f"</{t.split()[0].strip('>')}>" for t in wrap.split("<")[:0:-1]), comment)
+    assert html_text.main_text(page, TREE).split("\n\n") == TEXT
+
+
+def test_furniture_stays_furniture():
+    inner = f"<h1>{TEXT[0]}</h1><p>{TEXT[1]}</p>"
+    for tag in ('<article class="comment">', '<article class="comment-body odd">', '<div class="related-posts">', '<div class="cookie-consent">', '<div class="right-sidebar">', "<form>", '<div style="display: none">', "<div hidden>", "<header>"):
+        page = f"<article>{inner}<p>{TEXT[2]}</p></article>{tag}<p>{TEXT[1]}</p>"
+        assert html_text.main_text(page, TREE).split("\n\n") == TEXT, tag
+
+
+def test_hidden_inline_text_goes():
+    page = '<article><p>Seen <span style="display:none">not <span>seen</span> this</span>and <b hidden>gone</b>read.</p><p><i aria-hidden="true">open<p>Next paragraph.</p></article>'
+    assert html_text.main_text(page, TREE) == "Seen and read.\n\nNext paragraph."
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<!--", "<a href='", "<script>x", "</p></p>", "<p>" * 2000, "<div>" * 3000 + "x", "&#xZZ; &amp", "a < b > c", "<a href=\"x>y"])
 def test_broken_markup(page):
     assert isinstance(html_text.main_text(page, TREE), str)

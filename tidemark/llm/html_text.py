@@ -6,6 +6,12 @@ those of its neighbours, and marks of the elements around it.  A decision
 tree, fitted at first use on the small labelled table ``LABELLED``, says which
 blocks are main text.
 
+Class, id and role words mark furniture, but a word that says how a page is
+laid out (``right-sidebar`` on the element around the text) mustn't lose the
+text: such an element is furniture only while it holds at most half of the
+page's unlinked words (``_resolve``).  ``article`` and ``main`` are marked by
+a whole word such as ``comment`` only.  Hidden elements give no text.
+
 Inside a block white space is one space, ``<br>`` included; character
 references are decoded; blocks are joined in page order by an empty line.
 Null and empty pages, and pages without main text, give the empty string.
@@ -35,7 +41,7 @@ RAW = frozenset("script style noscript template textarea iframe svg title select
 #: Inline elements: they don't end a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: Elements that hold page furniture.
-CHROME = frozenset("nav footer aside form menu dialog head".split())
+CHROME = frozenset("nav footer aside menu dialog head".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Words of class, id and role that mark page furniture, whole or as the first or last part of a compound.
 HINTS = frozenset(
@@ -43,6 +49,10 @@ HINTS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets related recommended share sharing social "
     "comment comments commentlist respond replies disqus newsletter subscribe subscription signup login search pagination pager toolbar skip copyright".split()
 )
+#: Those of them that also name a layout, where they stand on the element around the text.
+PLACES = frozenset("banner nav navbar navigation menu header masthead footer sidebar aside widget widgets overlay modal toolbar share sharing social search".split())
+#: First parts of compounds that file a post under something.
+FILED = frozenset("tag category type status format".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
@@ -54,28 +64,61 @@ class Block:
     chrome: bool
     article: bool
     heading: bool
+    marks: tuple[int, ...] = ()  # the marked elements around it
 
     @property
     def density(self) -> float:
         return self.linked / self.words if self.words else 0.0
 
 
-def _hinted(attrs: str) -> bool:
+#: How surely an element's words mark furniture.
+NONE, LAYOUT, PLACE, SURE = range(4)
+
+
+def _hint(attrs: str, article: bool = False) -> int:
+    """``LAYOUT``: a place in a compound; ``PLACE``: a place alone; ``SURE``: any other marked word."""
+    found = NONE
     for m in _ATTR.finditer(attrs):
         for name in (m[1] or m[2] or m[3] or "").lower().split():
             parts = re.split(r"[-_]+", name)
-            if parts[0] in ("has", "with", "no", "layout") or parts[-1] in ("header", "title") and parts[0] in ("post", "entry", "article", "story", "content"):
+            if parts[0] in FILED and len(parts) > 1 or parts[0] in ("comment", "comments") and parts[-1] in ("open", "closed", "off", "enabled", "disabled"):
+                continue  # says where a post is filed, or whether it can be commented on
+            if any(x in ("has", "with", "no", "without", "layout") for x in parts) or parts[-1] in ("header", "title") and parts[0] in ("post", "entry", "article", "story", "content"):
                 continue  # says what is beside the element, or heads the article itself
-            if name in HINTS or parts[0] in HINTS or parts[-1] in HINTS:
-                return True
-    return False
+            if article and len(parts) > 1 and parts[0] not in ("comment", "comments"):
+                continue
+            hits = [x for x in (name, parts[0], parts[-1]) if x in HINTS]
+            if hits:
+                found = max(found, SURE if any(x not in PLACES for x in hits) else LAYOUT if len(parts) > 1 else PLACE)
+    return found
+
+
+def _resolve(found: list[Block], marks: list[int]) -> None:
+    """Blocks inside a marked element are furniture, unless the element is the page's layout: a ``LAYOUT`` element,
+    or a ``PLACE`` one on a page without any other article text, that holds more than half of the unlinked words."""
+    if not marks:
+        return
+    words = [0] * len(marks)
+    total = article = 0
+    for b in found:
+        if not b.chrome and all(marks[m] != SURE for m in b.marks):
+            n = b.words - b.linked
+            total += n
+            article += n if b.article and not b.marks else 0
+            for m in b.marks:
+                words[m] += n
+    furniture = [kind == SURE or 2 * n <= total or kind == PLACE and article > 0 for kind, n in zip(marks, words, strict=True)]
+    for b in found:
+        b.chrome = b.chrome or any(furniture[m] for m in b.marks)
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     out: list[Block] = []
-    # open elements: (tag, furniture, inside an article)
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    # open elements: (tag, furniture, inside an article, marked elements around)
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = [("", False, False, ())]
+    marks: list[int] = []
+    hidden: list[str] = []  # open tags from a hidden inline element on
     pieces: list[str] = []
     linked: list[str] = []
     in_link = 0
@@ -87,12 +130,13 @@ def blocks(page: str) -> list[Block]:
         if text:
             n = text.count(" ") + 1
             link = len(html_lib.unescape(" ".join(linked)).split())
-            out.append(Block(text, n, min(link, n), stack[-1][1], stack[-1][2], heading))
+            out.append(Block(text, n, min(link, n), stack[-1][1], stack[-1][2], heading, stack[-1][3]))
         pieces.clear()
         linked.clear()
+        hidden.clear()
 
     def emit(text: str) -> None:
-        if text:
+        if text and not hidden:
             pieces.append(text)
             if in_link:
                 linked.append(text)
@@ -122,6 +166,8 @@ def blocks(page: str) -> list[Block]:
             if tag == "a":
                 in_link = 0
             if tag in INLINE or tag in VOID:
+                if hidden and tag in hidden:
+                    del hidden[len(hidden) - 1 - hidden[::-1].index(tag) :]
                 continue
             close()
             if tag in HEADINGS:
@@ -141,6 +187,8 @@ def blocks(page: str) -> list[Block]:
                 emit(" ")
             elif tag == "img" or tag == "wbr":
                 continue
+            if tag not in VOID and not attrs.endswith("/") and (hidden or attrs and _HIDDEN.search(attrs)):
+                hidden.append(tag)
         else:
             close()
             if tag == "p" or tag in HEADINGS:
@@ -151,19 +199,26 @@ def blocks(page: str) -> list[Block]:
                 heading = True
             if attrs.endswith("/"):
                 continue
-            _, chrome, article = stack[-1]
-            marked = _hinted(attrs) or bool(_HIDDEN.search(attrs)) if attrs else False
-            if tag in ("article", "main") and not marked and not any(t == "article" for t, _, _ in stack):
-                stack.append((tag, any(x[1] and x[0] in CHROME for x in stack), True))
-            elif tag == "header":
-                stack.append((tag, chrome or marked or not article, article))
+            _, chrome, article, around = stack[-1]
+            chrome = chrome or bool(attrs and _HIDDEN.search(attrs))
+            hint = _hint(attrs, tag in ("article", "main")) if attrs else NONE
+            if tag == "main" or tag == "article" and hint != SURE and not any(x[0] == "article" for x in stack):
+                stack.append((tag, chrome, True, ()))  # the marks around end here
             elif tag in ("body", "html"):
-                stack.append((tag, False, False))
+                stack.append((tag, False, False, ()))
             else:
-                stack.append((tag, chrome or marked or tag in CHROME, article))
+                if tag == "form":
+                    hint = max(hint, LAYOUT)  # some sites have the whole page in a form
+                elif tag == "header" and not article:
+                    hint = SURE
+                if hint != NONE:
+                    marks.append(hint)
+                    around = (*around, len(marks) - 1)
+                stack.append((tag, chrome or tag in CHROME, article, around))
             if tag in ("article", "main", "body"):
                 in_link = 0
     close()
+    _resolve(out, marks)
     return out
 
 
