@@ -12,6 +12,7 @@ in the shared folder and read again as the next stage's ``docs``.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,34 +22,45 @@ from tidemark.llm.common import table, written
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _matched(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """Documents whose id is (``left_semi``) or isn't (``left_anti``) among ``keys (k)``; a null id matches null."""
-    return docs.join(keys, F.col("doc_id").eqNullSafe(F.col("k")), how).select(*COLUMNS)
+def _rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row``, which no two rows share: file and position of a Parquet input (any other is written first).
+
+    Stages judge rows, not ids: a null or repeated ``doc_id`` ties no rows together.
+    """
+    at = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("row")
+    try:
+        return docs.select(*COLUMNS, at)
+    except AnalysisException:  # no file below
+        return written(docs.select(*COLUMNS), "pipeline-rows").select(*COLUMNS, at)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents whose score is 0.5 or more; the classifier learns from the labelled rows of ``docs``."""
+    """Without the rows whose score is 0.5 or more; the classifier learns from the labelled rows of ``docs``."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), where=toxicity.held_in())
-    bad = toxicity.score(docs, model).where("predicted = 1").select(F.col("doc_id").alias("k")).distinct()
-    return _matched(docs, bad, "left_anti")
+    rows = _rows(docs)
+    bad = toxicity.score(rows, model, key="row").where("predicted = 1").select("row")
+    return rows.join(bad, "row", "left_anti").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked documents the one with the smallest id; documents without words all stay."""
-    classes = jaccard.similarity_classes(docs)
-    stay = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k")).distinct()
-    return _matched(docs, stay, "left_semi")
+    """Of each class of linked rows the one with the smallest id (null last), of equal ids the first row; rows without words all stay."""
+    rows = _rows(docs)
+    classes = jaccard.similarity_classes(rows, key="row").join(rows.select("row", "doc_id"), "row")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    stay = classes.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"))
+    return rows.join(stay, "row", "left_semi").select(*COLUMNS)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents into which a benchmark item leaks."""
-    bad = decontam.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("k")).distinct()
-    return _matched(docs, bad, "left_anti")
+    """Without the rows into which a benchmark item leaks."""
+    rows = _rows(docs)
+    bad = decontam.leaks(rows, table(spark, sf_dir, "benchmark"), key="row").select("row").distinct()
+    return rows.join(bad, "row", "left_anti").select(*COLUMNS)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live credentials become ``[kind]``; ``n_chars`` follows the text."""
-    masked = secret_scan.redact(docs, repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
+    masked = secret_scan.redact(_rows(docs), key="row", repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
     return masked.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 

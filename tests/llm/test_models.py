@@ -289,6 +289,62 @@ def test_stages_take_effect(spark, sf_small):
     assert docs.where("size(ids) <> n_tokens").count() == 0
 
 
+W, V, U = (" ".join(f"{c}{i}" for i in range(40)) for c in "wvu")
+
+
+def _stage_rows(spark, stage, rows, sf_dir):
+    docs = spark.createDataFrame([(i, t, "en", "web", n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = sorted(r.n_chars for r in dict(corpus_pipeline.STAGES)[stage](spark, docs, sf_dir).collect())
+    again = dict(corpus_pipeline.STAGES)[stage](spark, written(docs, "t-rows"), sf_dir)  # read from files
+    assert sorted(r.n_chars for r in again.collect()) == out
+    return out
+
+
+def test_near_duplicates_by_row(spark, sf_small):
+    """Null and repeated ids: one row of each class, against all pairs; the smallest id stays, null last."""
+    rows = [(1, W), (1, W), (2, W), (None, V), (None, W), (None, U), (3, U + " more"), (4, None), (4, ""), (None, None), (5, W.upper()), (1, V + " tail")]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if (w := words((t or "").lower())) else set() for _, t in rows]
+    kept = _stage_rows(spark, "near_duplicates", rows, sf_small)
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    by_group = {}
+    for n in kept:
+        by_group.setdefault(group[n], []).append(n)
+    assert sorted(by_group) == sorted(set(group)) and all(len(v) == 1 for v in by_group.values())
+    smallest = {g: min((rows[n][0] is None, rows[n][0] or 0) for n in range(len(rows)) if group[n] == g) for g in set(group)}
+    assert all((rows[v[0]][0] is None, rows[v[0]][0] or 0) == smallest[g] for g, v in by_group.items())
+
+
+def test_decontamination_by_row(spark, sf_small):
+    """Only rows that hold the item go; halves of it in rows of one id are no leak."""
+    item = table(spark, sf_small, "benchmark").orderBy(F.length("text").desc()).first().text
+    half = item.split()
+    rows = [(None, item), (None, W), (None, U), (7, V), (7, f"{V} {item}"), (8, " ".join(half[: len(half) // 3])), (8, " ".join(half[-(len(half) // 3) :])), (9, None), (9, "")]
+    alone = [bool(decontam.leaks(spark.createDataFrame([(1, t)], "doc_id long, text string"), table(spark, sf_small, "benchmark")).count()) for _, t in rows]
+    assert alone[0] and alone[4] and not any(alone[1:4])
+    assert _stage_rows(spark, "decontamination", rows, sf_small) == [n for n, bad in enumerate(alone) if not bad]
+
+
+def test_toxicity_and_masking_by_row(spark, sf_small, monkeypatch):
+    """One text's rejection or credential touches no other row of its id."""
+    docs = table(spark, sf_small, "documents")
+    model = toxicity.fit(docs, table(spark, sf_small, "labels"), where=toxicity.held_in())
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: model)
+    shared = docs.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id") % 4))  # null or one of two ids
+    out = corpus_pipeline.drop_toxic(spark, shared, sf_small)
+    clean = toxicity.score(docs, model).where("predicted = 0").select("doc_id")
+    want = docs.join(clean, "doc_id", "left_semi")
+    assert Counter(r.text for r in out.collect()) == Counter(r.text for r in want.collect()) and 0 < want.count() < docs.count()
+    secret = "token = q8Rk2LmZ0pXcVbN"
+    docs = spark.createDataFrame([(None, secret), (None, W), (1, secret), (1, V)], "doc_id long, text string").selectExpr("*", "'en' AS lang", "'web' AS source", "0L AS n_chars")
+    masked = corpus_pipeline.mask_secrets(spark, docs, sf_small).collect()
+    assert sorted(r.text for r in masked) == sorted(["[assign]", "[assign]", V, W])
+
+
 def test_empty_pipeline(spark, sf_small):
     docs = table(spark, sf_small, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -249,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """A model from at most ``max_toxic`` toxic and ``max_clean`` clean labelled rows (the smallest by the key's hash),
     its thresholds from all labelled rows held back: every ``held``-th of the key's crc, beside the remainder modulo 5.
 
-    Only the sample is bounded; its texts are whole.
+    Only the sample is bounded; its texts are whole.  Of the texts of a repeated key the smallest counts.
     """
     known = labels.select(F.col(key).alias("_key"), F.col(label).alias("_y"))
     known = known.where("_y IS NOT NULL AND _key IS NOT NULL").groupBy("_key").agg(F.max("_y").alias("_y"))
@@ -270,7 +270,7 @@ def _sample(src: DataFrame, known: DataFrame, max_toxic: int, max_clean: int) ->
     by = F.xxhash64("_key")
     parts = [known.where(F.col("_y") == v).orderBy(by, "_key").limit(n) for v, n in ((1, max_toxic), (0, max_clean))]
     sample = parts[0].unionByName(parts[1])
-    rows = src.join(F.broadcast(sample), "_key").dropDuplicates(["_key"]).orderBy(by, "_key")
+    rows = src.join(F.broadcast(sample), "_key").groupBy("_key", "_y").agg(F.min("_text").alias("_text")).orderBy(by, "_key")
     encoded, y = [], []
     for r in rows.select("_text", "_y").toLocalIterator():  # word rows of 8 bytes stay, texts go
         encoded.append(encode([(r._text or "").encode("utf-8", "surrogatepass")]))
@@ -291,7 +291,7 @@ def _counts(src: DataFrame, known: DataFrame, model: Model) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), pa.array(language.astype(np.int32)), pa.array(bins.astype(np.int32))], ["_key", "language", "bin"])
 
     kind = src.schema["_key"].dataType.simpleString()
-    scored = map_arrow(src, run, f"_key {kind}, language int, bin int").dropDuplicates(["_key"])
+    scored = map_arrow(src, run, f"_key {kind}, language int, bin int").groupBy("_key").agg(F.min(F.struct("language", "bin")).alias("m")).select("_key", "m.*")
     counts = np.zeros((len(LANGUAGES), 2, n_bins))
     for r in scored.join(known.where("_y IN (0, 1)"), "_key").groupBy("language", "_y", "bin").count().collect():
         counts[r.language, int(r._y), r.bin] = r["count"]
