@@ -174,6 +174,21 @@ def _walk(rng, step):
     return out
 
 
+def test_merged_figures(spark):
+    """Figures merged in groups, then on the driver, equal those of all ranges at once."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(40):
+        n = int(rng.integers(0, language_model.TOP + 1))
+        w, e, t, f = rng.integers(1, 2**62, n).astype(np.uint64), rng.integers(0, 64, n).astype(np.uint8), rng.integers(1, 9, n).astype(np.int64), rng.integers(500, 999, (2, language_model.ENDINGS)).astype(np.int64)
+        rows.append(tuple(x.tobytes() for x in (w, e, t, f)))
+    df = spark.createDataFrame(rows, "words binary, endings binary, totals binary, figures binary")
+    merged = df.groupBy(F.pmod(F.xxhash64("words", "figures"), F.lit(3)).alias("g")).applyInArrow(language_model._merge_figures, "words binary, endings binary, totals binary, figures binary").collect()
+    a, b = language_model.Corpus.of(merged, 7), language_model.Corpus.of(df.collect(), 7)
+    assert len(merged) <= 3 and (a.tokens, a.distinct) == (b.tokens, b.distinct)
+    assert all(np.array_equal(getattr(a, x), getattr(b, x)) for x in ("top", "class_tokens", "class_words"))
+
+
 def test_language_model_empty(spark):
     assert language_model.score(frame(spark, []).limit(0)).count() == 0
     (r,) = language_model.score(frame(spark, [(1, None)])).collect()

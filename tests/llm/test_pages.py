@@ -2,11 +2,13 @@
 
 import base64
 import hashlib
+from collections import Counter
 
 import pytest
 import zstandard
 
 from tidemark.llm import html_text, warc
+from tidemark.llm.common import hash_sample
 
 SCHEMA = "page_id long, url string, html string, text string"
 TREE = html_text.fit_tree(html_text.LABELLED)
@@ -115,6 +117,23 @@ def test_warc_payloads_and_dictionary(spark):
     assert got == {str(i): h for i, _, h, _ in pages}
 
 
+def test_warc_keys_of_any_form(spark):
+    keys = [None, None, "None", "", "a\r\nb: c", "é 😀>", "50%25", "<urn:no-page>", " x "]
+    df = spark.createDataFrame([(k, "u", f"payload {i}") for i, k in enumerate(keys)], "page_id string, url string, html string")
+    assert Counter(r.page_id for r in warc.round_trip(df).collect()) == Counter(keys)
+
+
+@pytest.mark.parametrize("n", [0, 5, 400])
+def test_hash_sample(spark, n):
+    """Distinct rows of smallest hash, the same for every layout; a byte limit leaves at least one."""
+    df = spark.createDataFrame([(i, "x" * 10) for i in range(n)] + [(None, "hot")] * (2 * n), "k long, t string")
+    some = [tuple(r) for r in hash_sample(df, 3 * n, 40, 10**6, ["k", "t"], "t").collect()]
+    assert len(set(some)) == len(some) <= 40 and (len(some) == min(n + 1, 40) if n == 5 else True) and (n < 400 or len(some) > 10)
+    assert some == [tuple(r) for r in hash_sample(df.repartition(7), 3 * n, 40, 10**6, ["k", "t"], "t").collect()]
+    assert hash_sample(df, 3 * n, 40, 25, ["k", "t"], "t").count() in ((2, 3) if n else (0,))  # texts of 10 and 3 bytes
+    assert hash_sample(df, 3 * n, 40, 1, ["k", "t"], "t").count() == min(n, 1)
+
+
 def test_warc_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
 

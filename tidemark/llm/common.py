@@ -9,7 +9,8 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
@@ -38,6 +39,22 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, n_rows: int, rows: int, max_bytes: int, by: list[str], text: str) -> DataFrame:
+    """At most ``rows`` distinct rows of ``df`` (of ``n_rows``), those with the smallest hash of ``by``, by that hash,
+    while their texts have ``max_bytes`` together (the first one always).
+
+    Only rows below a hash that about two times ``rows`` are below leave their
+    tasks, so what moves doesn't grow with the rows or the partitions.
+    """
+    picked = df.withColumn("_h", F.xxhash64(*by))
+    if n_rows > 2 * rows:
+        picked = picked.where(F.col("_h") < int(-(2**63) + 2**64 * (2 * rows / n_rows)))
+    picked = picked.groupBy("_h").agg(F.min(F.struct(*df.columns)).alias("_r")).orderBy("_h").limit(rows).select("_h", "_r.*")
+    total = F.sum(F.coalesce(F.octet_length(text), F.lit(0))).over(Window.orderBy("_h"))  # over at most ``rows`` rows
+    first = F.row_number().over(Window.orderBy("_h")) == 1
+    return picked.withColumn("_b", total).withColumn("_f", first).where(F.col("_f") | (F.col("_b") <= max_bytes)).orderBy("_h").select(*df.columns)
+
+
 def crc_mod(key, m: int) -> int:
     """crc32 of the key as text, modulo ``m`` (null: the crc of an empty text)."""
     return zlib.crc32(b"" if key is None else str(key).encode()) % m

@@ -30,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, blocks, crc_mod, map_arrow, words_of, written
+from .common import Hasher, blocks, crc_mod, hash_sample, map_arrow, words_of, written
 
 TOP = 31  # frequent words with a class of their own
 ENDINGS = 64  # hashed endings
 END = TOP  # the class of the end of a text, also the start symbol
+MERGES = 256  # rows of merged figures that the driver reads
 CLASSES = TOP + 1 + ENDINGS
 HIDDEN = 16
 WINDOW = 24  # steps of one truncated backpropagation
@@ -276,6 +277,15 @@ def _sum_part(table: pa.Table) -> pa.Table:
     })
 
 
+def _merge_figures(t: pa.Table) -> pa.Table:
+    """Several ranges' figures as one row: sums, and the ``TOP`` words of largest totals."""
+    get = lambda c, kind: np.concatenate([np.empty(0, kind), *[np.frombuffer(x.as_buffer(), kind) for x in t.column(c)]])
+    words, endings, totals = get("words", np.uint64), get("endings", np.uint8), get("totals", np.int64)
+    pick = np.lexsort((words, -totals))[:TOP]
+    figures = get("figures", np.int64).reshape(t.num_rows, -1).sum(0)
+    return pa.table([pa.array([a.tobytes()], pa.binary()) for a in (words[pick], endings[pick], totals[pick], figures)], t.column_names[-4:])
+
+
 @dataclass
 class Corpus:
     """Counts over all training documents: tokens, distinct tokens, end tokens, and per class."""
@@ -328,11 +338,11 @@ def _sequences(corpus: Corpus, texts: list[bytes]) -> list[np.ndarray]:
     return [np.concatenate([s, end]) for s in np.split(classes, np.cumsum(counts)[:-1])]
 
 
-def train(docs: DataFrame, corpus: Corpus, fold, key: str, text: str, warm_rows: int = 600, warm_passes: int = 4, rate: float = 0.01) -> Gru:
+def train(docs: DataFrame, corpus: Corpus, fold, key: str, text: str, warm_rows: int = 600, warm_bytes: int = 16 << 20, warm_passes: int = 4, rate: float = 0.01) -> Gru:
     """Warm start on the driver, one pass in every task over all its training documents, then the weighted average."""
     src = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
     learn = src.where(F.crc32(F.coalesce(F.col("k").cast("string"), F.lit("")).cast("binary")) % fold.modulus != fold.out)
-    warm = learn.orderBy(F.xxhash64("k"), "t").limit(warm_rows).collect()
+    warm = hash_sample(learn, corpus.ends, warm_rows, warm_bytes, ["k", "t"], "t").collect()
     net = Gru()
     if not warm:
         return net
@@ -380,11 +390,13 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", fold: Fold |
     src = docs.select(F.col(key).alias("id"), F.col(text).alias("t"))
     kind = src.schema["id"].dataType.simpleString()
     size, ends = src.agg(F.sum(F.octet_length("t")), F.sum((F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) % fold.modulus != fold.out).cast("long"))).first()
-    parts = 1 << max(6, min(14, ((size or 0) >> 25).bit_length()))  # ranges grow with the text
+    parts = 1 << max(6, ((size or 0) >> 25).bit_length())  # ranges grow with the text
     rows = written(map_arrow(src, _chunk_rows(parts, fold), f"kind int, chunk bigint, id {kind}, seq array<int>, part int, words binary, endings binary, counts binary"), tag)
     pieces = rows.where("kind = 1").select("chunk", "part", "words", "endings", "counts")
     sums = written(pieces.groupBy("part").applyInArrow(_sum_part, "chunk bigint, words binary, endings binary, totals binary, figures binary"), tag)
-    corpus = Corpus.of(sums.where("chunk = 0").select("words", "endings", "totals", "figures").collect(), int(ends or 0))
+    each = sums.where("chunk = 0").select("words", "endings", "totals", "figures")
+    merged = each.groupBy(F.pmod(F.xxhash64("words", "figures"), F.lit(MERGES)).alias("g")).applyInArrow(_merge_figures, "words binary, endings binary, totals binary, figures binary")
+    corpus = Corpus.of(merged.collect(), int(ends or 0))  # at most MERGES rows of bounded size
     net = train(docs, corpus, fold, key, text)
     shared = spark.sparkContext.broadcast((net.flat, corpus))
     names = [key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]

@@ -13,7 +13,8 @@ be run again; ``read_archives`` also reads ``.warc.zst`` files by path.
 Equal payloads: the record with the largest key is a ``response``, the others
 are ``revisit`` records that refer to it.  A null payload is an empty one, a
 null URL leaves the header out.  Rows repeated with the largest key are all
-responses.  An empty table gives no archives and no rows.
+responses.  Keys of any type come back as they were (escaped in the headers;
+a null key has a name of its own).  An empty table gives no archives and no rows.
 """
 
 from __future__ import annotations
@@ -22,17 +23,20 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, written
+from .common import hash_sample, map_arrow, written
 
 FRAME_MAGIC = 0xFD2FB528
 DICT_FRAME_MAGIC = 0x184D2A5D
+NO_KEY = "<urn:no-page>"
+_URL_SAFE = "!#$%&'()*+,/:;=?@[]~"
+_SAFE = "!#$&'()*+,/:;=?@[]~"  # without the percent sign, so that keys come back as they were
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -86,15 +90,26 @@ def _record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return head.encode() + block + b"\r\n\r\n"
 
 
+def _urn(key) -> str:
+    """A key as a header value: control characters and all but ASCII escaped; null has a name of its own."""
+    return NO_KEY if key is None else f"<urn:page:{quote(str(key), safe=_SAFE)}>"
+
+
+def _bare(urn: str | None) -> str | None:
+    if urn is None or urn == NO_KEY:
+        return None
+    return unquote(urn[10:-1]) if urn.startswith("<urn:page:") else urn.removesuffix(">")
+
+
 def page_record(key, url: str | None, payload: bytes, refers_to, date: str) -> bytes:
     """One response or (``refers_to`` given) revisit record."""
     digest = "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
-    headers = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<urn:page:{key}>"), ("WARC-Date", date)]
+    headers = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", _urn(key)), ("WARC-Date", date)]
     if url is not None:
-        headers.append(("WARC-Target-URI", quote(url, safe="!#$%&'()*+,/:;=?@[]~")))
+        headers.append(("WARC-Target-URI", quote(url, safe=_URL_SAFE)))
     headers += [("WARC-Payload-Digest", digest), ("Content-Type", "application/http;msgtype=response")]
     if refers_to is not None:
-        headers += [("WARC-Refers-To", f"<urn:page:{refers_to}>"), ("WARC-Profile", REVISIT_PROFILE)]
+        headers += [("WARC-Refers-To", _urn(refers_to)), ("WARC-Profile", REVISIT_PROFILE)]
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     return _record(headers, block + (payload if refers_to is None else b""))
 
@@ -171,7 +186,8 @@ def write_archives(
     (``sample_rows`` rows, ``sample_chars`` characters of each); it affects
     sizes only, never content.
     """
-    sample = df.select(F.substring(F.col(html), 1, sample_chars).alias("t"), F.xxhash64(F.col(key)).alias("h")).where("t != ''").orderBy("h", "t").limit(sample_rows)
+    filled = df.select(F.col(key).cast("string").alias("k"), F.substring(F.col(html), 1, sample_chars).alias("t")).where("t != ''")
+    sample = hash_sample(filled, df.count(), sample_rows, 4 * sample_rows * sample_chars, ["k", "t"], "t")
     dictionary = train_dictionary([r.t.encode("utf-8", "surrogatepass") for r in sample.collect()])
     rows = with_revisits(df, key, url, html, min_bytes)
 
@@ -207,7 +223,6 @@ def read_archives(archives: DataFrame, data: str = "data") -> DataFrame:
     ``record_id, url, payload_bytes, payload_digest, record_type, refers_to, payload``."""
     names = ["record_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
     types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
-    bare = lambda urn: None if urn is None else urn.removeprefix("<urn:page:").removesuffix(">")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -216,7 +231,7 @@ def read_archives(archives: DataFrame, data: str = "data") -> DataFrame:
                 for r in read_records(archive.as_buffer()):
                     if r["type"] in ("response", "revisit"):
                         h = r["headers"]
-                        rows.append((bare(h["warc-record-id"]), h.get("warc-target-uri"), r["payload_bytes"], r["payload_digest"], r["type"], bare(h.get("warc-refers-to")), r["payload"] if r["type"] == "response" else None))
+                        rows.append((_bare(h["warc-record-id"]), h.get("warc-target-uri"), r["payload_bytes"], r["payload_digest"], r["type"], _bare(h.get("warc-refers-to")), r["payload"] if r["type"] == "response" else None))
                 cols = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
@@ -232,5 +247,4 @@ def round_trip(df: DataFrame, key: str = "page_id", url: str = "url", html: str
     """Write the archives to the shared folder, read them back: one row per input row."""
     kind = df.schema[key].dataType.simpleString()
     archives = written(write_archives(df, key, url, html, min_bytes), tag)
-    none = lambda c: F.when(F.col(c) != "None", F.col(c)).cast(kind)
-    return read_archives(archives).select(none("record_id").alias(key), "payload_bytes", "payload_digest", "record_type", none("refers_to").alias("refers_to"))
+    return read_archives(archives).select(F.col("record_id").cast(kind).alias(key), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
