@@ -103,6 +103,27 @@ def create_rolling_features(df, time_col=TIME_COL, target_col=TARGET_COL, window
     return add_series_features(df, time_col, target_col, lags=(), windows=windows, stats=stats, **kw)
 
 
+def span_name(target: str, stat: str, span: str) -> str:
+    return f"{target}_last_{span.replace(' ', '_')}_{stat}"
+
+
+def create_time_range_features(df: DataFrame, time_col: str = TIME_COL, target_col: str = TARGET_COL, spans=("1 hour", "3 hours", "12 hours"),
+                               stats=tuple(ROLLING_STATS), keys=SERIES_KEYS, **series_kw) -> DataFrame:
+    """Rolling statistics over the last hours instead of the last rows: gaps in a series shorten no span.
+
+    Values are read as in the row-based statistics (NaN counts as missing).
+    """
+    dtype = df.schema[target_col].dataType
+    floating = isinstance(dtype, (T.FloatType, T.DoubleType))
+    clean = f"__tm_v_{target_col}"
+    exprs = []
+    for span in spans:
+        for stat in stats:
+            exact = stat in ("min", "max") and not floating
+            exprs.append(S.span_expr(ROLLING_STATS[stat], target_col if exact else clean, span, span_name(target_col, stat, span), dtype if stat in ("min", "max") and floating else None))
+    return S.over_time(_with_clean_value(df, target_col), list(keys), time_col, exprs, **series_kw).drop(clean)
+
+
 def create_target_variable(df, target_col=TARGET_COL, horizon=1, time_col=TIME_COL, **kw):
     horizons = [horizon] if isinstance(horizon, int) else list(horizon)
     return add_series_features(df, time_col, target_col, lags=(), windows=(), horizons=horizons, **kw)

@@ -27,8 +27,8 @@ def _lineage(source: str, with_time: bool) -> list:
     return cols
 
 
-def transform_calendar(df: DataFrame, with_time: bool = True) -> DataFrame:
-    """Calendar feed: typed date, boolean SNAP flags, derived day features."""
+def transform_calendar(df: DataFrame, with_time: bool = True, keep=()) -> DataFrame:
+    """Calendar feed: typed date, boolean SNAP flags, derived day features; ``keep``: columns of ``df`` put behind them."""
     d = tc.parse_date("date")
     return df.select(
         d.alias("date"),
@@ -43,6 +43,7 @@ def transform_calendar(df: DataFrame, with_time: bool = True) -> DataFrame:
         F.coalesce(F.col("wday").isin(WEEKEND_WDAY), F.lit(False)).alias("is_weekend"),
         (F.col("event_name_1").isNotNull() | F.col("event_name_2").isNotNull()).alias("has_event"),
         *_lineage("calendar", with_time),
+        *keep,
     )
 
 
@@ -72,12 +73,13 @@ def transform_sales(df: DataFrame, with_time: bool = True) -> DataFrame:
     )
 
 
-def transform_prices(df: DataFrame, with_time: bool = True) -> DataFrame:
-    """Prices feed: flag missing prices."""
+def transform_prices(df: DataFrame, with_time: bool = True, keep=()) -> DataFrame:
+    """Prices feed: flag missing prices; ``keep``: columns of ``df`` put behind them."""
     return df.select(
         "store_id", "item_id", "wm_yr_wk", "sell_price",
         F.col("sell_price").isNull().alias("price_missing"),
         *_lineage("prices", with_time),
+        *keep,
     )
 
 

@@ -151,3 +151,49 @@ def over_series(
     if plain or max(max(e.behind, e.ahead) for e in exprs) == 0:
         return _direct(df, list(keys), by, list(exprs))
     return _chunked(df, list(keys), by, list(exprs), chunk, max(1, levels), fanout)
+
+
+@dataclass(frozen=True)
+class SpanExpr:
+    """An aggregate over the ``span_us`` microseconds that end with the row (the start excluded)."""
+
+    name: str
+    agg: Callable[[], Column]
+    span_us: int
+
+
+def span_expr(fn: Callable[[Column], Column], value: str, span: str | int, name: str, cast_to=None) -> SpanExpr:
+    """``fn`` of ``value`` over a span such as ``"3 hours"``."""
+
+    def agg() -> Column:
+        return fn(F.col(value))
+
+    return SpanExpr(name, agg if cast_to is None else lambda: agg().cast(cast_to), tc.width_seconds(span) * 1_000_000)
+
+
+def over_time(df: DataFrame, keys: list[str], time_col: str, exprs: list[SpanExpr], chunk: float = 28) -> DataFrame:
+    """Add every expression in ``exprs`` as a column, computed per series over time spans.
+
+    Windows are partitioned by (series, chunk of ``chunk`` days, at least
+    twice the longest span), so a hot series is spread over many tasks.  Rows
+    of the last span of a chunk are copied to the next, where they only fill
+    frames.  Rows of one time are in each other's frames; a row without a
+    time has NULL in every expression; sparse and repeated rows are exact.
+    """
+    if not exprs:
+        return df
+    reach = max(e.span_us for e in exprs)
+    width = max(int(chunk * 86_400_000_000), 2 * reach)
+    at, own, ck = "__tm_at", "__tm_own", "__tm_chunk"
+    names = [e.name for e in exprs]
+    cols = [c for c in df.columns if c not in names]
+    base = df.select(*cols)
+    chunk_of = lambda c: F.floor(c / F.lit(width)).cast("long")
+    timed = base.where(F.col(time_col).isNotNull()).withColumn(at, tc.epoch_micros(time_col, df.schema[time_col].dataType))
+    timed = timed.withColumn(own, chunk_of(F.col(at)))
+    copies = timed.withColumn(ck, F.explode(F.sequence(own, chunk_of(F.col(at) + F.lit(reach - 1)))))
+    w = Window.partitionBy(*keys, ck).orderBy(at)
+    out = copies.withColumns({e.name: e.agg().over(w.rangeBetween(-(e.span_us - 1), 0)) for e in exprs})
+    out = out.where(F.col(own) == F.col(ck)).select(*cols, *names)
+    untimed = base.where(F.col(time_col).isNull()).select(*cols, *[F.lit(None).cast(out.schema[n].dataType).alias(n) for n in names])
+    return out.unionByName(untimed)

@@ -24,7 +24,7 @@ from ..operators.state import FeatureStore, features_from_state, series_tails, u
 from ..session import scratch_dir
 from ..sources import files, tables
 from ..sources.schemas import CALENDAR_SCHEMA, SALES_KEYS
-from ..streaming import runner
+from ..streaming import batches, runner
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 KEYS = ["item_id", "store_id", "timestamp_15min"]
@@ -567,4 +567,41 @@ def q_missing_buckets(spark, d):
     return profile.missing_buckets(rollup_15min(tables.demand_5min(spark, d)))
 
 
+@query("time_range_features")
+def q_time_range_features(spark, d):
+    out = ft.create_time_range_features(_agg15(spark, d))
+    return rounded(out.select(*KEYS, T15, *[ft.span_name(T15, s, w) for w in ("1 hour", "3 hours", "12 hours") for s in ft.ROLLING_STATS]))
+
+
+def _price_batches(spark, d) -> str:
+    """Prices with a letter in every seventh week, dropped as CSV and streamed into a batch table; returns its folder."""
+    root = scratch_dir(spark, "stream-batches")
+    week = F.when(F.col("wm_yr_wk") % 7 == 0, F.concat(F.lit("w"), "wm_yr_wk")).otherwise(F.col("wm_yr_wk").cast("string"))
+    tables.prices(spark, d).withColumn("wm_yr_wk", week).write.option("header", True).csv(f"{root}/input")
+    batches.start_batches(spark, "prices", f"{root}/input", f"{root}/table", f"{root}/checkpoint", "production", available_now=True).awaitTermination()
+    return f"{root}/table"
+
+
+@query("stream_batches")
+def q_stream_batches(spark, d):
+    return _drop_time(batches.read_rows(spark, _price_batches(spark, d), "prices"))
+
+
+@query("stream_set_aside")
+def q_stream_set_aside(spark, d):
+    cells = F.split("record", ",")
+    bad = batches.read_set_aside(spark, _price_batches(spark, d), "prices")
+    return bad.select("reason", cells[0].alias("store_id"), cells[1].alias("item_id"), cells[2].alias("week"))
+
+
+@query("batch_monitor")
+def q_batch_monitor(spark, d):
+    """The monitor's figures, and whether its times are those of the stored rows."""
+    path = _price_batches(spark, d)
+    at = F.col("processed_timestamp")
+    stored = batches.read_rows(spark, path, "prices").groupBy("data_source").agg(F.max(at).alias("last"), F.min(at).alias("first"))
+    same = (F.col("last") == F.col("last_processed")) & (F.col("first") == F.col("first_processed"))
+    return batches.monitor(spark, {"prices": path}).join(stored, "data_source").select("data_source", "record_count", "set_aside", same.alias("times_match"))
+
+
 NO_ORACLE = {"stream_progress", "train_metrics", "score_batch", "predict_batch", "feature_importance"}

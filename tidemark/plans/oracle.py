@@ -391,6 +391,16 @@ def _rolling_query(stat: str) -> str:
     return f"{BASE}\nSELECT {KEYS}, {T}, {outer} FROM ({inner})"
 
 
+def _span_query() -> str:
+    """Rolling statistics over the last hours by RANGE frames."""
+    spans = {"1_hour": 1, "3_hours": 3, "12_hours": 12}
+    fns = {"avg": f"avg(CAST({T} AS DOUBLE))", "std": f"stddev_samp(CAST({T} AS DOUBLE))", "min": f"min({T})", "max": f"max({T})"}
+    frame = "PARTITION BY item_id, store_id ORDER BY timestamp_15min RANGE BETWEEN INTERVAL '{} microseconds' PRECEDING AND CURRENT ROW"
+    cols = [f"{fns[s]} OVER ({frame.format(h * 3_600_000_000 - 1)}) AS {T}_last_{w}_{s}" for w, h in spans.items() for s in STATS]
+    outer = ", ".join(r6(n, n) if s in ("avg", "std") else n for w in spans for s in STATS for n in [f"{T}_last_{w}_{s}"])
+    return f"{BASE}\nSELECT {KEYS}, {T}, {outer} FROM (SELECT {KEYS}, {T}, {', '.join(cols)} FROM agg15)"
+
+
 PERSIST = BASE + f""",
 persist AS (
   SELECT item_id, store_id, timestamp_15min AS "timestamp", CAST({T} AS DOUBLE) AS actual_demand,
@@ -564,6 +574,11 @@ SELECT item_id, store_id, t + INTERVAL 15 MINUTE AS first_missing, following - I
 FROM (SELECT item_id, store_id, t, lead(t) OVER (PARTITION BY item_id, store_id ORDER BY t) AS following
       FROM (SELECT DISTINCT item_id, store_id, timestamp_15min AS t FROM agg15 WHERE timestamp_15min IS NOT NULL))
 WHERE following > t + INTERVAL 15 MINUTE""",
+    "time_range_features": _span_query(),
+    "stream_batches": f"{PRICES_FEED} WHERE wm_yr_wk % 7 IS DISTINCT FROM 0",
+    "stream_set_aside": f"{with_(PRICES)}\nSELECT 'record doesn''t fit the schema' AS reason, store_id, item_id, 'w' || wm_yr_wk AS week FROM prices WHERE wm_yr_wk % 7 = 0",
+    "batch_monitor": f"{with_(PRICES)}\nSELECT 'prices' AS data_source, count(*) FILTER (wm_yr_wk % 7 IS DISTINCT FROM 0) AS record_count, "
+    "count(*) FILTER (wm_yr_wk % 7 = 0) AS set_aside, true AS times_match FROM prices",
 }
 
 ORACLE_SQL: dict[str, str] = {**STATE_SQL, **DEMAND_SQL, **FEED_SQL, **PROFILE_SQL, **CHECK_SQL}

@@ -51,10 +51,11 @@ def open_stream(
     schema: T.StructType,
     fmt: str = "csv",
     max_files_per_trigger: int | None = None,
+    **options,
 ) -> DataFrame:
-    """File stream with a fixed schema; ``max_files_per_trigger`` throttles a backlog."""
+    """File stream with a fixed schema; ``max_files_per_trigger`` throttles a backlog; further reader options."""
     _check(fmt)
-    return _load(_throttled(spark, max_files_per_trigger).schema(schema), path, fmt)
+    return _load(_throttled(spark, max_files_per_trigger).options(**options).schema(schema), path, fmt)
 
 
 def _throttled(spark: SparkSession, max_files_per_trigger: int | None):
