@@ -19,6 +19,8 @@ from ..operators import evaluate as ev
 from ..operators import features as ft
 from ..operators import feeds, model, profile
 from ..operators.boosting import Boosting, GrowParams
+from ..operators.numbering import category_dictionary, with_category_index
+from ..operators.quantiles import exact_quantiles
 from ..operators.rollup import rollup_5min, rollup_15min, sliding_sum, window_sum, with_intervals
 from ..operators.state import FeatureStore, features_from_state, series_tails, updated_tails
 from ..session import scratch_dir
@@ -604,4 +606,17 @@ def q_batch_monitor(spark, d):
     return batches.monitor(spark, {"prices": path}).join(stored, "data_source").select("data_source", "record_count", "set_aside", same.alias("times_match"))
 
 
+@query("price_quantiles")
+def q_price_quantiles(spark, d):
+    return exact_quantiles(tables.prices(spark, d), ["sell_price", "wm_yr_wk"], (0.01, 0.25, 0.5, 0.75, 0.99), limit=1000).withColumn("value", F.round("value", 6))
+
+
+@query("part_ranks")
+def q_part_ranks(spark, d):
+    """Every part as a category: its index by frequency, joined back and summed a line number."""
+    lines = tables.table(spark, d, "lineitem").select("l_partkey", "l_linenumber")
+    ranked = with_category_index(lines, "l_partkey", category_dictionary(lines, "l_partkey"))
+    return ranked.groupBy("l_linenumber").agg(F.sum("l_partkey_idx").cast("long").alias("index_sum"), F.count_distinct("l_partkey_idx").alias("labels"))
+
+
 NO_ORACLE = {"stream_progress", "train_metrics", "score_batch", "predict_batch", "feature_importance"}

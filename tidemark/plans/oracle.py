@@ -575,6 +575,12 @@ FROM (SELECT item_id, store_id, t, lead(t) OVER (PARTITION BY item_id, store_id
       FROM (SELECT DISTINCT item_id, store_id, timestamp_15min AS t FROM agg15 WHERE timestamp_15min IS NOT NULL))
 WHERE following > t + INTERVAL 15 MINUTE""",
     "time_range_features": _span_query(),
+    "price_quantiles": f"{with_(PRICES)}\n" + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, round(quantile_cont(CAST({c} AS DOUBLE), {p}), 6) AS value FROM prices"
+        for c in ("sell_price", "wm_yr_wk") for p in (0.01, 0.25, 0.5, 0.75, 0.99)),
+    "part_ranks": """
+WITH ranks AS (SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS i FROM lineitem GROUP BY l_partkey)
+SELECT l_linenumber, CAST(sum(i) AS BIGINT) AS index_sum, count(DISTINCT i) AS labels FROM lineitem JOIN ranks USING (l_partkey) GROUP BY l_linenumber""",
     "stream_batches": f"{PRICES_FEED} WHERE wm_yr_wk % 7 IS DISTINCT FROM 0",
     "stream_set_aside": f"{with_(PRICES)}\nSELECT 'record doesn''t fit the schema' AS reason, store_id, item_id, 'w' || wm_yr_wk AS week FROM prices WHERE wm_yr_wk % 7 = 0",
     "batch_monitor": f"{with_(PRICES)}\nSELECT 'prices' AS data_source, count(*) FILTER (wm_yr_wk % 7 IS DISTINCT FROM 0) AS record_count, "
