@@ -278,7 +278,8 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k
     merged = components(joined, tag)
     final = every.drop("body").join(part, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     final = final.join(merged.select(F.col("node").alias("c"), F.col("component").alias("top")), "c", "left").withColumn("top", F.coalesce("top", "c"))
-    lowest = final.groupBy("top").agg(F.min("low").alias("component_id"))
+    # written, so that the join reads plain shuffles, which the runtime splits where one component has a large share of all sets
+    lowest = written(final.groupBy("top").agg(F.min("low").alias("component_id")), tag)
     classes = final.join(lowest, "top").select(*sid, "component_id")
     found = rows.where("n > 0").select("doc", *sid).join(classes, sid).select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), "component_id")
     none = rows.where("n = 0").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.col("doc").alias("component_id"))
