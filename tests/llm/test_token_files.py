@@ -1,6 +1,7 @@
 """Token files against the tokenizer itself, and their layout as pyarrow sees it."""
 
 import glob
+import os
 import zlib
 
 import numpy as np
@@ -48,6 +49,30 @@ def test_every_character_between_words():
         assert [ids[e - n:e].tolist() for e, n in zip(ends, lengths)] == want
 
 
+def test_words_that_come_again_are_kept(monkeypatch):
+    """A worker that has used up its room forgets the words that came once, not those that it needs again."""
+    monkeypatch.setattr(token_files, "_KEPT_CHARS", 400)
+    enc, sent, library = token_files.WordEncoder(PATH), [], token_files.WordEncoder._library
+    monkeypatch.setattr(enc, "_library", lambda texts: sent.extend(texts) or library(enc, texts))
+    texts = [f"x common words, come again {i}once{i} {i}only{i}" for i in range(200)]
+    got = [enc.encode([t])[0].tolist() for t in texts]
+    assert got == _library(texts)
+    assert sum(" common" in t for t in sent) == 1
+    assert enc.chars < 450
+    few = [" ".join(f"w{j}" for j in range(i % 4 * 60, i % 4 * 60 + 120)) for i in range(20)]  # more that come again than there is room for
+    assert [enc.encode([t])[0].tolist() for t in few] == _library(few)
+    assert enc.chars < 1000
+
+
+def test_a_task_starts_no_threads(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    token_files._encoder(PATH)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")  # as the user has set it
+    token_files._encoder(PATH)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "true"
+
+
 def _frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, part string, ids int, start string")
 

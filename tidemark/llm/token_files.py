@@ -19,7 +19,7 @@ committer, so a lost executor leaves no partial file behind.
 Encoding is the tokenizer's own.  Its pre-tokenizer never joins a word with
 the one before it across a single space, so each different word with its
 leading space (without its closing marks) is encoded once per worker and then
-looked up; texts in which a
+looked up (where a worker's room is used up, words that came once only go); texts in which a
 space stands between other white space, or that hold an added token, are
 encoded whole.
 
@@ -29,6 +29,7 @@ documents of their own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -46,7 +47,7 @@ from ..session import scratch_dir
 from .common import map_arrow
 
 #: A space whose neighbours may join it: after white space and before white space or the end.
-_JOINED = re.compile(r"\s (?:\s|\Z)")
+_JOINED = re.compile(r" (?=\s|\Z)(?<=\s )")  # begins with the space, which is found faster
 #: How the vocabulary writes a space.
 _SPACE = "\u0120"
 #: Marks that are split from the end of a word; not the apostrophe, which may start a contraction.
@@ -122,6 +123,15 @@ class WordEncoder:
     def clear(self) -> None:
         self.slot: dict[str, int] = {}
         self.ids, self.ends, self.chars = array("i"), array("q", [0]), 0
+        self.again = bytearray()  # by slot: whether the word came in a later call, too
+
+    def trim(self) -> None:
+        """Forget the words that came in one call only; all of them if the others take more than half of the room."""
+        seen = [(w, i) for w, i in self.slot.items() if self.again[i]]
+        ids, sizes = self._ids_at(np.array([i for _, i in seen], np.int64))
+        self.clear()
+        if 2 * sum(len(w) for w, _ in seen) <= _KEPT_CHARS:
+            self._add([w for w, _ in seen], ids, sizes)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -131,6 +141,7 @@ class WordEncoder:
         self.ids.frombytes(ids.astype(np.int32).tobytes())
         self.ends.frombytes((np.cumsum(sizes) + base).astype(np.int64).tobytes())
         self.slot.update(zip(words, range(at, at + len(words))))
+        self.again.extend(bytes(len(words)))
         self.chars += sum(map(len, words))
 
     def _learn(self, words: list[str]) -> None:
@@ -167,11 +178,15 @@ class WordEncoder:
         self._add(single, np.array([x for e in apart for x in e], np.int32), np.array([len(e) for e in apart], np.int64))
         if mixed:
             at = np.fromiter(map(slot.__getitem__, parts), np.int64, len(parts))
-            ends = np.array(self.ends)
-            sizes = ends[at + 1] - ends[at]
-            ids = np.array(self.ids, dtype=np.int32)[_ragged(ends[at], sizes)]
+            ids, sizes = self._ids_at(at)
             self._add(mixed, ids, np.diff(np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]))
 
+    def _ids_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, sizes)`` of the words at these slots."""
+        ends = np.frombuffer(self.ends, np.int64)
+        sizes = ends[at + 1] - ends[at]
+        return np.frombuffer(self.ids, np.int32)[_ragged(ends[at], sizes)], sizes
+
     def whole(self, text: str) -> bool:
         """Whether the text has to be encoded in one piece."""
         return _JOINED.search(text) is not None or any(a in text for a in self.added)
@@ -181,25 +196,28 @@ class WordEncoder:
         lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         offsets = np.asarray(lists.offsets)
         words = lists.values.dictionary_encode()
-        codes, kinds = np.asarray(words.indices), words.dictionary.to_pylist()
-        firsts = lists.values.take(pa.array(offsets[:-1])).to_pylist()  # no space in front
-        codes = codes.copy()
+        spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), words.dictionary, pa.scalar(" ", pa.large_string()))
+        kinds = spaced.to_numpy(zero_copy_only=False).tolist()
+        firsts = lists.values.take(pa.array(offsets[:-1])).to_numpy(zero_copy_only=False).tolist()  # no space in front
+        codes = np.array(words.indices)
         codes[offsets[:-1]] = len(kinds) + np.arange(len(firsts))  # behind the others
-        kinds = [" " + w for w in kinds] + firsts
+        kinds += firsts
+        before = len(self.again)
         known = list(map(self.slot.get, kinds))
-        if None in known:
-            self._learn(list(dict.fromkeys([w for w, k in zip(kinds, known) if k is None])))
-            known = map(self.slot.__getitem__, kinds)
-        at = np.fromiter(known, np.int64, len(kinds))[codes]
-        ends = np.frombuffer(self.ends, np.int64)
-        sizes = ends[at + 1] - ends[at]
-        flat = np.frombuffer(self.ids, np.int32)[_ragged(ends[at], sizes)]
+        new = [i for i, k in enumerate(known) if k is None]
+        if new:
+            self._learn(list(dict.fromkeys([kinds[i] for i in new])))
+            for i in new:
+                known[i] = self.slot[kinds[i]]
+        at = np.array(known, np.int64)
+        np.frombuffer(self.again, bool)[at[at < before]] = True
+        flat, sizes = self._ids_at(at[codes])
         return flat, np.diff(np.append(0, np.cumsum(sizes))[offsets])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, lengths)`` of the texts, one after the other."""
         if self.chars > _KEPT_CHARS:
-            self.clear()
+            self.trim()
         odd = [i for i, t in enumerate(texts) if self.whole(t)]
         if not odd and texts:
             return self._by_words(texts)
@@ -218,12 +236,13 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def _encoder(path: str) -> WordEncoder:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads of the library's own take more time and memory
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
 
 
-def _pieces(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
+def _pieces(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
     """Runs of rows with about ``limit`` bytes of text (a longer text alone): ``(first row, texts)``."""
     lengths = np.array(pc.fill_null(pc.binary_length(column), 0)) if len(column) else np.zeros(0, int)
     at = 0
