@@ -40,41 +40,38 @@ RULES = (
 def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the counts and ratios as columns ``n_words word_chars n_symbols n_dup_lines n_repeat_words ...``."""
     t = F.coalesce(F.col(text), F.lit(""))
-    step = df.withColumn("_t", t).withColumn("_w", F.expr(f"filter(split(_t, '{SPACE}'), w -> w != '')".replace("\\", "\\\\")))
-    step = step.withColumn("_lines", F.expr("filter(split(_t, '\\n'), l -> length(regexp_replace(l, '[ \\\\t-\\\\r]+', '')) > 0)"))
+    step = df.withColumn("_t", t).withColumn("_w", F.array_remove(F.split("_t", SPACE), ""))
+    step = step.withColumn("_lines", F.expr("filter(split(_t, '\\n'), l -> l RLIKE '[^ \\\\t-\\\\r]')"))
+    step = step.withColumn("_chars", F.array_join("_w", ""))
     n = F.size("_w")
+    # the hash of each window of three words, by the window's place; sorted on their own they show whether any is repeated
+    step = step.withColumn("_h", F.expr("CASE WHEN size(_w) >= 4 THEN transform(slice(_w, 1, size(_w) - 2), (a, i) -> xxhash64(a, get(_w, i + 1), get(_w, i + 2))) END"))
     step = step.withColumn(
         "_win",
-        F.expr(
-            "CASE WHEN size(_w) >= 4 THEN array_sort(zip_with(zip_with(slice(_w, 1, size(_w) - 2), slice(_w, 2, size(_w) - 2), (a, b) -> struct(a, b)), "
-            "zip_with(slice(_w, 3, size(_w) - 2), sequence(0, size(_w) - 3), (c, i) -> struct(c, i)), "
-            "(x, y) -> struct(xxhash64(x.a, x.b, y.c) AS h, y.i AS i))) END"
-        ),
+        F.expr("CASE WHEN size(array_distinct(_h)) < size(_h) THEN sort_array(transform(_h, (h, i) -> struct(h AS h, i AS i))) END"),
     )
     # windows sorted by (hash, position): one that equals a neighbour is repeated;
     # positions of the repeated windows, in order
     step = step.withColumn(
         "_rep",
-        F.expr(
-            "array_sort(filter(zip_with(zip_with(_win, concat(array(named_struct('h', cast(null as bigint), 'i', -1)), slice(_win, 1, size(_win) - 1)), "
-            "(x, p) -> struct(x.i AS i, x.h AS h, coalesce(x.h = p.h, false) AS same)), slice(_win, 2, size(_win)), "
-            "(x, q) -> IF(x.same OR coalesce(x.h = q.h, false), x.i, -1)), i -> i >= 0))"
-        ),
+        F.expr("sort_array(transform(filter(_win, (x, k) -> x.h = get(_win, k - 1).h OR x.h = get(_win, k + 1).h), x -> x.i))"),
     )
     covered = F.expr(
         "CASE WHEN _rep IS NULL OR size(_rep) = 0 THEN 0L ELSE "
         "aggregate(_rep, named_struct('p', -3, 'n', 0L), (s, i) -> named_struct('p', i, 'n', s.n + least(3, i - s.p)), s -> s.n) END"
     )
     stop = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
+    longest = max(map(len, STOP_WORDS))  # lower case never has fewer characters
+    without = lambda pattern: F.length("_chars") - F.length(F.regexp_replace("_chars", pattern, ""))
     out = (
         step.withColumn("n_words", n.cast("long"))
-        .withColumn("word_chars", F.length(F.translate("_t", " \t\n\x0b\x0c\r", "")).cast("long"))
-        .withColumn("n_symbols", (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast("long"))
+        .withColumn("word_chars", F.length("_chars").cast("long"))
+        .withColumn("n_symbols", without(f"[{SYMBOLS}]+").cast("long"))
         .withColumn("n_lines", F.size("_lines").cast("long"))
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
         .withColumn("n_repeat_words", covered)
-        .withColumn("n_stop", F.expr(f"size(filter(_w, w -> lower(w) IN ({stop})))").cast("long"))
-        .withColumn("_letters", F.length(F.regexp_replace("_t", r"[^\p{L}]+", "")).cast("long"))
+        .withColumn("n_stop", F.expr(f"size(filter(_w, w -> length(w) <= {longest} AND lower(w) IN ({stop})))").cast("long"))
+        .withColumn("_letters", F.length(F.regexp_replace("_chars", r"[^\p{L}]+", "")).cast("long"))
     )
     ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
     return (
@@ -84,7 +81,7 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
         .withColumn("dup_line_ratio", ratio("n_dup_lines", "n_lines"))
         .withColumn("mean_line_words", ratio("n_words", "n_lines"))
         .withColumn("alpha_ratio", ratio("_letters", "word_chars"))
-        .drop("_t", "_w", "_lines", "_win", "_rep", "_letters")
+        .drop("_t", "_w", "_lines", "_chars", "_h", "_win", "_rep", "_letters")
     )
 
 
