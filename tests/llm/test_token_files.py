@@ -64,6 +64,56 @@ def test_words_that_come_again_are_kept(monkeypatch):
     assert enc.chars < 1000
 
 
+def test_texts_are_cut_where_the_pattern_cuts():
+    """Every place at which a text is cut begins a piece of the pre-tokenizer, whatever stands around it."""
+    enc, rng = token_files.WordEncoder(PATH), np.random.default_rng(5)
+    signs = np.array(list("aaZ09 .,;:!?'\n\n\t\r\x0b\x1c\x85\u00a0\u2028\u3000-$\u00d7\u00f7\u00e9\u00df\u017f\u0180\u00b2\u0301\u4e2d\U0001f600") + ["'s", "'re", "\u00e9, ", "e. "])
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 12, 4000)] + [".", "", "\n", ",\n", "", "\u00e9.", "x", ".", "\nx"]
+    for some in (texts, *([t] for t in texts[:300] + texts[-9:])):
+        some = [t for t in some if not enc.whole(t)]
+        data = [t.encode() for t in some]
+        starts = np.cumsum([0, *map(len, data)])
+        begins = set(token_files.cuts(np.frombuffer(b"".join(data), np.uint8), starts[:-1]).tolist())
+        for t, at, end in zip(some, starts.tolist(), starts[1:].tolist()):
+            pieces = {len(t[:a].encode()) for _, (a, _) in enc.tokenizer.pre_tokenizer.pre_tokenize_str(t)}
+            assert {x - at for x in begins if at <= x < end} <= pieces, repr(t)
+        ids, lengths = enc.encode(some)
+        ends = np.cumsum(lengths)
+        assert [ids[e - n:e].tolist() for e, n in zip(ends, lengths)] == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow(monkeypatch):
+    enc, sent, library = token_files.WordEncoder(PATH), [], token_files.WordEncoder._library
+    monkeypatch.setattr(enc, "_library", lambda texts: sent.extend(texts) or library(enc, texts))
+    texts = ["the zebrawood, a zebrawood. zebrawood", "so zebrawood!\nno zebrawood; \u00e9t\u00e9, \u00e9t\u00e9", "in \u00e9t\u00e9."]
+    assert enc.encode(texts)[0].tolist() == [x for ids in _library(texts) for x in ids]
+    assert sum(t.count(" zebrawood") for t in sent) == 1
+    assert sum(t.count(" \u00e9t\u00e9") for t in sent) == 1
+    assert " zebrawood" in enc.slot and not [w for w in enc.slot if len(w) > 1 and w[-1] in ".,;!"]  # no room for the same word with marks
+
+
+def test_words_of_letters_need_no_pattern(monkeypatch):
+    """Words of Latin letters have the tokenizer's ids without its pattern."""
+    enc = token_files.WordEncoder(PATH)
+    letters = [chr(c) for c in range(0x250) if token_files._LETTERS.fullmatch(" " + chr(c))]
+    assert len(letters) == 52 + 0x250 - 0xC0 - 2
+    words = [f" {a}{c}{b}" for c in letters for a in ("", "s", "\u00e9") for b in ("", "t", "\u00fc")]
+    texts = words + ["".join(words[i:i + 50]) for i in range(0, len(words), 50)]
+    want = [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(enc, "tokenizer", None)  # not needed
+    assert enc._library(texts) == want
+
+
+def test_a_normalizer_is_kept(tmp_path):
+    from tokenizers import Tokenizer, normalizers
+
+    t = Tokenizer.from_file(PATH)
+    t.normalizer = normalizers.Lowercase()
+    t.save(str(tmp_path / "lower.json"))
+    enc, texts = token_files.WordEncoder(str(tmp_path / "lower.json")), ["Some Words, and \u00c9t\u00e9. Some", "MORE OF THEM"]
+    assert enc.encode(texts)[0].tolist() == [x for s in texts for x in t.encode(s, add_special_tokens=False).ids]
+
+
 def test_a_task_starts_no_threads(monkeypatch):
     monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
     token_files._encoder(PATH)

@@ -17,11 +17,13 @@ turn them into places in the whole corpus.  Files are written by Spark's
 committer, so a lost executor leaves no partial file behind.
 
 Encoding is the tokenizer's own.  Its pre-tokenizer never joins a word with
-the one before it across a single space, so each different word with its
-leading space (without its closing marks) is encoded once per worker and then
+the one before it across a single space, nor with the marks or the single line
+break behind it, so the texts are cut there and each different word with its
+leading space is encoded once per worker and then
 looked up (where a worker's room is used up, words that came once only go); texts in which a
 space stands between other white space, or that hold an added token, are
-encoded whole.
+encoded whole.  Words of Latin letters alone reach the tokenizer's model without
+its pattern, which would find the same words again.
 
 A null text is empty (the end id alone); null ids come first; repeated ids are
 documents of their own; an empty table gives an empty result.
@@ -29,6 +31,7 @@ documents of their own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import zlib
@@ -52,6 +55,11 @@ _JOINED = re.compile(r" (?=\s|\Z)(?<=\s )")  # begins with the space, which is f
 _SPACE = "\u0120"
 #: Marks that are split from the end of a word; not the apostrophe, which may start a contraction.
 _MARKS = ".,;:!?"
+#: Words of Latin letters, each with its space: the pattern cuts them before the spaces and nowhere else.
+_LETTERS = re.compile("(?: [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)+")
+#: How the vocabulary writes each byte: itself if it is a visible Latin-1 character, else the next one from U+0100 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = "".join(chr(b if b in _VISIBLE else 256 + sum(x not in _VISIBLE for x in range(b))) for b in range(256))
 #: Characters of encoded words that a worker keeps.
 _KEPT_CHARS = 4_000_000
 
@@ -86,6 +94,39 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
+def _byte_set(some) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(some)] = True
+    return out
+
+
+_IS_MARK = _byte_set(_MARKS.encode())
+_IS_ALNUM = _byte_set(b for b in range(128) if chr(b).isalnum())
+_IS_SEEN = _byte_set(range(33, 127))
+
+
+def cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the words of these texts begin: at spaces, at closing marks, and at and after line breaks that stand alone.
+
+    ``data`` holds the UTF-8 of texts that begin at ``starts``.  The pre-tokenizer
+    begins a piece at each of these places, whatever follows (texts that are to
+    be encoded whole aside).  A byte of the text before or behind changes
+    nothing: a text's own begin is a cut.
+    """
+    begins = data == 32
+    marks = np.flatnonzero(_IS_MARK[data])
+    last, lead = data[marks - 1], data[np.maximum(marks - 2, 0)]
+    latin = (lead >= 0xC3) & (lead <= 0xC5) & (last != 0x97) & (last != 0xB7)  # U+00C0 to U+017F, all letters but two
+    begins[marks[_IS_ALNUM[last] | latin]] = True
+    lines = np.flatnonzero(data == 10)
+    lines = lines[(lines > 0) & (lines < len(data) - 1)]
+    lines = lines[_IS_SEEN[data[lines - 1]] & _IS_SEEN[data[lines + 1]]]
+    begins[lines] = True
+    begins[lines + 1] = True
+    begins[starts[starts < len(data)]] = True
+    return np.flatnonzero(begins)
+
+
 def word_parts(word: str) -> list[str]:
     """Parts of a word (with its leading space, if any) whose ids follow each other: lines and closing marks stand alone.
 
@@ -112,8 +153,12 @@ class WordEncoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Split
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)  # the same one, for words that are cut and spelt as in the vocabulary
+        self.model.pre_tokenizer = Split(_SPACE, "merged_with_next")
+        self.as_written = self.tokenizer.normalizer is None  # else the model gets other letters than the text's
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
@@ -134,6 +179,9 @@ class WordEncoder:
             self._add([w for w, _ in seen], ids, sizes)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
+        if self.as_written and texts and all(map(_LETTERS.fullmatch, texts)):
+            spelt = [codecs.charmap_decode(t.encode(), "strict", _BYTES)[0] for t in texts]
+            return [e.ids for e in self.model.encode_batch_fast(spelt, add_special_tokens=False)]
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
@@ -147,33 +195,30 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         """Give every new word its ids, put together from those of its parts."""
         plain, mixed, parts, counts = [], [], [], []
-        slot, lead, single = self.slot, [], []
+        slot, letters, lead, single = self.slot, [], [], []
         for w in words:
-            stem = w.rstrip(_MARKS)
-            if stem[1:].isalnum() and w[0] == " ":  # most words, with or without closing marks
-                if len(stem) == len(w):
-                    lead.append(w)
-                else:
-                    mixed.append(w)
-                    parts += (stem, w[len(stem):])
-                    counts.append(2)
+            if _LETTERS.fullmatch(w):  # most words
+                letters.append(w)
+            elif w[0] == " " and w[1:].isalnum():
+                lead.append(w)
             elif len(p := word_parts(w)) == 1:
                 plain.append(w)
             else:
                 mixed.append(w)
                 parts += p
                 counts.append(len(p))
-        had = set(lead)
+        had = {*letters, *lead}
         for w in dict.fromkeys(plain + parts):
             if w not in slot and w not in had:
                 (lead if w[:1] == " " and len(w) > 1 and w[1:2].strip() and w[-1:].strip() else single).append(w)
         # words with a space in front go many at a time: each begins at a token with a space, and no other of its tokens has one
-        joined = ["".join(lead[i:i + 500]) for i in range(0, len(lead), 500)]
-        ids = np.concatenate([np.zeros(0, np.int32), *(np.array(e, np.int32) for e in self._library(joined))])
-        starts = np.flatnonzero(self.spaced[ids])
-        if len(starts) != len(lead):
-            raise AssertionError("a word's ids don't begin at its space")
-        self._add(lead, ids, np.diff(np.append(starts, len(ids))))
+        for some in (letters, lead):
+            joined = ["".join(some[i:i + 100]) for i in range(0, len(some), 100)]
+            ids = np.concatenate([np.zeros(0, np.int32), *(np.array(e, np.int32) for e in self._library(joined))])
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) != len(some):
+                raise AssertionError("a word's ids don't begin at its space")
+            self._add(some, ids, np.diff(np.append(starts, len(ids))))
         apart = self._library(single)
         self._add(single, np.array([x for e in apart for x in e], np.int32), np.array([len(e) for e in apart], np.int64))
         if mixed:
@@ -193,26 +238,25 @@ class WordEncoder:
 
     def _by_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, lengths)``: each different word of the texts is looked up, or encoded, once."""
-        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        offsets = np.asarray(lists.offsets)
-        words = lists.values.dictionary_encode()
-        spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), words.dictionary, pa.scalar(" ", pa.large_string()))
-        kinds = spaced.to_numpy(zero_copy_only=False).tolist()
-        firsts = lists.values.take(pa.array(offsets[:-1])).to_numpy(zero_copy_only=False).tolist()  # no space in front
-        codes = np.array(words.indices)
-        codes[offsets[:-1]] = len(kinds) + np.arange(len(firsts))  # behind the others
-        kinds += firsts
+        column = pa.array(texts, pa.large_string())
+        _, places, buffer = column.buffers()
+        starts = np.frombuffer(places, np.int64, len(texts) + 1)
+        data = np.frombuffer(buffer or b"", np.uint8, int(starts[-1]))
+        begins = cuts(data, starts[:-1])
+        words = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(data))), pa.py_buffer(data)).dictionary_encode()
+        codes = np.asarray(words.indices)
+        kinds = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         before = len(self.again)
         known = list(map(self.slot.get, kinds))
         new = [i for i, k in enumerate(known) if k is None]
         if new:
-            self._learn(list(dict.fromkeys([kinds[i] for i in new])))
+            self._learn([kinds[i] for i in new])
             for i in new:
                 known[i] = self.slot[kinds[i]]
         at = np.array(known, np.int64)
         np.frombuffer(self.again, bool)[at[at < before]] = True
         flat, sizes = self._ids_at(at[codes])
-        return flat, np.diff(np.append(0, np.cumsum(sizes))[offsets])
+        return flat, np.diff(np.append(0, np.cumsum(sizes))[np.searchsorted(begins, starts)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, lengths)`` of the texts, one after the other."""
