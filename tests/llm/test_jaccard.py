@@ -1,6 +1,8 @@
 """Jaccard self-join against all pairs."""
 
+import os
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -94,3 +96,56 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got[4] == 1 and got[12] == 10 and got[179] == 100 and got[240] == 200
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_any_link_shows_among_the_shingles_sent():
+    rng = np.random.default_rng(3)
+    for percent in (50, 75, 90):
+        for size in [*range(1, 25)] * 8 + [97, 400]:
+            x = rng.choice(10**9, size, replace=False)
+            for cut in range(size):
+                y = np.concatenate([x[cut:], 10**9 + rng.choice(10**6, int(rng.integers(0, size + 1)), replace=False) * int(rng.choice([-1, 1]))])
+                both = len(np.intersect1d(x, y))
+                if 100 * both < percent * (len(x) + len(y) - both):
+                    continue
+                parts = [np.sort(s)[: jaccard.sent_shingles(len(s), percent)] for s in (x, y)]
+                assert len(np.intersect1d(*parts)) >= max(jaccard.shared_shingles(len(s), percent) for s in (x, y))
+
+
+def test_only_shingles_of_several_sets_count():
+    a, b, c = jaccard.set_ids(np.array([7, 8, 9], np.uint64), np.array([5, 5, 300]))
+    several = np.uint64(jaccard._SEVERAL)
+    sent = [(1, a), (1, a), (2, a), (2, b), (2, b), (3, c), (4, several), (4, several), (5, several), (5, c), (6, b)]
+    keys, ids = (np.array(x, np.uint64) for x in zip(*sent, strict=True))
+    assert sorted(jaccard._of_several(jaccard._packed(ids, keys)).tolist()) == sorted([int(a), int(b), int(c)])
+
+
+def test_sets_without_partner_are_not_written(spark, monkeypatch):
+    """As in a large corpus, where hardly a 32-bit key is known to be of one set only."""
+    init, keep, tables = jaccard.Order.__init__, jaccard.written, []
+
+    def full(self, rows):
+        init(self, rows)
+        self.bits[:] = 255
+
+    def size(path):
+        return sum(p.stat().st_size for p in Path(path.removeprefix("file:")).glob("*.parquet"))
+
+    def kept(df, tag):
+        out = keep(df, tag)
+        path = os.path.dirname(out.inputFiles()[0].replace("file://", "file:")) if out.inputFiles() else ""
+        tables.append((path, size(path) if path else 0))
+        return out
+
+    monkeypatch.setattr(jaccard.Order, "__init__", full)
+    monkeypatch.setattr(jaccard, "written", kept)
+    rng = random.Random(5)
+    line = [f"p{i}" for i in range(30)]
+    texts = [" ".join([f"w{rng.randrange(10**6)}" for _ in range(400)] + line) for _ in range(500)]
+    texts += family(rng, texts[0].split(), 8, 5)
+    rows = list(enumerate(texts))
+    got, length = run(spark, rows), sum(map(len, texts))
+    low = {c for k, _, c in got if k == 0 or k >= 500}
+    assert low == {0} and all(c == k for k, _, c in got if 0 < k < 500)
+    assert len(tables) > 3 and max(n for _, n in tables) < length / 4
+    assert sum(size(path) for path, _ in tables if path) < length / 4

@@ -7,12 +7,13 @@ import hashlib
 import os
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import fs_delete, scratch_dir
 
 #: ASCII white space of the word definition ``[^\x20\x09-\x0D]+``.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -36,7 +37,27 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, tag)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` returned; no frame that is still to run may read them."""
+    for df in tables:
+        fs_delete(df.sparkSession, df.scratch_path)
+
+
+@contextmanager
+def tidy_shuffles(spark: SparkSession):
+    """Shuffle files of the queries that run inside go with their query, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def hash_sample(df: DataFrame, n_rows: int, rows: int, max_bytes: int, by: list[str], text: str) -> DataFrame:

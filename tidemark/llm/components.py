@@ -2,7 +2,8 @@
 
 Every step is a pre-aggregated minimum per node and a join back to the edges,
 so a node with a third of all edges is no hot spot; each step's edges are
-written to the shared folder, which cuts lineage and survives lost executors.
+written to the shared folder, which cuts lineage and survives lost executors;
+the step before is deleted then.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -36,6 +37,9 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
         state = new
         if not new[0]:
             break
-        now = written(_star(written(_star(now, True), tag), False), tag)
+        large = written(_star(now, True), tag)
+        discard(now)
+        now = written(_star(large, False), tag)
+        discard(large)
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -3,24 +3,33 @@
 A document's set holds its distinct ``k``-word shingles as 64-bit hashes.
 Two sets link when ``100 * |x & y| >= percent * |x | y|``.
 
-1. *Frequencies.*  Shingle counts over all documents, by 32-bit key, give a
+1. *Sets that can have a partner.*  In hash order, of each set the first
+   ``sent_shingles`` meet by range.  Linked sets have at least
+   ``shared_shingles`` in common among those, so a set with fewer that another
+   set has too links with nothing and goes no further: its shingles are never
+   written.  The others are marked in a bitmap whose size follows their number
+   (``Marks``); a set that is marked by mistake only costs work.
+2. *Frequencies.*  Shingle counts over the marked sets, by 32-bit key, give a
    bitmap of keys that occur in two sets or more (fixed size) and the counts
    of the most frequent keys (fixed number).  They only set the global order
    of a set's shingles (rare first); any order gives exact answers.
-2. *Index lists.*  Of each set the prefix that any partner must share goes to
+3. *Index lists.*  Of each set the prefix that any partner must share goes to
    the index, without the shingles that no other set has.  Equal sets count
    once.
-3. *Answers of a similar set first.*  Each index list names its most central
+4. *Answers of a similar set first.*  Each index list names its most central
    set; every set is compared with the central set that most of its lists
    name.  Linked sets take over that set's answers: within a component no
    further pair is needed, so a family of thousands of near copies costs one
    comparison each, not all pairs.
-4. *What is left.*  Lists that still hold several components are joined by
+5. *What is left.*  Lists that still hold several components are joined by
    blocks of set size; a posting's position bounds the overlap, which skips
    the blocks that it cannot reach, and the known distances to a common
    central set skip pairs by the triangle inequality.  Every pair that
    remains is verified exactly.
-5. Components of all links.
+6. Components of all links.
+
+Tables and shuffle files of a step are deleted as soon as the next one has
+been written; what the result reads is a row of hashes and ids a set and a row.
 
 Documents without words have the empty set and link with nothing; with fewer
 than ``k`` words the whole sequence is one shingle.  Null texts are empty, a
@@ -37,9 +46,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, blocks, map_arrow, mix, words_of, written
+from .common import Hasher, blocks, discard, map_arrow, mix, tidy_shuffles, words_of, written
 from .components import components
 
+#: Bits of ``Marks`` for each marked set, and at most: 32 MB.
+MARK_BITS = 16
+MAX_MARKS = 1 << 28
 #: Ranges of the 32-bit keys; a counting task holds 2^32 / RANGES counters.
 RANGES = 1024
 #: Keys that share one bit of the bitmap: 2^32 / 64 bits are 8 MB.
@@ -84,12 +96,268 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
     return tuple(x - (1 << 64) if x >> 63 else x for x in (a, b))
 
 
-def _count_rows(k: int, flush: int = 1 << 21):
+def sent_shingles(n: int, percent: int) -> int:
+    """How many shingles of a set of ``n`` meet other sets' before it is known whether the set can have a partner."""
+    return min(n, n + shared_shingles(n, percent) - (percent * n + 99) // 100)
+
+
+def shared_shingles(n: int, percent: int) -> int:
+    """How many of these any partner has among its own.
+
+    With ``t = percent / 100`` a link of sets x and y has ``c >= ceil(t * max(x, y))`` common shingles.  Where x's part of the
+    order ends first, ``c - (x - sent(x)) = c - ceil(t * x) + ceil(t * x / 3)`` of them at least are in both parts.  That
+    is ``ceil(t * x / 3)`` or more, and as ``ceil(z) - ceil(z / 3)`` never falls, also ``ceil(t * y / 3)`` or more where y is larger.
+    """
+    return max(1, -(-percent * n // 300))
+
+
+#: Least sizes of the classes by which a size is told, the last for all above.
+_SIZES = [1]
+while _SIZES[-1] < 1 << 31:
+    _SIZES.append(max(_SIZES[-1] + 1, _SIZES[-1] * 9 // 8))
+_SIZES = np.array(_SIZES)
+#: A shingle sent: 32 bits beside its range, and its set (40 bits and the size class); the set of a shingle of several sets is told at once.
+_SENT = np.dtype([("key", "<u4"), ("lo", "<u4"), ("hi", "<u2")])
+_SET = np.dtype([("lo", "<u4"), ("hi", "<u2")])
+_SEVERAL = (1 << 48) - 1
+
+
+def set_ids(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """40 bits of each set's key and 8 of its size class; sets with one id only count together."""
+    cls = np.searchsorted(_SIZES, sizes, "right").astype(np.uint64) - np.uint64(1)
+    return (keys & np.uint64((1 << 40) - 1)) | (cls << np.uint64(40))
+
+
+def _packed(ids: np.ndarray, keys: np.ndarray | None = None) -> np.ndarray:
+    out = np.empty(len(ids), _SET if keys is None else _SENT)
+    out["lo"], out["hi"] = ids & np.uint64(0xFFFFFFFF), ids >> np.uint64(32)
+    if keys is not None:
+        out["key"] = keys
+    return out
+
+
+def _ids(packed: np.ndarray) -> np.ndarray:
+    return packed["lo"].astype(np.uint64) | (packed["hi"].astype(np.uint64) << np.uint64(32))
+
+
+def _by_range(parts: np.ndarray, rows: np.ndarray, ranges: int) -> list[bytes | None]:
+    """The bytes of ``rows`` of every range, None where there are none."""
+    by = np.argsort(parts.astype(np.uint16), kind="stable")
+    rows, edges = rows[by], np.searchsorted(parts[by], np.arange(ranges + 1))
+    return [rows[a:b].tobytes() if a < b else None for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+
+
+def _sent_rows(k: int, percent: int, ranges: int, flush: int = 1 << 21):
+    low = np.uint64(ranges - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ids, sizes = [], [], []
+        size, seen = 0, set()
+
+        def spread():
+            tokens = np.concatenate(held)
+            sets = np.repeat(set_ids(np.array(ids, np.int64).view(np.uint64), np.array(sizes)), [len(h) for h in held])
+            by = np.argsort(tokens)
+            tokens, sets = tokens[by], sets[by]
+            same = np.flatnonzero(tokens[1:] == tokens[:-1])
+            several = np.zeros(len(tokens), bool)
+            several[same] = several[same + 1] = True
+            once = np.ones(len(tokens), bool)
+            once[same + 1] = False
+            told = _by_range(tokens[several] & low, _packed(sets[several]), ranges)
+            sets[several] = _SEVERAL
+            tokens, sets = tokens[once], sets[once]
+            sent = _by_range(tokens & low, _packed(sets, (tokens >> np.uint64(24)) & np.uint64(0xFFFFFFFF)), ranges)
+            at = [r for r in range(ranges) if sent[r] is not None]  # a shingle that is told is sent too
+            return pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int32()), pa.array([sent[r] for r in at], pa.binary()), pa.array([told[r] for r in at], pa.binary())], ["part", "sent", "told"]
+            )
+
+        for _, _, _, texts in blocks(batches, 0):
+            for s in shingle_sets(texts, k):
+                if not len(s) or (key := set_key(s)) in seen:
+                    continue
+                seen.add(key)  # equal sets count once in a task
+                held.append(s[: sent_shingles(len(s), percent)])
+                ids.append(key[0])
+                sizes.append(len(s))
+                size += len(held[-1])
+            if size >= flush:
+                yield spread()
+                held, ids, sizes, size = [], [], [], 0
+        if held:
+            yield spread()
+
+    return run
+
+
+def _of_several(sent: np.ndarray) -> np.ndarray:
+    """The set ids of those rows of one range whose shingle another set has sent too, once for a shingle and set."""
+    by = np.sort((sent["key"].astype(np.uint64) << np.uint64(32)) | np.arange(len(sent), dtype=np.uint64))
+    key, ids = by >> np.uint64(32), _ids(sent)[by & np.uint64(0xFFFFFFFF)]
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    lengths = np.diff(starts, append=len(key))
+    hit = np.repeat(np.logical_or.reduceat(ids != np.repeat(ids[starts], lengths), starts), lengths) & (ids != np.uint64(_SEVERAL))
+    key, ids = key[hit], ids[hit]
+    by = np.lexsort((ids, key))
+    key, ids = key[by], ids[by]
+    return ids[np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]))[: len(ids)]]
+
+
+def _told_rows(ranges: int, flush: int = 1 << 20):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by range, one range in memory: the sets of shingles that several sets have, by ranges of set ids."""
+        now, sent, found, size = None, [], [], 0
+
+        def spread():
+            ids = np.concatenate(found)
+            data = _by_range(ids & np.uint64(ranges - 1), _packed(ids), ranges)
+            at = [r for r in range(ranges) if data[r] is not None]
+            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([data[r] for r in at], pa.binary())], ["part", "told"])
+
+        for b in batches:
+            for part, data, told in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                if part != now:
+                    if sent:
+                        found.append(_of_several(np.concatenate(sent)))
+                        size += len(found[-1])
+                    now, sent = part, []
+                sent.append(np.frombuffer(data.as_buffer(), _SENT).copy())
+                if told.is_valid:
+                    found.append(_ids(np.frombuffer(told.as_buffer(), _SET)))
+                    size += len(found[-1])
+                if size >= flush:
+                    yield spread()
+                    found, size = [], 0
+        if sent:
+            found.append(_of_several(np.concatenate(sent)))
+            size += len(found[-1])
+        if size:
+            yield spread()
+
+    return run
+
+
+def _marked_rows(percent: int):
+    need = np.array([shared_shingles(int(n), percent) for n in _SIZES])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by range: of each range the sets that are told often enough to have a partner."""
+        now, held = None, []
+
+        def close():
+            ids, n = np.unique(np.concatenate(held), return_counts=True)
+            ids = ids[n >= need[(ids >> np.uint64(40)).astype(np.int64)]]
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([ids.tobytes()], pa.binary())], ["part", "n", "ids"])
+
+        for b in batches:
+            for part, told in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if part != now:
+                    if held:
+                        yield close()
+                    now, held = part, []
+                held.append(_ids(np.frombuffer(told.as_buffer(), _SET)))
+        if held:
+            yield close()
+
+    return run
+
+
+def _mark_rows(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The piece of ``Marks`` of each range."""
+        for b in batches:
+            pieces = []
+            for data in b.column(1):
+                bits = np.zeros(width, bool)
+                for at in _marks(np.frombuffer(data.as_buffer(), np.uint64), width):
+                    bits[at] = True
+                pieces.append(np.packbits(bits).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pieces, pa.binary())], ["part", "bits"])
+
+    return run
+
+
+def _marks(ids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each id in its range's piece."""
+    h = mix(ids)
+    return tuple((x & np.uint64(width - 1)).astype(np.int64) for x in (h, h >> np.uint64(32)))
+
+
+class Marks:
+    """The sets that can have a partner: all of them and, by chance, some others."""
+
+    def __init__(self, rows, ranges: int, width: int):
+        self.ranges, self.width = ranges, width
+        self.bits = np.zeros(ranges * width // 8, np.uint8)
+        for r in rows:
+            self.bits[r.part * width // 8 : (r.part + 1) * width // 8] = np.frombuffer(r.bits, np.uint8)
+
+    def has(self, ids: np.ndarray) -> np.ndarray:
+        out, start = np.ones(len(ids), bool), (ids & np.uint64(self.ranges - 1)).astype(np.int64) * self.width
+        for at in _marks(ids, self.width):
+            at = at + start
+            out &= ((self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+        return out
+
+
+def _marked(src: DataFrame, k: int, percent: int, slots: int, tag: str) -> Marks:
+    """``src (t)`` -> the sets that can have a partner."""
+    ranges = min(1 << 16, max(RANGES, 1 << (4 * slots - 1).bit_length()))
+    by_range = lambda df: df.repartition(min(slots, ranges), "part").sortWithinPartitions("part")
+    sent = map_arrow(src, _sent_rows(k, percent, ranges), "part int, sent binary, told binary")
+    told = written(map_arrow(by_range(sent), _told_rows(ranges), "part int, told binary"), tag)
+    ids = written(map_arrow(by_range(told), _marked_rows(percent), "part int, n bigint, ids binary"), tag)
+    discard(told)
+    n = ids.agg(F.sum("n")).first()[0] or 0
+    width = max(64, min(MAX_MARKS, 1 << max(0, MARK_BITS * n - 1).bit_length()) // ranges)
+    marks = Marks(map_arrow(ids.select("part", "ids"), _mark_rows(width), "part int, bits binary").collect(), ranges, width)  # MAX_MARKS bits at most
+    discard(ids)
+    return marks
+
+
+def _arrays(sets: list[np.ndarray | None], of: pa.DataType) -> pa.Array:
+    """A list column without a detour over Python's numbers."""
+    none = np.array([s is None for s in sets], bool)
+    offsets = np.append(0, np.cumsum([0 if s is None else len(s) for s in sets])).astype(np.int32)
+    values = [s for s in sets if s is not None]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else [], of), mask=pa.array(none))
+
+
+def _set_rows(k: int, marks):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for b, at, to, texts in blocks(batches, 1):
+            sets = shingle_sets(texts, k)
+            n, keys = [len(s) for s in sets], [set_key(s) for s in sets]
+            ids = set_ids(np.array([a for a, _ in keys], np.int64).view(np.uint64), np.array(n))
+            members = []
+            for s, key, marked in zip(sets, keys, marks.value.has(ids).tolist(), strict=True):
+                wanted = marked and len(s) > 0 and key not in seen
+                if wanted:
+                    seen.add(key)
+                members.append(s.view(np.int64) if wanted else None)
+            a, c = zip(*keys, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).slice(at, to - at), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(c, pa.int64()), _arrays(members, pa.int64())],
+                ["doc", "n", "sid_a", "sid_b", "members"],
+            )
+
+    return run
+
+
+def _sets_of(column: pa.ListArray) -> list[np.ndarray]:
+    """The sets of a list column without nulls."""
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    return [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
+
+def _count_rows(flush: int = 1 << 21):
     shift = 32 - RANGES.bit_length() + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        size, seen = 0, set()
+        size = 0
 
         def spread():
             keys = np.sort(np.concatenate(held))
@@ -98,16 +366,13 @@ def _count_rows(k: int, flush: int = 1 << 21):
             data = [keys[edges[r] : edges[r + 1]].tobytes() for r in at]
             return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(data, pa.binary())], ["part", "keys"])
 
-        for _, _, _, texts in blocks(batches, 0):
-            for s in shingle_sets(texts, k):
-                if not len(s) or (key := set_key(s)) in seen:
-                    continue
-                seen.add(key)  # equal sets count once in a task
+        for b in batches:
+            for s in _sets_of(b.column(0)):
                 held.append((s >> np.uint64(32)).astype(np.uint32))
                 size += len(s)
-            if size >= flush:
-                yield spread()
-                held, size = [], 0
+                if size >= flush:
+                    yield spread()
+                    held, size = [], 0
         if held:
             yield spread()
 
@@ -169,29 +434,25 @@ class Order:
         return out
 
 
-def _posting_rows(k: int, percent: int, order, with_key: bool = True):
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-    names = ["n", "sid_a", "sid_b", "central", "tokens", "positions", "members"]
-
+def _list_rows(percent: int, order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank_of, seen = order.value.rank, set()
-        for b, at, to, texts in blocks(batches, 1):
-            rows = []
-            for s in shingle_sets(texts, k):
-                n, key = len(s), set_key(s)
-                central = tokens = positions = members = None
-                if n and key not in seen:
-                    seen.add(key)
-                    rank = rank_of(s)
-                    prefix = n - (percent * n + 99) // 100 + 1
-                    if n - np.count_nonzero(rank) < prefix:
-                        by = np.argsort(rank, kind="stable")[:prefix]
-                        pos = np.flatnonzero(rank[by])
-                        signed = s.view(np.int64)
-                        tokens, positions, members = signed[by[pos]], pos.astype(np.int32), signed
-                        central = float(np.log1p(rank).mean())
-                rows.append((n, *key, central, tokens, positions, members))
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(at, to - at), *[pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]], ["doc", *names])
+        rank_of = order.value.rank
+        for b in batches:
+            at, central, tokens, positions = [], [], [], []
+            for i, s in enumerate(_sets_of(b.column(2))):
+                n, rank = len(s), rank_of(s)
+                prefix = n - (percent * n + 99) // 100 + 1
+                if n - np.count_nonzero(rank) < prefix:
+                    by = np.argsort(rank, kind="stable")[:prefix]
+                    pos = np.flatnonzero(rank[by])
+                    at.append(i)
+                    central.append(float(np.log1p(rank).mean()))
+                    tokens.append(s.view(np.int64)[by[pos]])
+                    positions.append(pos.astype(np.int32))
+            kept = [b.column(c).take(pa.array(at, pa.int64())) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(central, pa.float64()), _arrays(tokens, pa.int64()), _arrays(positions, pa.int32())], ["node", "n", "central", "tokens", "positions"]
+            )
 
     return run
 
@@ -205,30 +466,42 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 75, tag: str = "jaccard") -> DataFrame:
     """One row per input row: ``key``, ``n_shingles``, ``component_id`` (smallest key reachable by links)."""
+    with tidy_shuffles(df.sparkSession):
+        rows, classes = _classes(df, key, text, k, percent, tag)
+    sid = ["sid_a", "sid_b", "n"]
+    found = rows.where("n > 0").join(classes, sid).select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), "component_id")
+    none = rows.where("n = 0").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.col("doc").alias("component_id"))
+    return found.unionByName(none)
+
+
+def _classes(df: DataFrame, key: str, text: str, k: int, percent: int, tag: str) -> tuple[DataFrame, DataFrame]:
+    """The rows ``(doc, sid_a, sid_b, n)`` and the ``component_id`` of every set."""
     spark = df.sparkSession
     sc = spark.sparkContext
     kind = df.schema[key].dataType.simpleString()
     src = df.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
-    parts = map_arrow(src.select("t"), _count_rows(k), "part int, keys binary")
+    marks = sc.broadcast(_marked(src.select("t"), k, percent, slots, tag))
+    every_row = written(
+        map_arrow(src, _set_rows(k, marks), f"doc {kind}, n bigint, sid_a bigint, sid_b bigint, members array<bigint>").withColumn("row", F.monotonically_increasing_id()), tag
+    )
+    marks.destroy()  # used by that pass alone
+    sid = ["sid_a", "sid_b", "n"]
+    every = written(
+        every_row.where("n > 0").groupBy(*sid).agg(F.min("row").alias("node"), F.min("doc").alias("low"), F.first("members", ignorenulls=True).alias("members")), tag
+    )
+    rows = written(every_row.select("doc", *sid), tag)
+    discard(every_row)
+    sets = every.where("members IS NOT NULL").select("node", "n", "members")
+
+    parts = map_arrow(sets.select("members"), _count_rows(), "part int, keys binary")
     sums = map_arrow(parts.repartition(min(slots, RANGES), "part").sortWithinPartitions("part"), _sum_rows, "part int, bits binary, keys binary, counts binary")
     order = sc.broadcast(Order(sums.collect()))  # at most RANGES rows of bounded size
+    lists = written(map_arrow(sets, _list_rows(percent, order), "node bigint, n bigint, central double, tokens array<bigint>, positions array<int>"), tag)
+    order.destroy()
 
-    rows = map_arrow(
-        src, _posting_rows(k, percent, order),
-        f"doc {kind}, n bigint, sid_a bigint, sid_b bigint, central double, tokens array<bigint>, positions array<int>, members array<bigint>",
-    ).withColumn("row", F.monotonically_increasing_id())
-    rows = written(rows, tag)
-    order.destroy()  # used by that pass alone
-
-    sid = ["sid_a", "sid_b", "n"]
-    body = F.when(F.col("tokens").isNotNull(), F.struct("central", "tokens", "positions", "members"))
-    every = rows.where("n > 0").groupBy(*sid).agg(F.min("row").alias("node"), F.min("doc").alias("low"), F.first(body, ignorenulls=True).alias("body"))
-    every = written(every, tag)
-    sets = every.where("body IS NOT NULL").select("node", "n", "body.*")
-
-    postings = sets.select("node", "n", "central", F.explode(F.arrays_zip("tokens", "positions")).alias("p")).select("node", "n", "central", F.col("p.tokens").alias("token"), F.col("p.positions").alias("pos"))
+    postings = lists.select("node", "n", "central", F.explode(F.arrays_zip("tokens", "positions")).alias("p")).select("node", "n", "central", F.col("p.tokens").alias("token"), F.col("p.positions").alias("pos"))
     fits = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
     # the central set that most lists of a set name
@@ -245,7 +518,7 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k
 
     # lists that still hold several components
     far = first.select(F.col("x").alias("node"), F.col("y").alias("to"), (1 - F.col("both") / (F.col("nx") + F.col("ny") - F.col("both"))).alias("dist"))
-    place = sets.select("node").join(part, "node", "left").join(far, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "to", "dist")
+    place = lists.select("node").join(part, "node", "left").join(far, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "to", "dist")
     placed = written(postings.drop("central").join(place, "node"), tag)
     mixed = placed.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
     open_lists = placed.join(mixed, "token")
@@ -276,11 +549,11 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k
         .join(label.select(F.col("node").alias("y"), F.col("component").alias("v")), "y").select("u", "v")
     )
     merged = components(joined, tag)
-    final = every.drop("body").join(part, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    discard(placed, first, lists)
+    final = every.drop("members").join(part, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     final = final.join(merged.select(F.col("node").alias("c"), F.col("component").alias("top")), "c", "left").withColumn("top", F.coalesce("top", "c"))
     # written, so that the join reads plain shuffles, which the runtime splits where one component has a large share of all sets
     lowest = written(final.groupBy("top").agg(F.min("low").alias("component_id")), tag)
-    classes = final.join(lowest, "top").select(*sid, "component_id")
-    found = rows.where("n > 0").select("doc", *sid).join(classes, sid).select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), "component_id")
-    none = rows.where("n = 0").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.col("doc").alias("component_id"))
-    return found.unionByName(none)
+    classes = written(final.join(lowest, "top").select(*sid, "component_id"), tag)
+    discard(every, lowest)
+    return rows, classes
