@@ -7,6 +7,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tidemark.llm import jaccard
 from tidemark.llm.components import components
 from tests.llm.helpers import all_texts
@@ -120,7 +121,8 @@ def test_only_shingles_of_several_sets_count():
     assert sorted(jaccard._of_several(jaccard._packed(ids, keys)).tolist()) == sorted([int(a), int(b), int(c)])
 
 
-def test_sets_without_partner_are_not_written(spark, monkeypatch):
+@pytest.mark.parametrize("stage", [False, True])
+def test_sets_without_partner_are_not_written(spark, monkeypatch, tmp_path, stage):
     """As in a large corpus, where hardly a 32-bit key is known to be of one set only."""
     init, keep, tables = jaccard.Order.__init__, jaccard.written, []
 
@@ -144,8 +146,14 @@ def test_sets_without_partner_are_not_written(spark, monkeypatch):
     texts = [" ".join([f"w{rng.randrange(10**6)}" for _ in range(400)] + line) for _ in range(500)]
     texts += family(rng, texts[0].split(), 8, 5)
     rows = list(enumerate(texts))
-    got, length = run(spark, rows), sum(map(len, texts))
-    low = {c for k, _, c in got if k == 0 or k >= 500}
-    assert low == {0} and all(c == k for k, _, c in got if 0 < k < 500)
+    length = sum(map(len, texts))
+    if stage:  # of the pipeline
+        spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/docs")
+        got = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{tmp_path}/docs"), "")
+        assert sorted(r.doc_id for r in got.select("doc_id").collect()) == list(range(500))
+    else:
+        got = run(spark, rows)
+        low = {c for k, _, c in got if k == 0 or k >= 500}
+        assert low == {0} and all(c == k for k, _, c in got if 0 < k < 500)
     assert len(tables) > 3 and max(n for _, n in tables) < length / 4
     assert sum(size(path) for path, _ in tables if path) < length / 4
